@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from keylane.operators.filters import unexpired
 from keylane.operators.ordered import by_number, previous
+from keylane.operators.skew import bounded, hot_groups, split_join
 from keylane.session import ensure_checkpoint_dir
 
 KEYS = ("topic", "key", "id")
@@ -39,7 +40,6 @@ def dedup(
     """
     if cache_size == 0:
         return df
-    # the rows are read by several branches: the caller's columns, computed once per branch
     without_id = df.filter(F.col(by[-1]).isNull())
     with_id = df.filter(F.col(by[-1]).isNotNull())
     if ttl_s is None:
@@ -67,17 +67,19 @@ def _dedup_ttl(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
     if span["last"] - span["first"] <= ttl_us:
         return _firsts(df, by, [at, *order])
     ensure_checkpoint_dir(df.sparkSession)
+    hot = hot_groups(df, by)
     slices = range(span["first"] // ttl_us, span["last"] // ttl_us + 1)
     kept: list[DataFrame] = []
     for number in slices:
         rows = df.filter((F.col(at) >= number * ttl_us) & (F.col(at) < (number + 1) * ttl_us))
+        parts = [rows]
         if kept:
             covered = kept[-1].select(*by, (F.col(at) + ttl_us).alias("_covered"))
-            rows = rows.join(covered, list(by), "left").filter(
-                F.coalesce(F.col(at) > F.col("_covered"), F.lit(True))
-            ).select(*df.columns)
+            uncovered = F.coalesce(F.col(at) > F.col("_covered"), F.lit(True))
+            parts = [p.filter(uncovered).select(*df.columns) for p in split_join(rows, covered, by, hot)]
+        firsts = reduce(DataFrame.unionByName, [_firsts(p, by, [at, *order]) for p in parts])
         # written to the shared folder: later slices and the result start from it
-        kept.append(_firsts(rows, by, [at, *order]).checkpoint())
+        kept.append(firsts.checkpoint())
     return reduce(DataFrame.unionByName, kept)
 
 
@@ -149,12 +151,6 @@ def offset_filter(df: DataFrame, processed: DataFrame, max_partitions: int = 100
     return joined.filter(F.col("off") > F.coalesce(F.col("processed"), F.lit(-1))).drop("processed")
 
 
-def bounded(side: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a join side for broadcast, after counting that it is small enough."""
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(side) if small else side
-
-
 def latest_per_key(df: DataFrame, by: Sequence[str] = ("key",), order: Sequence[str] = ("ts_us", "part", "off")) -> DataFrame:
     """Idempotent upsert: the last write per key wins."""
     rest = [c for c in df.columns if c not in by]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.functions.scalars import backoff_delay, timed_out
-from keylane.operators.ordered import sliding_sum
+from keylane.operators.ordered import Slices, sliding_sum
 from keylane.options import PipelineOptions
 
 CANCELLED = "Cancelled"
@@ -82,7 +82,7 @@ def failure_rate(
     *,
     by: Sequence[str] = ("topic",),
     at: str = "start_us",
-    slice_us: int = 600_000_000,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Failed and all messages of the last window before each message, and whether
     deferral is allowed: not while the share is above the threshold.
@@ -92,8 +92,7 @@ def failure_rate(
     options = options or PipelineOptions()
     window_us = round(options.defer_failure_window * 1_000_000)
     failed = F.when(F.col("outcome") != "success", 1).otherwise(0)
-    counted = sliding_sum(outcomes, by, at, window_us, {"window_failed": failed, "window_all": F.lit(1)},
-                          slice_us=slice_us)
+    counted = sliding_sum(outcomes, by, at, window_us, {"window_failed": failed, "window_all": F.lit(1)}, slices)
     share = F.col("window_failed") / F.col("window_all")
     return counted.withColumn("defer_allowed", F.lit(options.defer_enabled) & (share <= options.defer_failure_threshold))
 

@@ -9,17 +9,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keylane.functions.scalars import wait_boost
-from keylane.operators.ordered import TIME_SLICE_US, Running, by_time, running, sliding_sum
+from keylane.operators.ordered import Running, Slices, running, sliding_sum
 from keylane.options import PipelineOptions
 
 # The two kinds of work.
 CLASSES = ("normal", "failure")
+HOUR_US = 3_600_000_000
 
 
 def virtual_time(execs: DataFrame, by: Sequence[str] = ("demand", "key"),
-                 order: Sequence[str] = ("start_us", "event_id"), slice_by: Column | None = None) -> DataFrame:
+                 order: Sequence[str] = ("start_us", "event_id"), slices: Slices | None = None) -> DataFrame:
     """Execution time a key had used in its class before each execution."""
-    slices = by_time(order[0]) if slice_by is None else slice_by
     return running(execs, by, order, slices, {"virtual_ms": Running("sum", F.col("dur_ms"))})
 
 
@@ -84,7 +84,7 @@ def fair_order(
 
 
 def monopolization(execs: DataFrame, options: PipelineOptions | None = None, *, by: Sequence[str] = ("key",),
-                   slice_us: int = TIME_SLICE_US) -> DataFrame:
+                   slices: Slices | None = None) -> DataFrame:
     """Time a key's executions started in the rolling window, and the rejection.
 
     Counts an execution in full when it started within the window, the present
@@ -92,12 +92,12 @@ def monopolization(execs: DataFrame, options: PipelineOptions | None = None, *,
     """
     options = options or PipelineOptions()
     window_us = round(options.monopolization_window * 1_000_000)
-    counted = sliding_sum(execs, by, "start_us", window_us, {"window_ms": F.col("dur_ms")}, slice_us=slice_us)
+    counted = sliding_sum(execs, by, "start_us", window_us, {"window_ms": F.col("dur_ms")}, slices=slices)
     return _rejected(counted, F.col("window_ms") * 1000, window_us, options)
 
 
 def monopolization_clipped(execs: DataFrame, options: PipelineOptions | None = None, *, by: Sequence[str] = ("key",),
-                           slice_us: int = TIME_SLICE_US) -> DataFrame:
+                           slices: Slices | None = None) -> DataFrame:
     """As :func:`monopolization`, with executions cut at the window's edges.
 
     The time executions spent inside ``[t - w, t]`` is the difference of two
@@ -118,11 +118,11 @@ def monopolization_clipped(execs: DataFrame, options: PipelineOptions | None = N
     )
     probes = execs.withColumn("at_us", start).withColumn("slope", F.lit(0).cast("bigint")).withColumn("_row", F.lit(True))
     steps = probes.unionByName(ramps, allowMissingColumns=True)
-    # positions count from the start of their slice, so that the sums stay small
-    number = by_time("at_us", slice_us)
-    inside = F.col("at_us") - number * slice_us
+    # positions are split into hours and the rest, so that the sums stay small
+    number = F.floor(F.col("at_us") / F.lit(HOUR_US)).cast("bigint")
+    inside = F.col("at_us") - number * HOUR_US
     swept = running(
-        steps, by, ["at_us"], number,
+        steps, by, ["at_us"], slices,
         {
             "_slope": Running("sum", F.col("slope")),
             "_inside": Running("sum", F.col("slope") * inside),
@@ -131,7 +131,7 @@ def monopolization_clipped(execs: DataFrame, options: PipelineOptions | None = N
         peers=True,
     )
     spent = (
-        F.col("_slope") * inside - F.col("_inside") - (F.col("_number") - F.col("_slope") * number) * slice_us
+        F.col("_slope") * inside - F.col("_inside") - (F.col("_number") - F.col("_slope") * number) * HOUR_US
     )
     counted = swept.filter("_row").select(*execs.columns, spent.alias("window_us"))
     return _rejected(counted, F.col("window_us"), window_us, options)

@@ -7,15 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keylane.operators.ordered import Running, by_time, following, running
+from keylane.operators.ordered import Running, Slices, following, running
 from keylane.options import PipelineOptions
 
 PARTITION = ("topic", "part")
-# partition-wide sweeps hold all keys of a partition, so their slices are shorter
-PARTITION_SLICE_US = 600_000_000
 
 
-def in_flight(execs: DataFrame, by: Sequence[str] = PARTITION, slice_us: int = PARTITION_SLICE_US) -> DataFrame:
+def in_flight(execs: DataFrame, by: Sequence[str] = PARTITION, slices: Slices | None = None) -> DataFrame:
     """Executions running at each start, per group: one row per execution.
 
     An execution ends just before another that starts at the same time.
@@ -27,7 +25,7 @@ def in_flight(execs: DataFrame, by: Sequence[str] = PARTITION, slice_us: int = P
 
     steps = execs.select(*by, F.inline(F.array(step("start_us", 1, 1), step("end_us", -1, 0))))
     counts = running(
-        steps, by, ["_step"], by_time("_step", 2 * slice_us), {"running": Running("sum", F.col("change"))}, peers=True
+        steps, by, ["_step"], slices, {"running": Running("sum", F.col("change"))}, peers=True
     )
     return counts.filter(F.col("change") == 1).select(*by, "at_us", "running")
 
@@ -70,11 +68,11 @@ def is_stalled(progress: DataFrame, now_us: int, options: PipelineOptions | None
 
 
 def stall_gaps(progress: DataFrame, options: PipelineOptions | None = None,
-               order: Sequence[str] = ("ts_us", "event_id"), slice_us: int = PARTITION_SLICE_US) -> DataFrame:
+               order: Sequence[str] = ("ts_us", "event_id"), slices: Slices | None = None) -> DataFrame:
     """Past gaps between messages of a partition above the threshold."""
     options = options or PipelineOptions()
     threshold = round(options.stall_threshold * 1_000_000)
-    near = following(progress.select(*PARTITION, *order), PARTITION, order, by_time("ts_us", slice_us),
+    near = following(progress.select(*PARTITION, *order), PARTITION, order, slices,
                      {"next_us": "ts_us"})
     gap = F.col("next_us") - F.col("ts_us")
     return near.select(*PARTITION, "ts_us", "next_us", gap.alias("gap_us")).filter(F.col("gap_us") > threshold)

@@ -10,21 +10,26 @@ from pyspark.sql import functions as F
 
 from keylane.functions.scalars import message_task_id
 from keylane.handlers import EventHandler, ReplayContext, Message, attempt
-from keylane.operators.ordered import Running, by_number, by_time, previous, row_position, running
+from keylane.operators.ordered import Running, Slices, by_number, previous, row_position, running
 
 PARTITION_KEY = ("topic", "part", "key")
 
 
-def process(df: DataFrame, handler: Callable[[], EventHandler], payload: str = "payload") -> DataFrame:
+def process(
+    df: DataFrame, handler: Callable[[], EventHandler], payload: str = "payload", *, independent: bool = False
+) -> DataFrame:
     """Call ``handler().on_message`` once per message, serially and in order per key.
 
     ``payload`` names a column of JSON text. One handler is made per task. Rows
-    stream through sorted, so a hot key is never held in memory; calling it
-    serially is the contract, and keys run concurrently across tasks.
+    stream through sorted, so a hot key is never held in memory, but its calls
+    run one after the other, as the contract says. A handler whose calls do not
+    depend on each other may give that up with ``independent``: then rows are
+    handled where they are, without a shuffle, and a hot key costs nothing.
     """
-    ordered = df.select("topic", "part", "off", "key", "ts_us", F.col(payload).alias("payload"))
-    ordered = ordered.repartition("key").sortWithinPartitions("key", "part", "off")
-    return ordered.mapInArrow(
+    rows = df.select("topic", "part", "off", "key", "ts_us", F.col(payload).alias("payload"))
+    if not independent:
+        rows = rows.repartition("key").sortWithinPartitions("key", "part", "off")
+    return rows.mapInArrow(
         _handled(handler),
         "topic string, part int, off bigint, key string, outcome string, error_class string, "
         "error_message string, error_cause string",
@@ -74,9 +79,8 @@ def ordering_violations(df: DataFrame, sequence: str, by: Sequence[str] = PARTIT
 
 
 def overlap_violations(execs: DataFrame, by: Sequence[str] = ("key",), order: Sequence[str] = ("start_us", "event_id"),
-                       slice_by: Column | None = None) -> DataFrame:
+                       slices: Slices | None = None) -> DataFrame:
     """Executions that start while an earlier one of the same key still runs."""
-    slices = by_time(order[0]) if slice_by is None else slice_by
     swept = running(execs, by, order, slices, {"busy_until_us": Running("max", F.col("end_us"))})
     return swept.filter(F.col("busy_until_us") > F.col("start_us"))
 

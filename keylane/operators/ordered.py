@@ -4,13 +4,17 @@
 when one key holds a third of the table. Every running aggregate here is
 computed in two levels instead:
 
-1. the order of each group is cut into slices, and the window runs inside
+1. the order is cut into slices, and the window runs inside
    ``(group, slice)``, so a hot group spreads over many tasks;
 2. one total per ``(group, slice)`` (a plain aggregation with map-side
    partials) is carried forward over the slices and joined back.
 
 The join needs no further shuffle of the rows: the window already left them
 hashed and sorted by ``(group, slice)``. Grouping columns must not be null.
+
+Slices are bounded whatever the skew. Over a unique number (an offset) they
+have a fixed width, so at most that many rows. Over a time they are cut at
+quantiles of the rows, so that a burst gets many narrow slices.
 """
 
 from __future__ import annotations
@@ -18,12 +22,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-OFFSET_SLICE_ROWS = 1 << 20
-TIME_SLICE_US = 3_600_000_000
+SLICE_ROWS = 1 << 20
+# quantiles are planned on the driver, so their number is bounded
+MAX_SLICES = 10_000
 
 
 class Running(NamedTuple):
@@ -33,21 +39,43 @@ class Running(NamedTuple):
     column: Column
 
 
-def by_number(column: str, rows: int = OFFSET_SLICE_ROWS) -> Column:
-    """Slices over a unique number such as an offset: at most ``rows`` rows each."""
-    return F.floor(F.col(column) / F.lit(rows)).cast("bigint")
+class Slices(NamedTuple):
+    """Inner bounds between slices of an order; none means a single slice."""
+
+    bounds: tuple[float, ...]
 
+    def add(self, df: DataFrame, column: str) -> DataFrame:
+        if not self.bounds:
+            return df.withColumn(SLICE, F.lit(0))
+        splits = [-float("inf"), *self.bounds, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol=column, outputCol="_cut", handleInvalid="keep").transform(df)
+        return cut.withColumn(SLICE, F.col("_cut").cast("int")).drop("_cut")
 
-def by_time(column: str, width_us: int = TIME_SLICE_US) -> Column:
-    """Slices of equal length over a time in microseconds."""
-    return F.floor(F.col(column) / F.lit(width_us)).cast("bigint")
+
+def even_slices(df: DataFrame, column: str, rows: int = SLICE_ROWS) -> Slices:
+    """Slices of about ``rows`` rows each, over all groups together.
+
+    Counts first; a table that fits one slice needs no quantiles. At most
+    ``MAX_SLICES`` bounds come to the driver.
+    """
+    values = df.select(F.col(column).cast("double").alias("v"))
+    count = min(-(-values.count() // rows), MAX_SLICES)
+    if count <= 1:
+        return Slices(())
+    shares = [i / count for i in range(1, count)]
+    return Slices(tuple(sorted(set(values.approxQuantile("v", shares, 0.25 / count)))))
+
+
+def by_number(column: str, rows: int = SLICE_ROWS) -> Column:
+    """Slices over a unique number such as an offset: at most ``rows`` rows each."""
+    return F.floor(F.col(column) / F.lit(rows)).cast("bigint")
 
 
 def running(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
-    slice_by: Column,
+    slice_by: Column | Slices | None,
     aggregates: dict[str, Running],
     *,
     inclusive: bool = False,
@@ -56,13 +84,15 @@ def running(
 ) -> DataFrame:
     """Add running aggregates per group, before (or through) each row.
 
-    ``slice_by`` must not decrease along the first column of ``order``.
-    ``reverse`` runs from the end, giving aggregates over the following rows.
+    ``slice_by`` must not decrease along the first column of ``order``; without
+    it that column is cut evenly. ``reverse`` runs from the end, giving aggregates over the following rows.
     ``peers`` includes all rows with an equal (single) order value.
     """
     by = list(by)
     sort = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-    sliced = df.withColumn(SLICE, slice_by)
+    if slice_by is None:
+        slice_by = even_slices(df, order[0])
+    sliced = slice_by.add(df, order[0]) if isinstance(slice_by, Slices) else df.withColumn(SLICE, slice_by)
 
     local = Window.partitionBy(*by, SLICE).orderBy(*sort)
     if peers:
@@ -71,6 +101,12 @@ def running(
         local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     rows = sliced.select("*", *[_over(a, local).alias(f"_in_{n}") for n, a in aggregates.items()])
 
+    if isinstance(slice_by, Slices) and not slice_by.bounds:
+        return rows.select(
+            *[F.col(c) for c in df.columns],
+            *[_merge(a.kind, F.lit(None), F.col(f"_in_{n}")).alias(n) for n, a in aggregates.items()],
+        )
+
     place = F.struct(*[F.col(c) for c in order])
     totals = sliced.groupBy(*by, SLICE).agg(
         *[_total(a, place, reverse).alias(f"_total_{n}") for n, a in aggregates.items()]
@@ -92,20 +128,20 @@ def running(
     )
 
 
-def row_position(df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, name: str) -> DataFrame:
+def row_position(df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, name: str) -> DataFrame:
     """Position of the row in its group, from 1."""
     return running(df, by, order, slice_by, {name: Running("sum", F.lit(1))}, inclusive=True)
 
 
 def previous(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, names: dict[str, str]
+    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, names: dict[str, str]
 ) -> DataFrame:
     """Add the previous row's value of columns, as ``{new name: column}``."""
     return _neighbour(df, by, order, slice_by, names, reverse=False)
 
 
 def following(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, names: dict[str, str]
+    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, names: dict[str, str]
 ) -> DataFrame:
     """Add the next row's value of columns, as ``{new name: column}``."""
     return _neighbour(df, by, order, slice_by, names, reverse=True)
@@ -124,14 +160,14 @@ def sliding_sum(
     at: str,
     width_us: int,
     sums: dict[str, Column],
-    *,
-    slice_us: int = TIME_SLICE_US,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Add sums over the rows of the group with time in ``[t - width, t]``.
 
     Spark evaluates a sliding ``rangeBetween`` frame again for every row. Here
     each row enters the sum at its time and leaves it after ``width``, so one
-    running sum over twice the rows gives the same value.
+    running sum over twice the rows gives the same value. ``slices`` cut the
+    doubled time ``2 t``.
     """
     enter = df.select("*", (F.col(at) * 2).alias("_step"), *[c.alias(n) for n, c in sums.items()])
     leave = enter.select(
@@ -146,7 +182,7 @@ def sliding_sum(
         steps,
         by,
         ["_step"],
-        by_time("_step", 2 * slice_us),
+        slices,
         {f"_sum_{n}": Running("sum", F.col(n)) for n in sums},
         peers=True,
     )

@@ -9,30 +9,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keylane.operators.ordered import Running, by_time, previous, running
+from keylane.operators.ordered import Running, Slices, even_slices, previous, running
 
 CLEARING = ("clear_and_schedule", "clear_scheduled")
 SCHEDULING = ("schedule", "clear_and_schedule")
-DAY_US = 86_400_000_000
 SECOND_US = 1_000_000
 
 
-def surviving(ops: DataFrame, slice_us: int = DAY_US) -> DataFrame:
+def surviving(ops: DataFrame, slices: Slices | None = None) -> DataFrame:
     """Scheduled instants no later operation removed before they were due.
 
     One row per (key, instant). An instant survives a clear or an unschedule
     that comes at or after it. Both look-aheads are running minima over the
     following rows, so there is no range join and no hot key.
     """
-    # a group holds every operation on one key; the next clear follows in its order
+    slices = even_slices(ops, "ts_us") if slices is None else slices
     cleared = running(
-        ops, ["key"], ["ts_us", "seq"], by_time("ts_us", slice_us),
+        ops, ["key"], ["ts_us", "seq"], slices,
         {"next_clear_us": Running("min", F.when(F.col("op").isin(*CLEARING), F.col("ts_us")))},
         reverse=True,
     )
     named = cleared.filter(F.col("at_s").isNotNull() & (F.col("op") != "clear_scheduled"))
     dropped = running(
-        named, ["key", "at_s"], ["ts_us", "seq"], by_time("ts_us", slice_us),
+        named, ["key", "at_s"], ["ts_us", "seq"], slices,
         {"next_drop_us": Running("min", F.when(F.col("op") == "unschedule", F.col("ts_us")))},
         reverse=True,
     )
@@ -49,14 +48,14 @@ def _not_before(at: Column, due: Column) -> Column:
     return at.isNull() | (at >= due)
 
 
-def timer_firings(ops: DataFrame, now_us: int, **slicing) -> DataFrame:
+def timer_firings(ops: DataFrame, now_us: int, slices: Slices | None = None) -> DataFrame:
     """Timers that have fired by ``now``: one row per key and instant."""
-    return surviving(ops, **slicing).filter(F.col("fire_s") * SECOND_US <= now_us)
+    return surviving(ops, slices).filter(F.col("fire_s") * SECOND_US <= now_us)
 
 
-def pending_timers(ops: DataFrame, now_us: int, **slicing) -> DataFrame:
+def pending_timers(ops: DataFrame, now_us: int, slices: Slices | None = None) -> DataFrame:
     """Timers still scheduled at ``now``."""
-    return surviving(ops, **slicing).filter(F.col("fire_s") * SECOND_US > now_us)
+    return surviving(ops, slices).filter(F.col("fire_s") * SECOND_US > now_us)
 
 
 def scheduled_counts(ops: DataFrame, now_us: int) -> DataFrame:
@@ -75,10 +74,9 @@ def only_operations(ops: DataFrame, *names: str) -> DataFrame:
     return ops.filter(F.col("op").isin(*names))
 
 
-def timer_accuracy(fired: DataFrame, tolerance_us: int = SECOND_US, slice_us: int = DAY_US) -> DataFrame:
+def timer_accuracy(fired: DataFrame, tolerance_us: int = SECOND_US, slices: Slices | None = None) -> DataFrame:
     """Lateness of each firing, whether it is within tolerance and in order."""
-    near = previous(fired, ["key"], ["fire_s", "fired_us"], by_time("fire_s", slice_us // SECOND_US),
-                    {"_before_us": "fired_us"})
+    near = previous(fired, ["key"], ["fire_s", "fired_us"], slices, {"_before_us": "fired_us"})
     late = F.col("fired_us") - F.col("fire_s") * SECOND_US
     return near.select(
         *fired.columns,

@@ -49,19 +49,21 @@ def dedup_unbounded(events):
     return D.dedup(rows, order=("part", "event_id")).select(*SEEN)
 
 
-TTL_SQL = """
+TTL_TABLES = """
 WITH RECURSIVE """ + MESSAGES.strip() + """,
-kept AS (
+recorded AS (
   SELECT key, id, min(ts_us) AS ts_us FROM messages WHERE id IS NOT NULL GROUP BY key, id
   UNION ALL
-  SELECT m.key, m.id, min(m.ts_us) FROM kept JOIN messages m
-    ON m.key = kept.key AND m.id = kept.id AND m.ts_us > kept.ts_us + 604800000000
-  GROUP BY m.key, m.id, kept.ts_us)
-SELECT m.event_id, m.part, m.key, m.id FROM messages m JOIN kept USING (key, id, ts_us)
-UNION ALL SELECT event_id, part, key, id FROM messages WHERE id IS NULL"""
+  SELECT m.key, m.id, min(m.ts_us) FROM recorded r JOIN messages m
+    ON m.key = r.key AND m.id = r.id AND m.ts_us > r.ts_us + 604800000000
+  GROUP BY m.key, m.id, r.ts_us),
+kept AS (
+  SELECT m.* FROM messages m JOIN recorded r ON m.key = r.key AND m.id = r.id AND m.ts_us = r.ts_us
+  UNION ALL SELECT * FROM messages WHERE id IS NULL)
+"""
 
 
-@query(TTL_SQL)
+@query(TTL_TABLES + "SELECT event_id, part, key, id FROM kept")
 def dedup_ttl(events):
     rows = views.messages(events, offsets=False).select("topic", *SEEN, "ts_us")
     return D.dedup(rows, ttl_s=604_800, order=("part", "event_id")).select(*SEEN)

@@ -29,7 +29,31 @@ SELECT part, off, key, CASE WHEN k % 7 = 0 THEN 'permanent' WHEN type IS NULL TH
   AS error_message FROM messages""")
 def handler_calls(events):
     rows = views.messages(events).withColumn("payload", F.to_json(F.struct("type", "id", "k")))
-    return K.process(rows, ShopHandler).select("part", "off", "key", "outcome", "error_class", "error_message")
+    calls = K.process(rows, ShopHandler, independent=True)
+    return calls.select("part", "off", "key", "outcome", "error_class", "error_message")
+
+
+class OrderedHandler(EventHandler):
+    """Refuses a number below the one before it under the same key."""
+
+    def __init__(self):
+        self.key = self.number = None
+
+    def on_message(self, context, message):
+        before = self.number if self.key == message.key else None
+        self.key, self.number = message.key, message.payload["k"]
+        if before is not None and self.number < before:
+            raise LookupError(f"{self.number} after {before}")
+
+
+@query(with_(MESSAGES) + """
+SELECT part, off, key, CASE WHEN k < before THEN 'transient' ELSE 'success' END AS outcome,
+  CASE WHEN k < before THEN concat(CAST(k AS VARCHAR), ' after ', CAST(before AS VARCHAR)) END AS error_message
+FROM (SELECT *, LAG(k) OVER (PARTITION BY key ORDER BY part, off) AS before FROM messages)""")
+def handler_calls_in_order(events):
+    """A handler that relies on serial, ordered calls per key."""
+    rows = views.messages(events).withColumn("payload", F.to_json(F.struct("type", "id", "k")))
+    return K.process(rows, OrderedHandler).select("part", "off", "key", "outcome", "error_message")
 
 
 @query(with_(EXECS) + "SELECT event_id, error_class, outcome, cancelled FROM execs")

@@ -2,15 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from keylane.handlers import EventHandler
 from keylane.operators.health import throughput
-from keylane.plans import transport
+from keylane.options import PipelineOptions
+from keylane.plans import timing, transport  # noqa: F401
 from keylane.plans.base import EXECS, SQL, query, with_
+from keylane.plans.dedups import TTL_TABLES
+from keylane.plans.keyed import ShopHandler
 from keylane.plans.load import TUMBLING, micros
 from keylane.session import run_folder
 from keylane.sources import views
 from keylane.sources.messages import read_messages
 from keylane.streaming.client import run_to_table
 from keylane.streaming.dedup import dedup_stream, read_upserted, upsert_batch
+from keylane.streaming.processor import process_stream
 
 
 def as_stream(df, name):
@@ -67,3 +72,72 @@ def throughput_stream(events):
     )
     query.awaitTermination()
     return read_upserted(spark, f"{folder}/table", ("window_start_us",), order).drop("batch_id")
+
+
+class LoggedTimers(EventHandler):
+    """Runs the timer operations a message names."""
+
+    def on_message(self, context, message):
+        op = message.payload["op"]
+        if op == "clear_scheduled":
+            context.clear_scheduled()
+        elif "at_s" in message.payload:
+            getattr(context, op)(message.payload["at_s"])
+
+    def on_timer(self, context, timer):
+        pass
+
+
+@query(SQL["timer_firings"])
+def timer_firings_stream(events):
+    """Timers set, replaced and removed by a handler, fired by event time."""
+    ops = views.timer_ops(events).select(
+        F.lit(views.TOPIC).alias("topic"), F.lit(0).alias("part"), F.col("seq").alias("off"), "key",
+        F.timestamp_micros("ts_us").alias("ts"), "ts_us", F.lit(None).cast("string").alias("id"),
+        F.to_json(F.struct("op", "at_s")).alias("payload"),
+    )
+    stream, folder = as_stream(ops, "timers")
+    # the whole log is one micro-batch, so nothing can come late
+    results = process_stream(stream, LoggedTimers, PipelineOptions(watermark_delay=0))
+    fired = run_to_table(results, folder).filter(F.col("kind") == "timer")
+    return fired.select("key", "fire_s")
+
+
+@query(TTL_TABLES + """
+SELECT event_id, CASE WHEN k % 7 = 0 THEN 'permanent' WHEN type IS NULL THEN 'transient' ELSE 'success' END AS outcome,
+  CAST(CASE WHEN k % 7 <> 0 AND type IS NULL THEN 4 ELSE 1 END AS INT) AS attempt,
+  CASE WHEN k % 7 = 0 OR type IS NULL THEN 'dead_letter' ELSE 'done' END AS route FROM kept""")
+def handler_calls_stream(events):
+    """Dedup and handler in one stateful operator, in low-latency mode."""
+    rows = views.messages(events, offsets=False).select(
+        "topic", "part", F.col("event_id").alias("off"), "key", "ts", "ts_us", "id",
+        F.to_json(F.struct("type", "id", "k")).alias("payload"),
+    )
+    stream, folder = as_stream(rows, "handler")
+    options = PipelineOptions(mode="low_latency", watermark_delay=0)
+    results = run_to_table(process_stream(stream, ShopHandler, options), folder)
+    return results.select(F.col("off").alias("event_id"), "outcome", "attempt", "route")
+
+
+class SlowTypes(EventHandler):
+    """A message without a type only succeeds three seconds after it was sent."""
+
+    def on_message(self, context, message):
+        if "type" not in message.payload and (context.now - message.timestamp).total_seconds() < 3:
+            raise OSError("no type yet")
+
+
+@query()
+def deferral_stream(events):
+    """Deferred retries per message: tries, and when the last one ran."""
+    rows = views.messages(events, offsets=False).select(
+        "topic", "part", F.col("event_id").alias("off"), "key", "ts", "ts_us", F.lit(None).cast("string").alias("id"),
+        F.to_json(F.struct("type", "id", "k")).alias("payload"),
+    )
+    stream, folder = as_stream(rows, "deferral")
+    results = run_to_table(process_stream(stream, SlowTypes, PipelineOptions(watermark_delay=0)), folder)
+    return results.groupBy(F.col("off").alias("event_id"), "key").agg(
+        F.max("attempt").alias("attempts"),
+        F.max_by("outcome", "attempt").alias("outcome"),
+        F.max("at_us").alias("last_us"),
+    )

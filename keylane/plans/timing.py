@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from keylane.operators import timers as T
+from keylane.operators.ordered import even_slices
 from keylane.plans.base import NOW, TIMER_OPS, last_us, query, with_
 from keylane.sources import views
 
@@ -72,8 +73,9 @@ FROM (SELECT key, fire_s, fire_s * 1000000 + (fire_s * 7919) % 1200000 AS fired_
 def timer_accuracy(events):
     """Firings with a lateness of up to 1.2 s, checked against 1 s."""
     late = (F.col("fire_s") * 7919) % 1_200_000
-    fired = T.timer_firings(views.timer_ops(events), last_us(events))
-    return T.timer_accuracy(fired.withColumn("fired_us", F.col("fire_s") * 1_000_000 + late))
+    ops = views.timer_ops(events)
+    fired = T.timer_firings(ops, last_us(events)).withColumn("fired_us", F.col("fire_s") * 1_000_000 + late)
+    return T.timer_accuracy(fired, slices=even_slices(ops, "fire_s"))
 
 
 @query(with_(TIMER_OPS) + f"""
