@@ -7,19 +7,24 @@ per task, and never by ranking the group in one window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.operators.filters import unexpired
 from keylane.operators.ordered import by_number, previous
-from keylane.operators.skew import bounded, hot_groups, split_join
+from keylane.operators.skew import bounded, hot_groups
 from keylane.session import ensure_checkpoint_dir
 
 KEYS = ("topic", "key", "id")
 WEEK_S = 604_800.0
+# a smaller group is walked in one task, whatever its share of a small table
+FOLD_ROWS = 100_000
 
 
 def dedup(
@@ -54,32 +59,64 @@ def _firsts(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame
 
 
 def _dedup_ttl(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
-    """Greedy dedup, one time slice of length ``ttl`` after the other.
+    size = df.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("rows")).first()
+    if size["rows"] == 0 or size["last"] - size["first"] <= ttl_us:
+        return _firsts(df, by, [at, *order])
+    hot = hot_groups(df, by, size["rows"], FOLD_ROWS)
+    if hot is None:
+        return _greedy_fold(df, ttl_us, by, order, at)
+    hot = F.broadcast(hot)
+    rest = df.join(hot, list(by), "left_anti").select(*df.columns)
+    copies = df.join(hot, list(by), "left_semi").select(*df.columns)
+    return _greedy_fold(rest, ttl_us, by, order, at).unionByName(_greedy_rounds(copies, ttl_us, by, order, at))
+
+
+def _greedy_fold(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
+    """Walk each group in time order. No group is hot, and rows stream through."""
+    ordered = df.repartition(*by).sortWithinPartitions(*by, at, *order)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, recorded = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = [batch[c] for c in by]
+            changes = np.zeros(batch.num_rows, dtype=bool)
+            for key in keys:
+                changes[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+            changes[0] = group != tuple(key[0].as_py() for key in keys)
+            group = tuple(key[-1].as_py() for key in keys)
+            keep = []
+            for new, time in zip(changes.tolist(), batch[at].to_pylist()):
+                kept = new or time > recorded + ttl_us
+                if kept:
+                    recorded = time
+                keep.append(kept)
+            yield batch.filter(pa.array(keep))
+
+    return ordered.mapInArrow(walk, df.schema)
+
+
+def _greedy_rounds(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
+    """The hot groups, one time slice of length ``ttl`` after the other.
 
     Two kept copies lie more than ``ttl`` apart, so a slice keeps at most one
     per group, and only a copy kept in the slice before can still cover rows of
-    this one. Each slice is therefore one join and one aggregation, and all
-    slices together read the rows once when the table is ordered by time.
+    this one. A round reads its slice only, joins the few kept copies by
+    broadcast and reduces the rows map-side.
     """
-    span = df.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
-    if span["first"] is None:
-        return df
-    if span["last"] - span["first"] <= ttl_us:
-        return _firsts(df, by, [at, *order])
     ensure_checkpoint_dir(df.sparkSession)
-    hot = hot_groups(df, by)
-    slices = range(span["first"] // ttl_us, span["last"] // ttl_us + 1)
+    span = df.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
     kept: list[DataFrame] = []
-    for number in slices:
+    for number in range(span["first"] // ttl_us, span["last"] // ttl_us + 1):
         rows = df.filter((F.col(at) >= number * ttl_us) & (F.col(at) < (number + 1) * ttl_us))
-        parts = [rows]
         if kept:
-            covered = kept[-1].select(*by, (F.col(at) + ttl_us).alias("_covered"))
+            # one row per hot group
+            covered = F.broadcast(kept[-1].select(*by, (F.col(at) + ttl_us).alias("_covered")))
             uncovered = F.coalesce(F.col(at) > F.col("_covered"), F.lit(True))
-            parts = [p.filter(uncovered).select(*df.columns) for p in split_join(rows, covered, by, hot)]
-        firsts = reduce(DataFrame.unionByName, [_firsts(p, by, [at, *order]) for p in parts])
-        # written to the shared folder: later slices and the result start from it
-        kept.append(firsts.checkpoint())
+            rows = rows.join(covered, list(by), "left").filter(uncovered).select(*df.columns)
+        # written to the shared folder: the next round and the result start from it
+        kept.append(_firsts(rows, by, [at, *order]).checkpoint())
     return reduce(DataFrame.unionByName, kept)
 
 
@@ -96,13 +133,6 @@ def distinct_ids(df: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
     return df.filter(F.col(by[-1]).isNotNull()).groupBy(*by).agg(F.count("*").alias("copies"))
 
 
-def dedup_within_watermark(stream: DataFrame, delay_s: float, by: Sequence[str] = KEYS, at: str = "ts") -> DataFrame:
-    """Streaming best-effort dedup with state bounded by the watermark."""
-    with_id = stream.filter(F.col(by[-1]).isNotNull())
-    kept = with_id.withWatermark(at, f"{delay_s} seconds").dropDuplicatesWithinWatermark(list(by))
-    return kept.unionByName(stream.filter(F.col(by[-1]).isNull()))
-
-
 def dedup_ledger(df: DataFrame, version: str = "1", by: Sequence[str] = KEYS, at: str = "ts_us") -> DataFrame:
     """The record of seen ids that outlives a restart: one row per id, when first seen."""
     seen = df.filter(F.col(by[-1]).isNotNull())

@@ -1,4 +1,4 @@
-"""Joins whose left side may have hot groups, and checked broadcasts."""
+"""Hot groups, found by counting, and broadcasts with a checked size."""
 
 from __future__ import annotations
 
@@ -17,28 +17,12 @@ def bounded(side: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(side) if small else side
 
 
-def hot_groups(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """The groups holding more than ``1/HOT_SHARE`` of the rows: under ``HOT_SHARE`` of them."""
-    least = df.select(*on).count() // HOT_SHARE
-    # a group of a few rows is no burden, whatever its share of a small table
-    hot = df.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > max(least, HOT_SHARE)).select(*on)
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
-
+def hot_groups(df: DataFrame, on: Sequence[str], total: int, least: int) -> DataFrame | None:
+    """The groups holding more than ``1/HOT_SHARE`` of ``total`` rows, and more than ``least``.
 
-def split_join(rows: DataFrame, side: DataFrame, on: Sequence[str], hot: DataFrame | None) -> list[DataFrame]:
-    """Left join to a side with one row per group, hot groups apart.
-
-    The side's rows of the hot groups are fewer than ``HOT_SHARE`` and are
-    broadcast, so hot rows stay where they are; a following aggregation reduces
-    them map-side. The others are joined by a shuffle. The two parts come
-    separately, because a union of them is no longer partitioned by group.
+    There are fewer than ``HOT_SHARE`` of them, so they can be broadcast.
     """
-    on = list(on)
-    if hot is None:
-        return [rows.join(side, on, "left")]
-    marked = F.broadcast(hot)
-    return [
-        rows.join(marked, on, "left_semi").join(F.broadcast(side.join(marked, on, "left_semi")), on, "left"),
-        rows.join(marked, on, "left_anti").join(side, on, "left"),
-    ]
+    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
+    hot = counts.filter(F.col("_n") > max(total // HOT_SHARE, least)).select(*on)
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None

@@ -41,7 +41,8 @@ class TtlDedup(StatefulProcessor):
         self.recorded = handle.getValueState("recorded", "us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        recorded = self.recorded.get()[0] if self.recorded.exists() else None
+        found = self.recorded.get()
+        recorded = None if found is None else found[0]
         changed = False
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             if recorded is not None and row["ts_us"] <= recorded + self.ttl_us:
@@ -54,7 +55,8 @@ class TtlDedup(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # an older timer may expire while a newer record is still live
-        if self.recorded.exists() and self._end(self.recorded.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+        found = self.recorded.get()
+        if found is not None and self._end(found[0]) <= expiredTimerInfo.getExpiryTimeInMs():
             self.recorded.clear()
         return iter([])
 
@@ -65,6 +67,13 @@ class TtlDedup(StatefulProcessor):
         pass
 
 
+def dedup_within_watermark(stream: DataFrame, delay_s: float, by: Sequence[str] = KEYS, at: str = "ts") -> DataFrame:
+    """Streaming best-effort dedup with state bounded by the watermark."""
+    with_id = stream.filter(F.col(by[-1]).isNotNull())
+    kept = with_id.withWatermark(at, f"{delay_s} seconds").dropDuplicatesWithinWatermark(list(by))
+    return kept.unionByName(stream.filter(F.col(by[-1]).isNull()))
+
+
 def upsert_batch(path: str, by: Sequence[str] = ("key",), order: Sequence[str] = ("ts_us", "part", "off")):
     """A ``foreachBatch`` function: each micro-batch adds its last write per key.
 

@@ -107,55 +107,83 @@ class KeyedProcessor(StatefulProcessor):
         self.handle = handle
         self.handler = self.make()
         self.queue = handle.getListState("queue", QUEUED)
-        self.tries = handle.getValueState("tries", "tries int")
-        self.retry_at = handle.getValueState("retry_at", "ms bigint")
-        self.timers = handle.getMapState("timers", "fire_s bigint", "scheduled boolean")
+        self.waiting = handle.getValueState("waiting", "tries int, retry_ms bigint")
         self.seen = handle.getMapState("seen", "id string", "recorded_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self._load()
+        known: dict[str, int | None] = {}
         for row in sorted(rows, key=lambda r: (r["part"], r["off"])):
             at_us = row["ts_us"] if self.event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
             if self.event_time:
                 yield from self._catch_up(key[0], at_us)
-            if self._duplicate(row["id"], row["ts_us"]):
+            if self._duplicate(known, row["id"], row["ts_us"]):
                 continue
             item = (row["topic"], row["part"], row["off"], row["ts_us"], row["payload"], None)
             yield from self._accept(key[0], item, at_us)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self._load()
         ms = expiredTimerInfo.getExpiryTimeInMs()
         now_us = (ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()) * 1000
-        if self.retry_at.exists() and self.retry_at.get()[0] <= ms:
+        if ms % 1000 == 0:
+            if ms // 1000 in self.user:
+                yield from self._fire(key[0], ms // 1000, now_us)
+        elif self.retry is not None and self.retry[1] == ms:
             yield from self._retry(key[0], now_us)
-        if ms % 1000 == 0 and self.timers.containsKey((ms // 1000,)):
-            yield from self._fire(key[0], ms // 1000, now_us)
-        self._forget(now_us)
+        else:
+            self._forget(now_us)
 
     def close(self) -> None:
         pass
 
+    # -- timers: the user's are on whole seconds, our own never are ----------
+
+    def _load(self) -> None:
+        """The key's timers, read once per call and kept up to date in it."""
+        listed = list(self.handle.listTimers())
+        self.user = {ms // 1000 for ms in listed if ms % 1000 == 0}
+        own = [ms for ms in listed if ms % 1000]
+        self.retry = self.waiting.get() if own else None
+        self.purging = any(self.retry is None or ms != self.retry[1] for ms in own)
+
+    def _own_timer(self, ms: int) -> int:
+        ms += ms % 1000 == 0
+        self.handle.registerTimer(ms)
+        return ms
+
+    def schedule(self, second: int) -> None:
+        if second not in self.user:
+            self.user.add(second)
+            self.handle.registerTimer(second * 1000)
+
+    def unschedule(self, second: int) -> None:
+        if second in self.user:
+            self.user.remove(second)
+            self.handle.deleteTimer(second * 1000)
+
     # -- order of work -------------------------------------------------------
 
     def _catch_up(self, key: str, at_us: int) -> Iterator[Row]:
         """Everything due by ``at_us`` runs before the message of that time."""
         while True:
-            due = sorted(s for (s,) in self.timers.keys() if s * 1_000_000 <= at_us)
-            retry = self.retry_at.get()[0] if self.retry_at.exists() else None
-            if retry is not None and retry * 1000 <= at_us and (not due or retry <= due[0] * 1000):
-                self.handle.deleteTimer(retry)
-                yield from self._retry(key, retry * 1000)
-            elif due:
-                self.handle.deleteTimer(due[0] * 1000)
-                yield from self._fire(key, due[0], max(due[0] * 1_000_000, 0))
+            second = min((s for s in self.user if s * 1_000_000 <= at_us), default=None)
+            retry_ms = self.retry[1] if self.retry is not None else None
+            if retry_ms is not None and retry_ms * 1000 <= at_us and (second is None or retry_ms < second * 1000):
+                self.handle.deleteTimer(retry_ms)
+                yield from self._retry(key, retry_ms * 1000)
+            elif second is not None:
+                self.handle.deleteTimer(second * 1000)
+                yield from self._fire(key, second, second * 1_000_000)
             else:
                 return
 
     def _fire(self, key: str, second: int, now_us: int) -> Iterator[Row]:
-        self.timers.removeKey((second,))
+        self.user.remove(second)
         yield from self._accept(key, (None, None, None, now_us, None, second), now_us)
 
     def _accept(self, key: str, item: tuple, now_us: int) -> Iterator[Row]:
-        if self.retry_at.exists():
+        if self.retry is not None:
             self.queue.appendValue(item)
             return
         result, waits = self._run(key, item, 1, now_us)
@@ -165,22 +193,22 @@ class KeyedProcessor(StatefulProcessor):
 
     def _retry(self, key: str, now_us: int) -> Iterator[Row]:
         """Work through the queue until it is empty or its head fails again."""
-        waiting = [tuple(q) for q in self.queue.get()]
-        tries = self.tries.get()[0] if self.tries.exists() else 1
-        self.retry_at.clear()
-        self.tries.clear()
-        while waiting:
+        queued = [tuple(q) for q in self.queue.get()]
+        tries = self.retry[0]
+        self.retry = None
+        while queued:
             tries += 1
-            result, waits = self._run(key, waiting[0], tries, now_us)
+            result, waits = self._run(key, queued[0], tries, now_us)
             yield result
             if waits:
                 break
-            waiting.pop(0)
+            queued.pop(0)
             tries = 0
-        if waiting:
-            self.queue.put(waiting)
+        if queued:
+            self.queue.put(queued)
         else:
             self.queue.clear()
+            self.waiting.clear()
 
     def _run(self, key: str, item: tuple, tries: int, now_us: int) -> tuple[Row, bool]:
         """Call the handler; the flag says that the item must be tried again later."""
@@ -197,10 +225,9 @@ class KeyedProcessor(StatefulProcessor):
             outcome = attempt(call, context, event)
         route = self._route(outcome)
         if route == "retry":
-            ms = now_us // 1000 + delay_ms(tries, *self.pace)
-            self.tries.update((tries,))
-            self.retry_at.update((ms,))
-            self.handle.registerTimer(ms)
+            ms = self._own_timer(now_us // 1000 + delay_ms(tries, *self.pace))
+            self.retry = (tries, ms)
+            self.waiting.update(self.retry)
         kind = "message" if fire_s is None else "timer"
         letter = payload if route == "dead_letter" else None
         values = (key, kind, topic, part, off, fire_s, now_us, tries, *outcome, route, letter)
@@ -215,19 +242,33 @@ class KeyedProcessor(StatefulProcessor):
 
     # -- remembered ids ------------------------------------------------------
 
-    def _duplicate(self, id_: str | None, ts_us: int) -> bool:
+    def _duplicate(self, known: dict[str, int | None], id_: str | None, ts_us: int) -> bool:
+        """Whether the id was kept within the ttl; ``known`` holds what this call has read."""
         if id_ is None or not self.dedup:
             return False
-        if self.seen.containsKey((id_,)) and ts_us <= self.seen.getValue((id_,))[0] + self.ttl_us:
+        if id_ not in known:
+            found = self.seen.getValue((id_,))
+            known[id_] = None if found is None else found[0]
+        if known[id_] is not None and ts_us <= known[id_] + self.ttl_us:
             return True
+        known[id_] = ts_us
         self.seen.updateValue((id_,), (ts_us,))
-        self.handle.registerTimer((ts_us + self.ttl_us) // 1000 + 1)
+        if not self.purging:
+            self.purging = True
+            self._own_timer((ts_us + self.ttl_us) // 1000 + 1)
         return False
 
     def _forget(self, now_us: int) -> None:
-        old = [id_ for (id_,), (recorded,) in self.seen.iterator() if recorded + self.ttl_us < now_us]
-        for id_ in old:
-            self.seen.removeKey((id_,))
+        """Drop ids that no longer matter, a few times per ttl."""
+        kept = []
+        for (id_,), (recorded,) in list(self.seen.iterator()):
+            if recorded + self.ttl_us < now_us:
+                self.seen.removeKey((id_,))
+            else:
+                kept.append(recorded)
+        if kept:
+            later = max(min(kept) + self.ttl_us, now_us + self.ttl_us // 16)
+            self._own_timer(later // 1000 + 1)
 
 
 class StreamContext:
@@ -240,36 +281,22 @@ class StreamContext:
 
     def schedule(self, at: datetime | float) -> None:
         """Add an instant; scheduling it twice keeps one."""
-        second = timer_second(at)
-        self._processor.timers.updateValue((second,), (True,))
-        self._processor.handle.registerTimer(second * 1000)
+        self._processor.schedule(timer_second(at))
 
     def clear_and_schedule(self, at: datetime | float) -> None:
         """Replace all instants by one; an invalid instant changes nothing."""
-        timer_second(at)
+        second = timer_second(at)
         self.clear_scheduled()
-        self.schedule(at)
+        self._processor.schedule(second)
 
     def unschedule(self, at: datetime | float) -> None:
         """Remove an instant; no effect when it is not scheduled."""
-        second = timer_second(at)
-        if self._processor.timers.containsKey((second,)):
-            self._remove(second)
+        self._processor.unschedule(timer_second(at))
 
     def clear_scheduled(self) -> None:
-        for second in self._seconds():
-            self._remove(second)
+        for second in list(self._processor.user):
+            self._processor.unschedule(second)
 
     def scheduled(self) -> list[datetime]:
         """The pending instants in order."""
-        return [instant(s * 1_000_000) for s in self._seconds()]
-
-    def _seconds(self) -> list[int]:
-        return sorted(s for (s,) in self._processor.timers.keys())
-
-    def _remove(self, second: int) -> None:
-        self._processor.timers.removeKey((second,))
-        retry = self._processor.retry_at
-        # a retry may share the instant's Spark timer
-        if not (retry.exists() and retry.get()[0] == second * 1000):
-            self._processor.handle.deleteTimer(second * 1000)
+        return [instant(s * 1_000_000) for s in sorted(self._processor.user)]
