@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from typing import Any
 
@@ -84,7 +85,9 @@ class EventClient:
         """Finish the running micro-batch within the shutdown budget, then stop."""
         if self.query is None:
             return
-        self.query.awaitTermination(0)
+        end = time.monotonic() + self.options.shutdown_timeout
+        while self.query.isActive and self.query.status["isTriggerActive"] and time.monotonic() < end:
+            time.sleep(0.05)
         self.query.stop()
         self.query = None
 
