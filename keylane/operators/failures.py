@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.functions.scalars import backoff_delay, timed_out
+from keylane.operators.health import throughput
 from keylane.operators.ordered import Slices, sliding_sum
 from keylane.options import PipelineOptions
 
@@ -97,6 +98,21 @@ def failure_rate(
     return counted.withColumn("defer_allowed", F.lit(options.defer_enabled) & (share <= options.defer_failure_threshold))
 
 
+def windowed_failure_rate(
+    outcomes: DataFrame,
+    options: PipelineOptions | None = None,
+    *,
+    slide: str = "1 minute",
+    by: Sequence[str] = ("topic",),
+    delay: str | None = None,
+) -> DataFrame:
+    """The failure share of sliding windows: the form that also runs on a stream."""
+    options = options or PipelineOptions()
+    counted = throughput(outcomes, f"{options.defer_failure_window} seconds", slide, by, delay=delay)
+    share = F.col("failures") / F.col("messages")
+    return counted.withColumn("defer_allowed", F.lit(options.defer_enabled) & (share <= options.defer_failure_threshold))
+
+
 def deferred_backlog(deferred: DataFrame) -> DataFrame:
     """Deferred keys and messages per partition."""
     per_key = deferred.groupBy("topic", "part", "key").agg(F.count("*").alias("_n"), F.min("next_retry_us").alias("_next"))

@@ -63,6 +63,19 @@ def failure_rate(events):
     return R.failure_rate(rows, options).select("event_id", "window_failed", "window_all", "defer_allowed")
 
 
+@query(with_(EXECS) + """
+SELECT topic, window_start_us, messages, failures, failures / messages <= 0.5 AS defer_allowed FROM (
+  SELECT topic, window_start_us, count(*) AS messages,
+    CAST(sum(CASE WHEN outcome <> 'success' THEN 1 ELSE 0 END) AS BIGINT) AS failures
+  FROM (SELECT topic, outcome, (start_us // 600000000 - i) * 600000000 AS window_start_us
+        FROM execs, (VALUES (0), (1), (2)) v(i)) GROUP BY ALL)""")
+def failure_rate_windows(events):
+    options = PipelineOptions(defer_failure_window=1800, defer_failure_threshold=0.5)
+    rated = R.windowed_failure_rate(views.outcomes(events), options, slide="10 minutes")
+    return rated.select("topic", F.unix_micros("window_start").alias("window_start_us"), "messages", "failures",
+                        "defer_allowed")
+
+
 @query(with_(EXECS) + """
 SELECT event_id, dur_ms, start_us + 48000000 AS cancelled_us, 'Cancelled' AS timeout_class,
   'transient' AS timeout_outcome FROM execs WHERE dur_ms > 48000""")

@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from keylane.handlers import EventHandler
-from keylane.operators.health import throughput
+from keylane.operators.health import stalled_partitions, throughput
 from keylane.options import PipelineOptions
 from keylane.plans import timing, transport  # noqa: F401
-from keylane.plans.base import EXECS, SQL, query, with_
-from keylane.plans.dedups import TTL_TABLES
+from keylane.plans.base import EXECS, SQL, last_us, query, with_
+from keylane.plans.dedups import TRANSITIONS, TTL_TABLES
 from keylane.plans.keyed import ShopHandler
 from keylane.plans.load import TUMBLING, micros
 from keylane.session import run_folder
@@ -16,6 +16,7 @@ from keylane.sources.messages import read_messages
 from keylane.streaming.client import run_to_table
 from keylane.streaming.dedup import dedup_stream, read_upserted, upsert_batch
 from keylane.streaming.processor import process_stream
+from keylane.streaming.saga import state_machine_stream
 
 
 def as_stream(df, name):
@@ -74,6 +75,28 @@ def throughput_stream(events):
     return read_upserted(spark, f"{folder}/table", ("window_start_us",), order).drop("batch_id")
 
 
+@query(SQL["saga_states"])
+def saga_states_stream(events):
+    rows = views.messages(events, offsets=False).select("key", "event_id", "type")
+    stream, folder = as_stream(rows, "saga")
+    return run_to_table(state_machine_stream(stream, TRANSITIONS, "new", order="event_id"), folder).drop("type")
+
+
+@query(SQL["stalled_partitions"])
+def stalled_partitions_stream(events):
+    """Each micro-batch leaves the last message per partition; the check reads those."""
+    rows = views.messages(events, offsets=False).select("topic", "part", "ts_us")
+    stream, folder = as_stream(rows, "stalls")
+    by, order = ("topic", "part"), ("ts_us",)
+    query = (
+        stream.writeStream.foreachBatch(upsert_batch(f"{folder}/table", by, order))
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    progress = read_upserted(events.sparkSession, f"{folder}/table", by, order)
+    return stalled_partitions(progress, last_us(events))
+
+
 class LoggedTimers(EventHandler):
     """Runs the timer operations a message names."""
 

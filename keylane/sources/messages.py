@@ -158,6 +158,16 @@ def write_messages(records: DataFrame, options: PipelineOptions, path: str | Non
     )
 
 
+def write_stream(records: DataFrame, options: PipelineOptions, checkpoint: str, path: str | None = None):
+    """Send a stream of records to the broker, or append it to a folder."""
+    writer = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if path is not None:
+        return writer.format("parquet").option("path", path)
+    if not options.bootstrap_servers:
+        raise ValueError("writing to the broker needs bootstrap_servers")
+    return writer.format("kafka").option("kafka.bootstrap.servers", ",".join(options.bootstrap_servers))
+
+
 def reload(deferred: DataFrame, log: DataFrame, on: Sequence[str] = ("topic", "part", "off")) -> DataFrame:
     """Stored messages of deferred offsets; gone ones are flagged ``offset_deleted``.
 

@@ -43,6 +43,17 @@ def timer_telemetry(ops: DataFrame) -> DataFrame:
     )
 
 
+def result_telemetry(results: DataFrame) -> DataFrame:
+    """One event per handler call of a stream: which kind of call, and how it ended."""
+    ended = F.when(F.col("outcome") == "success", "succeeded").otherwise("failed")
+    return results.select(
+        telemetry_time(F.col("at_us")).alias("event_time"),
+        F.concat_ws(".", "kind", ended).alias("event_type"),
+        "topic", "part", "off", "key",
+        F.coalesce("error_class", F.col("fire_s").cast("string")).alias("detail"),
+    )
+
+
 def telemetry(outcomes: DataFrame, timer_ops: DataFrame | None = None, enabled: bool = True) -> DataFrame:
     """All telemetry events; none when switched off."""
     events = message_telemetry(outcomes)

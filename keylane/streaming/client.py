@@ -16,7 +16,7 @@ from keylane.operators.filters import filter_allowed_events, filter_own_messages
 from keylane.operators.health import is_stalled
 from keylane.options import PipelineOptions
 from keylane.sources.messages import read_messages, to_records, with_reserved_fields, write_messages
-from keylane.sources.sinks import dead_letters, failure_records
+from keylane.sources.sinks import dead_letters, failure_records, result_telemetry, telemetry_records
 from keylane.streaming.processor import process_stream
 
 
@@ -100,17 +100,39 @@ class EventClient:
         """Send a table with ``key`` and ``payload``."""
         write_messages(to_records(df, topic, "key", F.col("payload"), self.source_system), self.options, path)
 
+    @property
+    def assigned_partitions(self) -> int:
+        """Partitions the running query has read from; ready when there is one."""
+        if self.query is None or self.query.lastProgress is None:
+            return 0
+        return sum(count_partitions(source["endOffset"]) for source in self.query.lastProgress["sources"])
+
     def is_stalled(self, progress: DataFrame, now_us: int) -> bool:
         """Whether a partition made no progress for longer than the threshold."""
         return is_stalled(progress, now_us, self.options).first()["is_stalled"]
 
 
+def count_partitions(offsets: Any) -> int:
+    """Partitions named in a source's offsets, ``{topic: {partition: offset}}``."""
+    if isinstance(offsets, str):
+        offsets = json.loads(offsets)
+    if not isinstance(offsets, dict):
+        return 0
+    return sum(len(partitions) for partitions in offsets.values() if isinstance(partitions, dict))
+
+
 def route_batch(sink: str, options: PipelineOptions):
-    """A ``foreachBatch`` function: outcomes, failure records and dead letters.
+    """A ``foreachBatch`` function: outcomes, failure records, telemetry, dead letters.
 
     Each batch overwrites folders named by its id, so repeating it is harmless.
     """
 
+    def emit(records: DataFrame, name: str, batch_id: int) -> None:
+        if options.mock or not options.bootstrap_servers:
+            records.write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch_id}")
+        else:
+            write_messages(records, options)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -119,15 +141,15 @@ def route_batch(sink: str, options: PipelineOptions):
             for kind in ("message", "timer"):
                 failures = failure_records(named.filter(F.col("kind") == kind), timer=kind == "timer")
                 failures.write.mode("overwrite").parquet(f"{sink}/failures/batch={batch_id}/kind={kind}")
+            if options.telemetry_enabled:
+                told = telemetry_records(result_telemetry(batch), options.telemetry_topic, options.origin)
+                emit(told, "telemetry", batch_id)
             if options.failure_topic is not None:
                 letters = dead_letters(
                     batch.filter(F.col("kind") == "message"), options.failure_topic, options.origin,
                     F.try_parse_json("payload"),
                 )
-                if options.mock or not options.bootstrap_servers:
-                    letters.write.mode("overwrite").parquet(f"{sink}/dead_letters/batch={batch_id}")
-                else:
-                    write_messages(letters, options)
+                emit(letters, "dead_letters", batch_id)
         finally:
             batch.unpersist()
 

@@ -6,6 +6,7 @@ once by key and keeps one state store.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -96,6 +97,7 @@ class KeyedProcessor(StatefulProcessor):
         self.max_retries = options.max_retries
         self.dedup = options.dedup_enabled
         self.ttl_us = round(options.idempotence_ttl * 1_000_000)
+        self.timeout = options.handler_timeout
         # without deferral a failing message is tried again at the shorter retry pace
         self.pace = (
             (options.defer_base, options.defer_max_delay)
@@ -278,6 +280,11 @@ class StreamContext:
         self._processor = processor
         self.key = key
         self.now = instant(now_us)
+        self._deadline = time.monotonic() + processor.timeout
+
+    def should_cancel(self) -> bool:
+        """Whether the call has run past its deadline and should give up."""
+        return time.monotonic() >= self._deadline
 
     def schedule(self, at: datetime | float) -> None:
         """Add an instant; scheduling it twice keeps one."""

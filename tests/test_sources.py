@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from keylane.options import PipelineOptions
 from keylane.sources.messages import decode, header_map, read_messages, reload, to_records, with_reserved_fields, write_messages
 from keylane.sources.sinks import failure_records, telemetry
-from keylane.streaming.client import EventClient
+from keylane.streaming.client import EventClient, count_partitions
 
 RECORD = ("topic string, partition int, offset bigint, timestamp timestamp, key string, value string, "
           "headers array<struct<key:string,value:binary>>")
@@ -87,3 +87,9 @@ def test_telemetry_can_be_switched_off(spark):
     assert [r["event_time"] for r in telemetry(df).orderBy("event_time").collect()] == [
         "1970-01-01T00:00:00.000Z", "1970-01-01T00:00:01.500Z"]
     assert telemetry(df, enabled=False).count() == 0
+
+
+def test_partitions_of_offsets():
+    assert count_partitions('{"a":{"0":5,"1":7},"b":{"0":1}}') == 3
+    assert count_partitions({"logOffset": 3}) == 0
+    assert count_partitions(None) == 0

@@ -1,22 +1,26 @@
 """Streams give the batch result, whatever the batches, and survive a restart."""
 
+import json
 import sys
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from keylane.handlers import EventHandler, permanent, transient
+from keylane.handlers import Cancelled, EventHandler, permanent, transient
 from keylane.operators import dedup as D
 from keylane.operators.health import throughput
+from keylane.operators.saga import state_machine
 from keylane.operators.timers import timer_firings
 from keylane.options import PipelineOptions
 from keylane.plans.base import events_table
+from keylane.plans.dedups import TRANSITIONS
 from keylane.plans.streams import LoggedTimers, SlowTypes
 from keylane.sources import views
 from keylane.streaming.client import EventClient, run_to_table
 from keylane.streaming.dedup import dedup_stream, dedup_within_watermark, read_upserted, upsert_batch
 from keylane.streaming.processor import delay_ms, process_stream
+from keylane.streaming.saga import state_machine_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,6 +158,27 @@ def test_deferral_keeps_the_order_of_a_key(spark, tmp_path):
     assert results.filter("key = 'b' and route = 'done'").count() == 1
 
 
+class Impatient(EventHandler):
+    def on_message(self, context, message):
+        if context.should_cancel():
+            raise Cancelled("past the deadline")
+
+
+def test_deadline(spark, tmp_path):
+    options = PipelineOptions(mode="best_effort", timeout=0, watermark_delay=0)
+    result = processed(spark, tmp_path, [(0, "a", 1000, "{}")], Impatient, options).first()
+    assert (result["outcome"], result["error_class"]) == ("transient", "Cancelled")
+
+
+def test_saga_over_many_batches(spark, tmp_path, events):
+    rows = views.messages(events, offsets=False).select("key", "event_id", "type")
+    in_files(rows, tmp_path / "in", "event_id")
+    stream = stream_of(spark, tmp_path / "in", rows.schema)
+    got = run_to_table(state_machine_stream(stream, TRANSITIONS, "new", order="event_id"), str(tmp_path / "run"))
+    expected = state_machine(rows, TRANSITIONS, "new", order="event_id")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+
+
 @permanent("on_message", ValueError)
 @transient("on_message", OSError)
 class Failing(EventHandler):
@@ -207,6 +232,8 @@ def test_client_lifecycle(spark, tmp_path):
     assert done == {(0, "done"), (3, "dead_letter")}
     letter = spark.read.parquet(f"{sink}/dead_letters").first()
     assert (letter["topic"], letter["key"], letter["value"]) == ("failed", "k", '{"type":"user.bad"}')
+    told = {json.loads(r["value"])["event_type"] for r in spark.read.parquet(f"{sink}/telemetry").collect()}
+    assert told == {"message.succeeded", "message.failed"}
     failure = spark.read.parquet(f"{sink}/failures").first()
     assert (failure["task_id"], failure["error_class"]) == ("orders/0:3", "ValueError")
 
