@@ -61,21 +61,18 @@ def _wrapped(method: str, types: tuple, error: type[HandlerError]) -> Callable[[
     return decorate
 
 
-class Message(NamedTuple):
+class Message:
     """One message as the handler sees it; the payload is the decoded JSON value."""
 
-    topic: str
-    partition: int
-    offset: int
-    key: str
-    timestamp: datetime
-    payload: Any
+    __slots__ = ("topic", "partition", "offset", "key", "payload", "_ts_us")
+
+    def __init__(self, topic: str, partition: int, offset: int, key: str, ts_us: int, text: str | None):
+        self.topic, self.partition, self.offset, self.key, self._ts_us = topic, partition, offset, key, ts_us
+        self.payload: Any = None if text is None else json.loads(text)
 
-    @classmethod
-    def of(cls, row: dict) -> Message:
-        text = row["payload"]
-        return cls(row["topic"], row["part"], row["off"], row["key"], instant(row["ts_us"]),
-                   None if text is None else json.loads(text))
+    @property
+    def timestamp(self) -> datetime:
+        return instant(self._ts_us)
 
 
 class Timer(NamedTuple):
@@ -98,9 +95,14 @@ class EventHandler:
 class ReplayContext:
     """Context of a batch replay: it knows the message time, and has no timers."""
 
+    __slots__ = ("key", "_now_us")
+
     def __init__(self, key: str, now_us: int):
-        self.key = key
-        self.now = instant(now_us)
+        self.key, self._now_us = key, now_us
+
+    @property
+    def now(self) -> datetime:
+        return instant(self._now_us)
 
 
 class Outcome(NamedTuple):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from keylane.operators.filters import unexpired
 from keylane.operators.ordered import by_number, previous
 from keylane.operators.skew import bounded, hot_groups
-from keylane.session import ensure_checkpoint_dir
+from keylane.session import run_folder
 
 KEYS = ("topic", "key", "id")
 WEEK_S = 604_800.0
@@ -102,22 +102,30 @@ def _greedy_rounds(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
 
     Two kept copies lie more than ``ttl`` apart, so a slice keeps at most one
     per group, and only a copy kept in the slice before can still cover rows of
-    this one. A round reads its slice only, joins the few kept copies by
-    broadcast and reduces the rows map-side.
+    this one. The places of the hot rows are written once, by slice; a round
+    reads its slice, joins the few kept copies by broadcast and reduces the
+    rows map-side. The kept places then pick the whole rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    span = df.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+    spark = df.sparkSession
+    number = F.floor(F.col(at) / F.lit(ttl_us)).cast("bigint").alias("_round")
+    places = df.select(*by, at, *[c for c in order if c != at], number)
+    folder = run_folder(spark, "dedup")
+    places.repartitionByRange(at).write.partitionBy("_round").parquet(f"{folder}/places")
+    places = spark.read.schema(places.schema).parquet(f"{folder}/places")
+    rounds = sorted(r["_round"] for r in places.select("_round").distinct().collect())
     kept: list[DataFrame] = []
-    for number in range(span["first"] // ttl_us, span["last"] // ttl_us + 1):
-        rows = df.filter((F.col(at) >= number * ttl_us) & (F.col(at) < (number + 1) * ttl_us))
+    for number in rounds:
+        rows = places.filter(F.col("_round") == number).drop("_round")
         if kept:
             # one row per hot group
             covered = F.broadcast(kept[-1].select(*by, (F.col(at) + ttl_us).alias("_covered")))
             uncovered = F.coalesce(F.col(at) > F.col("_covered"), F.lit(True))
-            rows = rows.join(covered, list(by), "left").filter(uncovered).select(*df.columns)
-        # written to the shared folder: the next round and the result start from it
-        kept.append(_firsts(rows, by, [at, *order]).checkpoint())
-    return reduce(DataFrame.unionByName, kept)
+            rows = rows.join(covered, list(by), "left").filter(uncovered).drop("_covered")
+        _firsts(rows, by, [at, *order]).write.parquet(f"{folder}/kept/{number}")
+        kept.append(spark.read.schema(rows.schema).parquet(f"{folder}/kept/{number}"))
+    # at most one row per hot group and slice
+    found = F.broadcast(reduce(DataFrame.unionByName, kept))
+    return df.join(found, [*by, at, *[c for c in order if c != at]], "left_semi").select(*df.columns)
 
 
 def dedup_consecutive(df: DataFrame, by: Sequence[str] = ("topic", "key", "part"), order: str = "off",

@@ -40,12 +40,12 @@ def _handled(make: Callable[[], EventHandler]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handler = make()
         for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("topic", "part", "off", "key", "ts_us", "payload")]
             results = [
-                attempt(handler.on_message, ReplayContext(row["key"], row["ts_us"]), Message.of(row))
-                for row in batch.to_pylist()
+                attempt(handler.on_message, ReplayContext(key, ts_us), Message(topic, part, off, key, ts_us, text))
+                for topic, part, off, key, ts_us, text in zip(*columns)
             ]
-            texts = [pa.array([getattr(r, name) for r in results], pa.string())
-                     for name in ("outcome", "error_class", "message", "cause")]
+            texts = [pa.array(values, pa.string()) for values in zip(*results)] or [pa.array([], pa.string())] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch["topic"], batch["part"], batch["off"], batch["key"], *texts],
                 names=["topic", "part", "off", "key", "outcome", "error_class", "error_message", "error_cause"],

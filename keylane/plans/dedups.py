@@ -8,6 +8,7 @@ from keylane.operators.keyed import sequence_per_key
 from keylane.operators.ordered import by_number
 from keylane.operators.saga import state_machine
 from keylane.plans.base import MESSAGES, NOW, last_us, query, with_
+from keylane.session import stored
 from keylane.sources import views
 from keylane.sources.messages import to_records
 
@@ -65,7 +66,8 @@ kept AS (
 
 @query(TTL_TABLES + "SELECT event_id, part, key, id FROM kept")
 def dedup_ttl(events):
-    rows = views.messages(events, offsets=False).select("topic", *SEEN, "ts_us")
+    # ids come out of JSON, and the operator reads its rows several times
+    rows = stored(views.messages(events, offsets=False).select("topic", *SEEN, "ts_us"), "messages")
     return D.dedup(rows, ttl_s=604_800, order=("part", "event_id")).select(*SEEN)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -48,18 +48,22 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write into :func:`shared_dir`."""
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below :func:`shared_dir` for one run."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For rows that cost more to compute than to read and are read several times.
+    It also cuts lineage, and outlives a lost executor.
+    """
+    folder = run_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def ensure_state_store(spark: SparkSession) -> None:
     """Stateful processors need the state store that spills to disk."""
     setting = "spark.sql.streaming.stateStore.providerClass"

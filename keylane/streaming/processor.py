@@ -217,8 +217,7 @@ class KeyedProcessor(StatefulProcessor):
         context = StreamContext(self, key, now_us)
         topic, part, off, ts_us, payload, fire_s = item
         if fire_s is None:
-            call, event = self.handler.on_message, Message.of(
-                {"topic": topic, "part": part, "off": off, "key": key, "ts_us": ts_us, "payload": payload})
+            call, event = self.handler.on_message, Message(topic, part, off, key, ts_us, payload)
         else:
             call, event = self.handler.on_timer, Timer(key, instant(fire_s * 1_000_000))
         outcome = attempt(call, context, event)
@@ -279,9 +278,14 @@ class StreamContext:
     def __init__(self, processor: KeyedProcessor, key: str, now_us: int):
         self._processor = processor
         self.key = key
-        self.now = instant(now_us)
+        self._now_us = now_us
         self._deadline = time.monotonic() + processor.timeout
 
+    @property
+    def now(self) -> datetime:
+        """Time of the message or timer; the wall clock in processing time."""
+        return instant(self._now_us)
+
     def should_cancel(self) -> bool:
         """Whether the call has run past its deadline and should give up."""
         return time.monotonic() >= self._deadline
