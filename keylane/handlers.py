@@ -62,13 +62,23 @@ def _wrapped(method: str, types: tuple, error: type[HandlerError]) -> Callable[[
 
 
 class Message:
-    """One message as the handler sees it; the payload is the decoded JSON value."""
+    """One message as the handler sees it.
 
-    __slots__ = ("topic", "partition", "offset", "key", "payload", "_ts_us")
+    The payload is decoded when it is first read, so a text that is not JSON
+    fails in the handler, where errors are classified.
+    """
+
+    __slots__ = ("topic", "partition", "offset", "key", "_ts_us", "_text", "_payload")
 
     def __init__(self, topic: str, partition: int, offset: int, key: str, ts_us: int, text: str | None):
-        self.topic, self.partition, self.offset, self.key, self._ts_us = topic, partition, offset, key, ts_us
-        self.payload: Any = None if text is None else json.loads(text)
+        self.topic, self.partition, self.offset, self.key = topic, partition, offset, key
+        self._ts_us, self._text, self._payload = ts_us, text, None
+
+    @property
+    def payload(self) -> Any:
+        if self._payload is None and self._text is not None:
+            self._payload = json.loads(self._text)
+        return self._payload
 
     @property
     def timestamp(self) -> datetime:

@@ -114,19 +114,19 @@ class KeyedProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self._load()
-        known: dict[str, int | None] = {}
         for row in sorted(rows, key=lambda r: (r["part"], r["off"])):
             at_us = row["ts_us"] if self.event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
             if self.event_time:
                 yield from self._catch_up(key[0], at_us)
-            if self._duplicate(known, row["id"], row["ts_us"]):
+            if self._duplicate(row["id"], row["ts_us"]):
                 continue
             item = (row["topic"], row["part"], row["off"], row["ts_us"], row["payload"], None)
             yield from self._accept(key[0], item, at_us)
+        self._save()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self._load()
         ms = expiredTimerInfo.getExpiryTimeInMs()
+        self._load(expired=ms)
         now_us = (ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()) * 1000
         if ms % 1000 == 0:
             if ms // 1000 in self.user:
@@ -135,35 +135,57 @@ class KeyedProcessor(StatefulProcessor):
             yield from self._retry(key[0], now_us)
         else:
             self._forget(now_us)
+        self._save()
 
     def close(self) -> None:
         pass
 
-    # -- timers: the user's are on whole seconds, our own never are ----------
+    # -- the key's state: read at the start of a call, written back at its end.
+    # -- User timers are on whole seconds, our own never are.
 
-    def _load(self) -> None:
-        """The key's timers, read once per call and kept up to date in it."""
-        listed = list(self.handle.listTimers())
+    def _load(self, expired: int | None = None) -> None:
+        listed = set(self.handle.listTimers())
         self.user = {ms // 1000 for ms in listed if ms % 1000 == 0}
         own = [ms for ms in listed if ms % 1000]
-        self.retry = self.waiting.get() if own else None
-        self.purging = any(self.retry is None or ms != self.retry[1] for ms in own)
+        self.retry = self.saved_retry = self.waiting.get() if own else None
+        self.purge = next((ms for ms in own if self.retry is None or ms != self.retry[1]), None)
+        # Spark removes the timer that just expired
+        self.listed = listed - {expired}
+        self.queued: list[tuple] | None = None
+        self.appended: list[tuple] = []
+        self.known: dict[str, int | None] = {}
+        self.fresh: set[str] = set()
+
+    def _save(self) -> None:
+        wanted = {s * 1000 for s in self.user}
+        wanted.update(ms for ms in (self.purge, self.retry and self.retry[1]) if ms is not None)
+        for ms in wanted - self.listed:
+            self.handle.registerTimer(ms)
+        for ms in self.listed - wanted:
+            self.handle.deleteTimer(ms)
+        if self.retry != self.saved_retry:
+            if self.retry is None:
+                self.waiting.clear()
+            else:
+                self.waiting.update(self.retry)
+        if self.queued:
+            self.queue.put(self.queued)
+        elif self.queued is not None:
+            self.queue.clear()
+        elif self.appended:
+            self.queue.appendList(self.appended)
+        for id_ in self.fresh:
+            self.seen.updateValue((id_,), (self.known[id_],))
+
+    def _enqueue(self, item: tuple) -> None:
+        (self.appended if self.queued is None else self.queued).append(item)
 
     def _own_timer(self, ms: int) -> int:
-        ms += ms % 1000 == 0
-        self.handle.registerTimer(ms)
+        taken = (self.purge, self.retry and self.retry[1])
+        while ms % 1000 == 0 or ms in taken:
+            ms += 1
         return ms
 
-    def schedule(self, second: int) -> None:
-        if second not in self.user:
-            self.user.add(second)
-            self.handle.registerTimer(second * 1000)
-
-    def unschedule(self, second: int) -> None:
-        if second in self.user:
-            self.user.remove(second)
-            self.handle.deleteTimer(second * 1000)
-
     # -- order of work -------------------------------------------------------
 
     def _catch_up(self, key: str, at_us: int) -> Iterator[Row]:
@@ -172,10 +194,8 @@ class KeyedProcessor(StatefulProcessor):
             second = min((s for s in self.user if s * 1_000_000 <= at_us), default=None)
             retry_ms = self.retry[1] if self.retry is not None else None
             if retry_ms is not None and retry_ms * 1000 <= at_us and (second is None or retry_ms < second * 1000):
-                self.handle.deleteTimer(retry_ms)
                 yield from self._retry(key, retry_ms * 1000)
             elif second is not None:
-                self.handle.deleteTimer(second * 1000)
                 yield from self._fire(key, second, second * 1_000_000)
             else:
                 return
@@ -186,31 +206,29 @@ class KeyedProcessor(StatefulProcessor):
 
     def _accept(self, key: str, item: tuple, now_us: int) -> Iterator[Row]:
         if self.retry is not None:
-            self.queue.appendValue(item)
+            self._enqueue(item)
             return
         result, waits = self._run(key, item, 1, now_us)
         yield result
         if waits:
-            self.queue.appendValue(item)
+            self._enqueue(item)
 
     def _retry(self, key: str, now_us: int) -> Iterator[Row]:
         """Work through the queue until it is empty or its head fails again."""
-        queued = [tuple(q) for q in self.queue.get()]
+        if self.queued is None:
+            stored = [] if self.saved_retry is None else [tuple(q) for q in self.queue.get()]
+            self.queued, self.appended = stored + self.appended, []
         tries = self.retry[0]
         self.retry = None
-        while queued:
+        done = 0
+        for item in self.queued:
             tries += 1
-            result, waits = self._run(key, queued[0], tries, now_us)
+            result, waits = self._run(key, item, tries, now_us)
             yield result
             if waits:
                 break
-            queued.pop(0)
-            tries = 0
-        if queued:
-            self.queue.put(queued)
-        else:
-            self.queue.clear()
-            self.waiting.clear()
+            done, tries = done + 1, 0
+        del self.queued[:done]
 
     def _run(self, key: str, item: tuple, tries: int, now_us: int) -> tuple[Row, bool]:
         """Call the handler; the flag says that the item must be tried again later."""
@@ -228,7 +246,6 @@ class KeyedProcessor(StatefulProcessor):
         if route == "retry":
             ms = self._own_timer(now_us // 1000 + delay_ms(tries, *self.pace))
             self.retry = (tries, ms)
-            self.waiting.update(self.retry)
         kind = "message" if fire_s is None else "timer"
         letter = payload if route == "dead_letter" else None
         values = (key, kind, topic, part, off, fire_s, now_us, tries, *outcome, route, letter)
@@ -243,24 +260,25 @@ class KeyedProcessor(StatefulProcessor):
 
     # -- remembered ids ------------------------------------------------------
 
-    def _duplicate(self, known: dict[str, int | None], id_: str | None, ts_us: int) -> bool:
-        """Whether the id was kept within the ttl; ``known`` holds what this call has read."""
+    def _duplicate(self, id_: str | None, ts_us: int) -> bool:
+        """Whether the id was kept within the ttl."""
         if id_ is None or not self.dedup:
             return False
-        if id_ not in known:
+        if id_ not in self.known:
             found = self.seen.getValue((id_,))
-            known[id_] = None if found is None else found[0]
-        if known[id_] is not None and ts_us <= known[id_] + self.ttl_us:
+            self.known[id_] = None if found is None else found[0]
+        recorded = self.known[id_]
+        if recorded is not None and ts_us <= recorded + self.ttl_us:
             return True
-        known[id_] = ts_us
-        self.seen.updateValue((id_,), (ts_us,))
-        if not self.purging:
-            self.purging = True
-            self._own_timer((ts_us + self.ttl_us) // 1000 + 1)
+        self.known[id_] = ts_us
+        self.fresh.add(id_)
+        if self.purge is None:
+            self.purge = self._own_timer((ts_us + self.ttl_us) // 1000 + 1)
         return False
 
     def _forget(self, now_us: int) -> None:
         """Drop ids that no longer matter, a few times per ttl."""
+        self.purge = None
         kept = []
         for (id_,), (recorded,) in list(self.seen.iterator()):
             if recorded + self.ttl_us < now_us:
@@ -269,7 +287,7 @@ class KeyedProcessor(StatefulProcessor):
                 kept.append(recorded)
         if kept:
             later = max(min(kept) + self.ttl_us, now_us + self.ttl_us // 16)
-            self._own_timer(later // 1000 + 1)
+            self.purge = self._own_timer(later // 1000 + 1)
 
 
 class StreamContext:
@@ -292,21 +310,20 @@ class StreamContext:
 
     def schedule(self, at: datetime | float) -> None:
         """Add an instant; scheduling it twice keeps one."""
-        self._processor.schedule(timer_second(at))
+        self._processor.user.add(timer_second(at))
 
     def clear_and_schedule(self, at: datetime | float) -> None:
         """Replace all instants by one; an invalid instant changes nothing."""
         second = timer_second(at)
         self.clear_scheduled()
-        self._processor.schedule(second)
+        self._processor.user.add(second)
 
     def unschedule(self, at: datetime | float) -> None:
         """Remove an instant; no effect when it is not scheduled."""
-        self._processor.unschedule(timer_second(at))
+        self._processor.user.discard(timer_second(at))
 
     def clear_scheduled(self) -> None:
-        for second in list(self._processor.user):
-            self._processor.unschedule(second)
+        self._processor.user.clear()
 
     def scheduled(self) -> list[datetime]:
         """The pending instants in order."""

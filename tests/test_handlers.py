@@ -6,7 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from keylane.handlers import (
-    EventHandler, PermanentError, TransientError, attempt, permanent, timer_second, transient,
+    EventHandler, Message, PermanentError, TransientError, attempt, permanent, timer_second, transient,
 )
 from keylane.operators import keyed as K
 
@@ -72,6 +72,18 @@ def test_success_and_missing_methods():
         EventHandler().on_timer(None, None)
 
 
+def test_a_payload_that_is_not_json_fails_in_the_handler():
+    class Reads(EventHandler):
+        def on_message(self, context, message):
+            return message.payload["n"]
+
+    h = permanent("on_message", ValueError)(Reads)()
+    assert attempt(h.on_message, None, Message("t", 0, 0, "k", 0, "{broken")).outcome == "permanent"
+    message = Message("t", 0, 0, "k", 1_500_000, '{"n": [1]}')
+    assert message.payload is message.payload and message.timestamp.microsecond == 500_000
+    assert Message("t", 0, 0, "k", 0, None).payload is None
+
+
 def test_timer_second():
     at = datetime(2024, 1, 1, tzinfo=timezone.utc)
     assert timer_second(at.replace(microsecond=499_999)) == int(at.timestamp())
