@@ -189,7 +189,9 @@ def offset_filter(df: DataFrame, processed: DataFrame, max_partitions: int = 100
     return joined.filter(F.col("off") > F.coalesce(F.col("processed"), F.lit(-1))).drop("processed")
 
 
-def latest_per_key(df: DataFrame, by: Sequence[str] = ("key",), order: Sequence[str] = ("ts_us", "part", "off")) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, by: Sequence[str] = ("key",), order: Sequence[str] = ("ts_us", "part", "off")
+) -> DataFrame:
     """Idempotent upsert: the last write per key wins."""
     rest = [c for c in df.columns if c not in by]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keylane.functions.scalars import backoff_delay, timed_out
@@ -115,7 +115,9 @@ def windowed_failure_rate(
 
 def deferred_backlog(deferred: DataFrame) -> DataFrame:
     """Deferred keys and messages per partition."""
-    per_key = deferred.groupBy("topic", "part", "key").agg(F.count("*").alias("_n"), F.min("next_retry_us").alias("_next"))
+    per_key = deferred.groupBy("topic", "part", "key").agg(
+        F.count("*").alias("_n"), F.min("next_retry_us").alias("_next")
+    )
     return per_key.groupBy("topic", "part").agg(
         F.sum("_n").alias("messages"), F.count("*").alias("keys"), F.min("_next").alias("next_retry_us")
     )
@@ -134,7 +136,9 @@ def execution_timeouts(execs: DataFrame, options: PipelineOptions | None = None)
     )
 
 
-def resolution(attempts: DataFrame, by: Sequence[str] = ("topic", "key"), order: Sequence[str] = ("start_us", "event_id")) -> DataFrame:
+def resolution(
+    attempts: DataFrame, by: Sequence[str] = ("topic", "key"), order: Sequence[str] = ("start_us", "event_id")
+) -> DataFrame:
     """Final outcome per message (or key), attempts used, first and last attempt."""
     return attempts.groupBy(*by).agg(
         F.max_by("outcome", F.struct(*order)).alias("outcome"),

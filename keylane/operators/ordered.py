@@ -85,8 +85,9 @@ def running(
     """Add running aggregates per group, before (or through) each row.
 
     ``slice_by`` must not decrease along the first column of ``order``; without
-    it that column is cut evenly. ``reverse`` runs from the end, giving aggregates over the following rows.
-    ``peers`` includes all rows with an equal (single) order value.
+    it that column is cut evenly. ``reverse`` runs from the end, giving
+    aggregates over the following rows. ``peers`` includes all rows with an
+    equal (single) order value.
     """
     by = list(by)
     sort = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
@@ -128,7 +129,9 @@ def running(
     )
 
 
-def row_position(df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, name: str) -> DataFrame:
+def row_position(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, name: str
+) -> DataFrame:
     """Position of the row in its group, from 1."""
     return running(df, by, order, slice_by, {name: Running("sum", F.lit(1))}, inclusive=True)
 
