@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from keylane.llm.bpe import op9_byte_bpe
 from keylane.llm.fingerprints import op2_document_fingerprints
 from keylane.llm.line_dedup import op3_line_dedup
+from keylane.llm.mixing import op1_mix_sources
 from keylane.llm.quality import op4_quality_rules
+from keylane.llm.sharding import op10_shard_by_bytes
 from keylane.llm.simhash import op5_simhash_near_dedup
 
 QUERIES = {f.__name__: f for f in (
+    op1_mix_sources,
     op2_document_fingerprints,
     op3_line_dedup,
     op4_quality_rules,
     op5_simhash_near_dedup,
+    op9_byte_bpe,
+    op10_shard_by_bytes,
 )}
 
 SQL: dict[str, str] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one slice where an order over all rows is cut into slices.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 5_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,11 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> list[Column
     return [F.col(id_column), F.xxhash64(F.col(text_column)).alias("text_key")]
 
 
+def row_keys(*columns: str) -> list[Column]:
+    """``k1`` and ``k2``: 128 bits that tell rows apart by the columns, null or not, and join without null checks."""
+    return [F.xxhash64(*columns).alias("k1"), F.xxhash64(F.lit("row"), *reversed(columns)).alias("k2")]
+
+
 def slices_for(rows: int) -> int:
     return max(1, -(-rows // SLICE_ROWS))
 
