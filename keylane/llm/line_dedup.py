@@ -62,6 +62,16 @@ def drop_common_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_doc
         F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
+def without_common_lines(docs: DataFrame) -> DataFrame:
+    """The documents with their kept text, and ``n_chars``, where there is one, counted again. A null text that lost nothing stays null."""
+    kept = drop_common_lines(docs)
+    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
+    changed = kept.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.char_length(text_or_empty()).cast(docs.schema["n_chars"].dataType))
+    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -6,11 +6,19 @@ counts differ by more than the radius holds no link and is never compared, all
 other pairs are compared completely, with exclusive-or and bit counts. A tile
 pair returns a spanning forest of its links, not the links, so a thousand near
 copies give a thousand edges. Components of the forest are found by joins.
+
+A fingerprint has one 64-bit word or several. One word and three bits is the
+strict rule of :func:`op5_simhash_near_dedup`. For texts alike by 0.8 or more
+in their shingles of five words, 64 bits are too few to tell them from chance:
+:data:`ALIKE` takes 256 bits, of which such texts differ in 39 on average and
+unlike texts in 128.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +29,29 @@ from pyspark.sql import functions as F
 
 from keylane.llm.components import components
 from keylane.llm.shared import documents, row_key
-from keylane.llm.texts import Texts, Words, blocks
+from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
 
-RADIUS = 3
-SHINGLE = 3
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, 64-bit words of a fingerprint, and most bits in which linked fingerprints differ."""
+
+    shingle: int = 3
+    words: int = 1
+    radius: int = 3
+
+
+STRICT = Rule()
+ALIKE = Rule(shingle=5, words=4, radius=50)
 #: Fingerprints of a tile.
 TILE = 16_384
 #: Rows of a tile compared with the whole other tile at once.
-_STRIP = 256
+_STRIP = 64
 _UPPER_TO_LOWER = np.arange(256, dtype=np.uint8)
 _UPPER_TO_LOWER[65:91] += 32
+_NEXT = 0x9E3779B97F4A7C15
 
 
 def _squeezed(texts: Texts) -> tuple[bytes, Words, np.ndarray, np.ndarray]:
@@ -46,56 +66,72 @@ def _squeezed(texts: Texts) -> tuple[bytes, Words, np.ndarray, np.ndarray]:
     return out.tobytes(), words, start, start + sizes
 
 
-def fingerprints_of(texts: Texts, n: int = SHINGLE) -> np.ndarray:
-    """A 64-bit fingerprint a text: a bit is 1 if more than half of the shingles' XXH64 (seed 42) have it."""
+def fingerprints_of(texts: Texts, rule: Rule = STRICT) -> np.ndarray:
+    """A row of 64-bit words a text: a bit is 1 if more than half of the shingles' hashes have it.
+
+    The first word is of XXH64 with seed 42, the others of that hash mixed with
+    their number. A text without words has all bits 0.
+    """
     line, words, start, end = _squeezed(texts)
-    first = words.bounds[:-1]
-    counts = words.per_text
-    shingles = np.where(counts == 0, 0, np.maximum(counts - n + 1, 1))
+    first, counts = words.bounds[:-1], words.per_text
+    shingles = np.where(counts == 0, 0, np.maximum(counts - rule.shingle + 1, 1))
     total = int(shingles.sum())
-    out = np.zeros(texts.count, np.uint64)
+    out = np.zeros((texts.count, rule.words), np.uint64)
     if not total:
         return out
     owner = np.repeat(np.arange(texts.count), shingles)
     edge = np.concatenate(([0], np.cumsum(shingles)))
     word = first[owner] + np.arange(total) - edge[owner]
-    last = np.minimum(word + n - 1, first[owner] + counts[owner] - 1)
+    last = np.minimum(word + rule.shingle - 1, first[owner] + counts[owner] - 1)
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(line[s:e], 42) for s, e in zip(start[word].tolist(), end[last].tolist(), strict=True)),
                          np.uint64, total)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     full = np.flatnonzero(shingles)
-    ones = np.add.reduceat(bits, edge[:-1][full], axis=0, dtype=np.int64)
-    chosen = (2 * ones > shingles[full][:, None]).astype(np.uint8)
-    out[full] = np.packbits(chosen, axis=1, bitorder="little").view(np.uint64).reshape(-1)
+    for w in range(rule.words):
+        value = mix(hashes + np.uint64(w * _NEXT % 2**64)) if w else hashes
+        bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, edge[:-1][full], axis=0, dtype=np.int64)
+        chosen = (2 * ones > shingles[full][:, None]).astype(np.uint8)
+        out[full, w] = np.packbits(chosen, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return out
 
 
-def fingerprinted(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """Rows (doc_id, text_key, fp): the fingerprint of each document as a signed long. Null is the empty text."""
+def fingerprinted(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
+    """Rows (doc_id, text_key, node, fp): each document's fingerprint as signed longs, and one long that names it.
+
+    Null is the empty text. The name of a one-word fingerprint is that word, of
+    a longer one a hash of its words.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
-                fps = fingerprints_of(Texts(part.column("text")), n).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps)], ["doc_id", "text_key", "fp"])
+                fps = fingerprints_of(Texts(part.column("text")), rule).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(fps), pa.list_(pa.int64()))],
+                                                 ["doc_id", "text_key", "fp"])
 
     chosen = docs.select(*row_key(), "text")
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, text_key long, fp long")
-
-
-def _half(fp: Column, upper: bool) -> Column:
-    return F.bit_count(F.shiftrightunsigned(fp, 32) if upper else fp.bitwiseAND(F.lit(0xFFFFFFFF)))
+    name = F.col("fp")[0] if rule.words == 1 else F.xxhash64("fp")
+    return chosen.mapInArrow(run, f"doc_id {kind}, text_key long, fp array<long>").withColumn("node", name)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, root) that connect all of a and b that links connect. a and b may be the same array."""
-    nodes = np.concatenate((a, b))
-    label = np.arange(len(nodes))
+    """Edges (i, root) over the rows of a followed by those of b that connect all rows that links connect.
+
+    The first words decide which pairs are looked at further: of two
+    fingerprints within the radius, one word of several is seldom far from its
+    share, and 22 bits of the first are five deviations beyond it.
+    """
+    label = np.arange(len(a) + len(b))
+    first = radius if a.shape[1] == 1 else _first_word_radius(radius, a.shape[1])
     for low in range(0, len(a), _STRIP):
-        near = np.bitwise_count(a[low: low + _STRIP, None] ^ b[None, :]) <= radius
-        u, v = np.nonzero(near)
+        u, v = np.nonzero(np.bitwise_count(a[low: low + _STRIP, :1] ^ b[None, :, 0]) <= first)
         u, v = u + low, v + len(a)
+        apart = label[u] != label[v]
+        u, v = u[apart], v[apart]
+        if a.shape[1] > 1:
+            bits = sum(np.bitwise_count(a[u, w] ^ b[v - len(a), w]).astype(np.int64) for w in range(a.shape[1]))
+            u, v = u[bits <= radius], v[bits <= radius]
         while len(u):
             left, right = label[u], label[v]
             apart = left != right
@@ -103,37 +139,51 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.n
             np.minimum.at(label, np.maximum(left, right), np.minimum(left, right))
             while not np.array_equal(label, shorter := label[label]):
                 label = shorter
-    moved = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[moved], nodes[label[moved]]
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return moved, label[moved]
+
+
+def _first_word_radius(radius: int, words: int) -> int:
+    """Five deviations above the share of the radius that falls on one word; all of the radius if that is less."""
+    share = radius / (64 * words)
+    return min(radius, int(64 * share + 5 * (64 * share * (1 - share)) ** 0.5) + 1)
 
 
 def _compare(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                left, right = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (0, 1))
-                node, root = _forest(left, right, radius)
-                apart = node != root
-                yield pa.RecordBatch.from_arrays([pa.array(node[apart].view(np.int64)), pa.array(root[apart].view(np.int64))],
-                                                 ["a", "b"])
+                nodes, fps = [], []
+                for c in (0, 1):
+                    rows = batch.column(c)[i].values
+                    nodes.append(rows.field("node").to_numpy())
+                    fps.append(rows.field("fp").flatten().to_numpy().view(np.uint64).reshape(len(rows), -1))
+                node = np.concatenate(nodes)
+                moved, root = _forest(*fps, radius)
+                apart = node[moved] != node[root]
+                yield pa.RecordBatch.from_arrays([pa.array(node[moved][apart]), pa.array(node[root][apart])], ["a", "b"])
     return run
 
 
-def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column ``fp``) that connect all that differ in ``radius`` bits or fewer.
+def links(fps: DataFrame, rule: Rule = STRICT, tile: int = TILE) -> DataFrame:
+    """Edges (a, b) between the names of distinct fingerprints (node, fp) that connect all that are within the radius.
 
-    A class is a pair of half counts, of which there are 33 x 33, so the table
-    of class sizes is bounded and may be broadcast. Each tile is sent to the
-    tiles of the classes within the radius that come after its own.
+    A class is a pair of population counts, of the upper and the lower half of
+    the bits, in steps of ``grain``. There are at most 33 x 33 classes for each
+    word squared, so the table of class sizes is bounded and may be broadcast.
+    Each tile is sent to the tiles of the classes that may hold a link and come
+    after its own.
     """
-    ranked = fps.select("fp", _half(F.col("fp"), True).alias("hi"), _half(F.col("fp"), False).alias("lo"))
+    grain = max(1, (rule.radius + 1) // 4)
+    ranked = fps.select("node", "fp", *_halves(rule.words, grain))
     sizes = stored(ranked.groupBy("hi", "lo").count().select(
         "hi", "lo", F.ceil(F.col("count") / tile).cast("int").alias("parts")), "classes")
     tiles = stored(ranked.join(F.broadcast(sizes), ["hi", "lo"]).withColumn(
-        "part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).groupBy("hi", "lo", "part").agg(
-        F.collect_list("fp").alias("fps")), "tiles")
-    steps = [(h, w) for h in range(radius + 1) for w in range(-radius, radius + 1)
-             if h + abs(w) <= radius and (h, w) >= (0, 0)]
+        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).groupBy("hi", "lo", "part").agg(
+        F.collect_list(F.struct("node", "fp")).alias("fps")), "tiles")
+    far = rule.radius // grain + 1
+    steps = [(h, w) for h in range(far + 1) for w in range(-far, far + 1)
+             if _least(h, grain) + _least(w, grain) <= rule.radius and (h, w) >= (0, 0)]
     step = F.explode(F.array(*[F.struct(F.lit(h).alias("h"), F.lit(w).alias("w")) for h, w in steps]))
     near = tiles.select("hi", "lo", "part", step.alias("s")).select(
         F.struct("hi", "lo", "part").alias("one"), (F.col("hi") + F.col("s.h")).alias("hi"), (F.col("lo") + F.col("s.w")).alias("lo"))
@@ -142,28 +192,55 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
         "one", F.struct("hi", "lo", "part").alias("two")).filter("one <= two")
     left = tiles.select(F.struct("hi", "lo", "part").alias("one"), F.col("fps").alias("left"))
     right = tiles.select(F.struct("hi", "lo", "part").alias("two"), F.col("fps").alias("right"))
-    meet = pairs.join(left, "one").join(right, "two").select("left", "right").repartition(_tasks(fps.sparkSession))
-    return meet.mapInArrow(_compare(radius), "a long, b long")
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meet = pairs.join(left, "one").join(right, "two").select("left", "right").repartition(tasks)
+    return meet.mapInArrow(_compare(rule.radius), "a long, b long")
+
+
+def _halves(words: int, grain: int) -> list[Column]:
+    def ones(values: list[Column]) -> Column:
+        return (reduce(lambda x, y: x + y, [F.bit_count(v) for v in values]) / grain).cast("int")
+
+    each = [F.col("fp")[w] for w in range(words)]
+    if words == 1:
+        upper, lower = [F.shiftrightunsigned(each[0], 32)], [each[0].bitwiseAND(F.lit(0xFFFFFFFF))]
+    else:
+        upper, lower = each[: words // 2], each[words // 2:]
+    return [ones(upper).alias("hi"), ones(lower).alias("lo")]
 
 
-def _tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _least(step: int, grain: int) -> int:
+    """The least difference of counts whose classes are so many steps apart."""
+    return max(0, (abs(step) - 1) * grain + 1)
 
 
-def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows of ``prints`` (doc_id, text_key, fp) with ``component_id``: the smallest doc_id reachable over links.
+def near_duplicates(prints: DataFrame, rule: Rule = STRICT) -> DataFrame:
+    """Rows of ``prints`` with ``first``, the least (doc_id, text_key) of the component, and ``component_id``.
 
-    Repeated rows stay repeated. A missing doc_id counts in no minimum; a
-    component without any id has a null component_id.
+    ``component_id`` is the smallest doc_id reachable over links. Repeated rows
+    stay repeated. A missing doc_id counts in no minimum; a component without
+    any id has a null component_id.
     """
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = components(links(distinct, radius)).select(F.col("node").alias("fp"), "root")
-    rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.select("fp", "root").join(
-        rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp")
+    row = F.struct("doc_id", "text_key")
+    distinct = stored(prints.groupBy("node").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least"),
+                                                 F.first("fp").alias("fp")), "fingerprints")
+    roots = components(links(distinct, rule)).select("node", "root")
+    rooted = distinct.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    first = rooted.groupBy("root").agg(F.min_by("least", F.struct(F.col("least.doc_id").isNull(), "least")).alias("first"))
+    named = rooted.select("node", "root").join(first, "root").select("node", "first")
+    return prints.join(named, "node").withColumn("component_id", F.col("first.doc_id"))
+
+
+def one_of_each(docs: DataFrame, rule: Rule = ALIKE) -> DataFrame:
+    """The documents without near copies: of each component the row with the least id, once if rows repeat."""
+    prints = stored(fingerprinted(docs, rule), "simhash")
+    near = near_duplicates(prints, rule)
+    kept = near.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")).distinct()
+    keys = docs.withColumn("_text_key", F.xxhash64("text"))
+    joined = keys.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    return joined.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(fingerprinted(documents(spark, sf_dir)), "simhash")
-    return near_duplicates(prints).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return near_duplicates(prints).select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
