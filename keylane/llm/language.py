@@ -248,12 +248,12 @@ def _scored(docs: DataFrame, model: Model, table: np.ndarray, keep: list[str]) -
         fields, letters = sent.value
         own = Model(**fields)
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, len(keep)):
                 bits, chars = own.cross_entropies(Texts(part.column(len(keep))), letters)
                 rows = pa.array(list(bits), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], rows, pa.array(chars)], [*keep, "bits", "chars"])
 
-    chosen = docs.select(*keep, "text")
+    chosen = docs.select(*keep, F.col("text").alias("_text"))
     schema = ", ".join([*[f"`{c}` {chosen.schema[c].dataType.simpleString()}" for c in keep], "bits array<double>, chars long"])
     return chosen.mapInArrow(run, schema)
 

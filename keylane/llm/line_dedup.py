@@ -3,19 +3,23 @@
 Lines are exploded to (hash of the key, document, position); a hash found in
 enough documents is common, and common lines go everywhere except in the
 document with the largest id. Positions to drop go back to their document,
-whose lines are joined again in order.
+whose lines are joined again in order. The texts themselves are shuffled once.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from keylane.llm.shared import documents, text_or_empty
+from keylane.llm.shared import aside, documents, text_or_empty
+from keylane.session import stored
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
+#: Parts of a line's documents; each line's keeper is sent to the parts that hold it.
+SALTS = 256
 _BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -26,16 +30,22 @@ def _common_lines(docs: DataFrame, least_chars: int, least_documents: int) -> Da
     long = lines.select("doc_id", "text_key", "pos", key.alias("key")).filter(F.char_length("key") >= least_chars)
     # 128 bits tell all keys apart; the text of a line goes no further
     hashed = long.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"), "doc_id", "text_key", "pos")
-    held = hashed.groupBy("h1", "h2", "doc_id").agg(F.collect_set(F.struct("text_key", "pos")).alias("at"))
-    common = held.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).filter(
-        F.col("n") >= least_documents).select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "keeper")
-    gone = held.join(common, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))).filter(
+    # a line's rows are dealt by document as well, so that a line which a third of the documents hold has many tasks
+    held = stored(hashed.groupBy("h1", "h2", _salt(), "doc_id").agg(F.collect_set(F.struct("text_key", "pos")).alias("at")), "lines")
+    parts = held.groupBy("h1", "h2", "salt").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    common = parts.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")).filter(
+        F.col("n") >= least_documents).select("h1", "h2", "keeper")
+    gone = held.join(parts.select("h1", "h2", "salt").join(common, ["h1", "h2"]), ["h1", "h2", "salt"]).filter(
         ~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return gone.select("doc_id", F.explode("at").alias("x")).groupBy("doc_id", F.col("x.text_key").alias("text_key")).agg(
         F.collect_set("x.pos").alias("drops"))
 
 
-@F.pandas_udf("string")
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
+
+
+@F.pandas_udf(StringType())
 def _without(text: pd.Series, drops: pd.Series) -> pd.Series:
     def kept(value: str, gone) -> str:
         if gone is None or not len(gone):
@@ -45,33 +55,40 @@ def _without(text: pd.Series, drops: pd.Series) -> pd.Series:
     return pd.Series([kept(t, d) for t, d in zip(text, drops, strict=True)], dtype=object)
 
 
-def drop_common_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """The documents with ``kept_text``, ``n_lines`` (before) and ``n_dropped``.
+def drop_common_lines(docs: DataFrame, keep: list[str], least_chars: int = LEAST_CHARS,
+                      least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """The columns ``keep`` of the documents with ``kept_text``, ``n_lines`` (before) and ``n_dropped``.
 
     A null text is one empty line. A missing doc_id counts as one document,
     smaller than all others. Rows that repeat an id are one document; a row is
     told from others of its id by its text.
     """
     drops = _common_lines(docs, least_chars, least_documents).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("drops").alias("_drops"))
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "drops")
+    held, names = aside(docs)
+    doc_id, text = names["doc_id"], text_or_empty(names["text"])
+    rows = held.withColumn("text_key", F.xxhash64(names["text"]))
+    joined = rows.join(drops, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
     return joined.select(
-        *[rows[c] for c in docs.columns], _without(text_or_empty(), F.col("_drops")).alias("kept_text"),
-        (F.char_length(text_or_empty()) - F.char_length(F.translate(text_or_empty(), "\n", "")) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"))
+        *[F.col(names[c]).alias(c) for c in keep], _without(text, F.col("drops")).alias("kept_text"),
+        (F.char_length(text) - F.char_length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def without_common_lines(docs: DataFrame) -> DataFrame:
-    """The documents with their kept text, and ``n_chars``, where there is one, counted again. A null text that lost nothing stays null."""
-    kept = drop_common_lines(docs)
-    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    changed = kept.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.char_length(text_or_empty()).cast(docs.schema["n_chars"].dataType))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents with their kept text, and ``n_chars``, where there is one, counted again.
+
+    A document that loses all its lines stays, with an empty text; a null text stays null.
+    """
+    held, names = aside(docs)
+    kept = drop_common_lines(held.withColumnsRenamed({names["doc_id"]: "doc_id", names["text"]: "text"}),
+                             [{"doc_id": "doc_id", "text": "text"}.get(c, names[c]) for c in docs.columns])
+    changed = kept.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text")))
+    if "n_chars" in names:
+        changed = changed.withColumn(names["n_chars"], F.char_length(text_or_empty()).cast(docs.schema["n_chars"].dataType))
+    return changed.drop("kept_text", "n_lines", "n_dropped").toDF(*docs.columns)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_common_lines(documents(spark, sf_dir)).select(
+    return drop_common_lines(documents(spark, sf_dir), ["doc_id"]).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))

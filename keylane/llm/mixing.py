@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import WORD, documents, row_keys, running_totals, slices_for, text_or_empty, word_count
+from keylane.llm.shared import WORD, aside, documents, row_keys, running_totals, slices_for, text_or_empty, word_count
 from keylane.session import stored
 
 #: A word and the blank space after it.
@@ -174,16 +174,17 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     result = mix_sources(docs, mix)
     parts = result.takes.groupBy("k1", "k2", "start", "time").agg(
         F.sort_array(F.collect_list(F.struct("word", "words"))).alias("parts"))
-    rows = docs.select("*", *row_keys("doc_id", "source", "text")).dropDuplicates(["k1", "k2"])
+    held, names = aside(docs)
+    rows = held.select("*", *row_keys(*[names[c] for c in ("doc_id", "source", "text")])).dropDuplicates(["k1", "k2"])
     joined = rows.join(parts, ["k1", "k2"])
     # one lambda argument holds the pieces, so the text is split once a row
-    pieces = F.array(F.regexp_extract_all(text_or_empty(), F.lit(PIECE), F.lit(0)))
+    pieces = F.array(F.regexp_extract_all(text_or_empty(names["text"]), F.lit(PIECE), F.lit(0)))
     text = F.transform(pieces, lambda p: F.array_join(F.transform(
         "parts", lambda s: F.array_join(F.slice(p, (s["word"] + 1).cast("int"), s["words"].cast("int")), "")), ""))[0]
-    changed = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    changed = joined.withColumn(names["text"], text)
+    if "n_chars" in names:
+        changed = changed.withColumn(names["n_chars"], F.char_length(names["text"]).cast(docs.schema["n_chars"].dataType))
+    return changed.select(*held.columns).toDF(*docs.columns)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

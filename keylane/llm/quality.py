@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import documents
+from keylane.llm.shared import aside, documents
 from keylane.llm.texts import Texts, Words, blocks, mix
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, dup_line_chars long, "
@@ -127,8 +127,10 @@ def judged(measures: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents that pass, with their columns as they were."""
-    return judged(repetition(docs, docs.columns), rules).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with their columns as they were, whatever their names."""
+    held, names = aside(docs)
+    passed = judged(repetition(held, held.columns, names["text"]), rules).filter("kept")
+    return passed.select(*held.columns).toDF(*docs.columns)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import documents, running_totals, slices_for, text_or_empty
+from keylane.llm.shared import aside, documents, running_totals, slices_for, text_or_empty
 from keylane.session import stored
 
 SHARDS = 8
@@ -83,17 +83,18 @@ def _fill(ends: list[int], capacity: int, shards: int) -> list[int]:
     return fill
 
 
-def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with ``size`` (bytes and 1), ``shard`` and ``slot``, a gapless number in the shard.
+def shard(docs: DataFrame, keep: list[str], shards: int = SHARDS) -> DataFrame:
+    """The columns ``keep`` of the documents with ``size`` (bytes and 1), ``shard`` and ``slot``, a gapless number in the shard.
 
     A null text has size 1 and is a group of its own, apart from the empty text.
     An empty table gives no rows.
     """
-    columns = docs.columns
-    held = docs.select("*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("group"), "text").alias("h2"),
-                       (F.octet_length(text_or_empty()) + 1).cast("long").alias("size"))
-    light = stored(held.select("h1", "h2", "size").groupBy("h1", "h2").agg(
-        F.sum("size").cast("long").alias("bytes"), F.count("*").alias("rows")), "groups")
+    aside_, names = aside(docs)
+    text = names["text"]
+    held = aside_.select(*[names[c] for c in dict.fromkeys([*keep, "doc_id"])], F.xxhash64(text).alias("h1"),
+                         F.xxhash64(F.lit("group"), text).alias("h2"),
+                         (F.octet_length(text_or_empty(text)) + 1).cast("long").alias("size"))
+    light = stored(held.groupBy("h1", "h2").agg(F.sum("size").cast("long").alias("bytes"), F.count("*").alias("rows")), "groups")
     total, largest, count, rows = light.agg(F.sum("bytes"), F.max("bytes"), F.count("*"), F.sum("rows")).first()
     number: Column = F.lit(0)
     if count:
@@ -104,18 +105,14 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         for cut in cuts:  # fewer than the number of shards
             after = (F.col("h1") > cut["h1"]) | ((F.col("h1") == cut["h1"]) & (F.col("h2") > cut["h2"]))
             number = number + after.cast("int")
-    placed = held.withColumn("shard", number.cast("int"))
-    return _with_slots(placed, rows or 0, [*columns, "size", "shard"])
-
-
-def _with_slots(placed: DataFrame, rows: int, columns: list[str]) -> DataFrame:
-    spread = F.xxhash64("doc_id", "h1", "h2")
-    one = placed.withColumn("_one", F.lit(1).cast("long"))
-    return running_totals(one, ["shard"], spread, [F.col("doc_id")], {"slot": "_one"}, slices_for(rows)).select(*columns, "slot")
+    placed = held.withColumn("shard", number.cast("int")).withColumn("one", F.lit(1).cast("long"))
+    numbered = running_totals(placed, ["shard"], F.xxhash64(names["doc_id"], "h1", "h2"), [F.col(names["doc_id"])], {"slot": "one"},
+                              slices_for(rows or 0))
+    return numbered.select(*[F.col(names[c]).alias(c) for c in keep], "size", "shard", "slot")
 
 
 def op10_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    # only what the result needs of a text goes through the numbering
-    return shard(docs.select("doc_id", "text", F.crc32(text_or_empty()).alias("text_crc32"))).select(
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.crc32(text_or_empty()).alias("text_crc32"))
+    # only what the result needs goes through the numbering, not the texts
+    return shard(docs, ["doc_id", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

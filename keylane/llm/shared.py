@@ -17,6 +17,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with columns named by their place, and those names, so that none meets a name of an operator."""
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

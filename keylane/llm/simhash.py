@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components
-from keylane.llm.shared import documents, row_key
+from keylane.llm.shared import aside, documents, row_key
 from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
 
@@ -235,10 +235,11 @@ def one_of_each(docs: DataFrame, rule: Rule = ALIKE) -> DataFrame:
     """The documents without near copies: of each component the row with the least id, once if rows repeat."""
     prints = stored(fingerprinted(docs, rule), "simhash")
     near = near_duplicates(prints, rule)
-    kept = near.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")).distinct()
-    keys = docs.withColumn("_text_key", F.xxhash64("text"))
-    joined = keys.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    return joined.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = near.select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key")).distinct()
+    held, names = aside(docs)
+    rows = held.withColumn("text_key", F.xxhash64(names["text"]))
+    joined = rows.join(kept, F.col(names["doc_id"]).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
+    return joined.dropDuplicates(["id", "key"]).select(*held.columns).toDF(*docs.columns)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

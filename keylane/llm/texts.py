@@ -116,7 +116,7 @@ class Words:
         return whole, mix(rolled[whole])
 
 
-def blocks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most BLOCK_BYTES of text each, or one longer text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at = 0
