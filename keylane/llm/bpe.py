@@ -73,13 +73,17 @@ class Pieces(dict):
         if len(body) > LEAF_BYTES:
             return self.merge_long(body)
         parts = [body[i: i + 1] for i in range(len(body))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            rank, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
-            parts[at: at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        rank_of, none = self.ranks.get, 1 << 60
+        ranks = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks and (lowest := min(ranks)) < none:
+            at = ranks.index(lowest)
+            parts[at] += parts.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank_of(parts[at] + parts[at + 1], none)
+        return [self.ranks[p] for p in parts]
 
     def merge_long(self, body: bytes) -> list[int]:
         """As merge, with a heap of pairs over a linked list of parts."""
@@ -121,6 +125,22 @@ class Pieces(dict):
             wide *= 2
 
 
+class Units(dict):
+    """Tokens of what stands between two blanks, the first of them included: a cache like Pieces."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit: str) -> list[int]:
+        found = self.encode(" " + unit)
+        if len(unit) <= LEAF_BYTES:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[unit] = found
+        return found
+
+
 class Codec:
     """Encodes texts and decodes tokens for one vocabulary and splitting pattern."""
 
@@ -130,6 +150,8 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.blank = regex.compile(r"\p{White_Space}").match
         self.pieces = Pieces(ranks, leaf_bytes)
+        self.units = Units(self._by_pieces)
+        self.unclear = regex.compile(r"^ |\p{White_Space} ").search
         self.leaf_chars = leaf_chars
 
     def _separate(self, before: str, after: str) -> bool:
@@ -151,8 +173,15 @@ class Codec:
                 return left[:begin] + self.split("".join(left[begin:] + right[:end])) + right[end:]
             wide *= 2
 
+    def _by_pieces(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.parts(text))))
+
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self.parts(text))), np.uint32)
+        """Where every blank comes after a non-blank character, it separates pieces, and units between them are encoded alone."""
+        if self.unclear(text):
+            return np.array(self._by_pieces(text), np.uint32)
+        first, *units = text.split(" ")
+        return np.fromiter(chain(self._by_pieces(first), chain.from_iterable(map(self.units.__getitem__, units))), np.uint32)
 
     def decode(self, tokens: list[int]) -> bytes:
         if len(tokens) <= LEAF_TOKENS:
