@@ -102,18 +102,52 @@ class EventHandler:
         raise NotImplementedError("a handler that schedules timers must implement on_timer")
 
 
+class UsageError(BaseException):
+    """A call that the context cannot serve: a fault of the program, never an outcome of a message."""
+
+
 class ReplayContext:
-    """Context of a batch replay: it knows the message time, and has no timers."""
+    """Context of a batch replay: the message's time, and the timers of its key, if they are kept."""
 
-    __slots__ = ("key", "_now_us")
+    __slots__ = ("key", "_now_us", "_timers")
 
-    def __init__(self, key: str, now_us: int):
-        self.key, self._now_us = key, now_us
+    def __init__(self, key: str, now_us: int, timers: set[int] | None = None):
+        self.key, self._now_us, self._timers = key, now_us, timers
 
     @property
     def now(self) -> datetime:
         return instant(self._now_us)
 
+    def should_cancel(self) -> bool:
+        """A replay has no deadline."""
+        return False
+
+    def _kept(self) -> set[int]:
+        if self._timers is None:
+            raise UsageError("rows that are handled where they are have no timers of their key; replay them in order")
+        return self._timers
+
+    def schedule(self, at: datetime | float) -> None:
+        """Add an instant; scheduling it twice keeps one."""
+        self._kept().add(timer_second(at))
+
+    def clear_and_schedule(self, at: datetime | float) -> None:
+        """Replace all instants by one; an invalid instant changes nothing."""
+        second = timer_second(at)
+        self._kept().clear()
+        self._kept().add(second)
+
+    def unschedule(self, at: datetime | float) -> None:
+        """Remove an instant; no effect when it is not scheduled."""
+        self._kept().discard(timer_second(at))
+
+    def clear_scheduled(self) -> None:
+        self._kept().clear()
+
+    def scheduled(self) -> list[datetime]:
+        """The pending instants in order."""
+        return [instant(s * 1_000_000) for s in sorted(self._kept())]
+
 
 class Outcome(NamedTuple):
     outcome: str

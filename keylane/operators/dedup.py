@@ -83,7 +83,9 @@ def _greedy_fold(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
             keys = [batch[c] for c in by]
             changes = np.zeros(batch.num_rows, dtype=bool)
             for key in keys:
-                changes[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+                # a null key is a key like any other
+                apart = pc.or_kleene(pc.not_equal(key[1:], key[:-1]), pc.xor(pc.is_null(key[1:]), pc.is_null(key[:-1])))
+                changes[1:] |= pc.fill_null(apart, False).to_numpy(zero_copy_only=False)
             changes[0] = group != tuple(key[0].as_py() for key in keys)
             group = tuple(key[-1].as_py() for key in keys)
             keep = []
@@ -161,7 +163,9 @@ def ledger_filter(
     cannot match, so they skip the join.
     """
     live = ledger.filter((F.col("version") == version) & unexpired(F.col("recorded_us"), now_us, ttl_s))
-    with_id = df.filter(F.col(by[-1]).isNotNull()).join(live.select(*by), list(by), "left_anti")
+    named = live.select(*[F.col(c).alias(f"_live_{c}") for c in by])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_live_{c}")) for c in by])
+    with_id = df.filter(F.col(by[-1]).isNotNull()).join(named, same, "left_anti")
     return with_id.unionByName(df.filter(F.col(by[-1]).isNull()))
 
 

@@ -9,47 +9,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.functions.scalars import message_task_id
-from keylane.handlers import EventHandler, ReplayContext, Message, attempt
+from keylane.handlers import EventHandler, Message, ReplayContext, Timer, attempt, instant
 from keylane.operators.ordered import Running, Slices, by_number, previous, row_position, running
 
 PARTITION_KEY = ("topic", "part", "key")
 
 
 def process(
-    df: DataFrame, handler: Callable[[], EventHandler], payload: str = "payload", *, independent: bool = False
+    df: DataFrame, handler: Callable[[], EventHandler], payload: str = "payload", *, independent: bool = False,
+    until_us: int | None = None,
 ) -> DataFrame:
     """Call ``handler().on_message`` once per message, serially and in order per key.
 
     ``payload`` names a column of JSON text. One handler is made per task. Rows
     stream through sorted, so a hot key is never held in memory, but its calls
-    run one after the other, as the contract says. A handler whose calls do not
-    depend on each other may give that up with ``independent``: then rows are
-    handled where they are, without a shuffle, and a hot key costs nothing.
+    run one after the other, as the contract says. Timers that the handler sets
+    follow the messages' time: what is due by a message's time fires before it,
+    and what is due by ``until_us`` after the key's last message; the results
+    of ``on_timer`` are rows with a ``fire_s``. A handler whose calls do not
+    depend on each other may give all that up with ``independent``: then rows
+    are handled where they are, without a shuffle, and a hot key costs nothing.
     """
     rows = df.select("topic", "part", "off", "key", "ts_us", F.col(payload).alias("payload"))
     if not independent:
-        rows = rows.repartition("key").sortWithinPartitions("key", "part", "off")
+        rows = rows.repartition("key").sortWithinPartitions("key", "topic", "part", "off")
     return rows.mapInArrow(
-        _handled(handler),
+        _handled(handler, not independent, until_us),
         "topic string, part int, off bigint, key string, outcome string, error_class string, "
-        "error_message string, error_cause string",
+        "error_message string, error_cause string, fire_s bigint",
     )
 
 
-def _handled(make: Callable[[], EventHandler]):
+RESULT = ["topic", "part", "off", "key", "outcome", "error_class", "error_message", "error_cause", "fire_s"]
+RESULT_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
+
+
+def _handled(make: Callable[[], EventHandler], keyed: bool, until_us: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handler = make()
+        now_key, timers = None, set()
+        out: list[tuple] = []
+
+        def fire(by_us: int | None) -> None:
+            """Fire what is due, in order; a timer may set another one that is due as well."""
+            while by_us is not None and timers and (second := min(timers)) * 1_000_000 <= by_us:
+                timers.remove(second)
+                at_us = second * 1_000_000
+                result = attempt(handler.on_timer, ReplayContext(now_key, at_us, timers), Timer(now_key, instant(at_us)))
+                out.append((None, None, None, now_key, *result, second))
+
+        def results() -> pa.RecordBatch:
+            columns = list(zip(*out)) or [()] * len(RESULT)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, RESULT_TYPES)], names=RESULT)
+
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("topic", "part", "off", "key", "ts_us", "payload")]
-            results = [
-                attempt(handler.on_message, ReplayContext(key, ts_us), Message(topic, part, off, key, ts_us, text))
-                for topic, part, off, key, ts_us, text in zip(*columns)
-            ]
-            texts = [pa.array(values, pa.string()) for values in zip(*results)] or [pa.array([], pa.string())] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch["topic"], batch["part"], batch["off"], batch["key"], *texts],
-                names=["topic", "part", "off", "key", "outcome", "error_class", "error_message", "error_cause"],
-            )
+            for topic, part, off, key, ts_us, text in zip(*columns):
+                if keyed and key != now_key:
+                    fire(until_us)
+                    timers.clear()
+                now_key = key
+                fire(ts_us)
+                context = ReplayContext(key, ts_us, timers if keyed else None)
+                result = attempt(handler.on_message, context, Message(topic, part, off, key, ts_us, text))
+                out.append((topic, part, off, key, *result, None))
+            yield results()
+        fire(until_us)
+        yield results()
 
     return run
 

@@ -10,7 +10,9 @@ computed in two levels instead:
    partials) is carried forward over the slices and joined back.
 
 The join needs no further shuffle of the rows: the window already left them
-hashed and sorted by ``(group, slice)``. Grouping columns must not be null.
+hashed and sorted by ``(group, slice)``. The group is held as one struct, which
+is never null itself and equals another with the same nulls, so that rows with
+a null key are one group in any number of slices.
 
 Slices are bounded whatever the skew. Over a unique number (an offset) they
 have a fixed width, so at most that many rows. Over a time they are cut at
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+GROUP = "_group"
 SLICE_ROWS = 1 << 20
 # quantiles are planned on the driver, so their number is bounded
 MAX_SLICES = 10_000
@@ -95,7 +98,11 @@ def running(
         slice_by = even_slices(df, order[0])
     sliced = slice_by.add(df, order[0]) if isinstance(slice_by, Slices) else df.withColumn(SLICE, slice_by)
 
-    local = Window.partitionBy(*by, SLICE).orderBy(*sort)
+    if by:
+        sliced = sliced.withColumn(GROUP, F.struct(*by))
+    group = [GROUP] if by else []
+
+    local = Window.partitionBy(*group, SLICE).orderBy(*sort)
     if peers:
         local = local.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
@@ -109,20 +116,20 @@ def running(
         )
 
     place = F.struct(*[F.col(c) for c in order])
-    totals = sliced.groupBy(*by, SLICE).agg(
+    totals = sliced.groupBy(*group, SLICE).agg(
         *[_total(a, place, reverse).alias(f"_total_{n}") for n, a in aggregates.items()]
     )
     slices = F.col(SLICE).desc() if reverse else F.col(SLICE).asc()
-    earlier = Window.partitionBy(*by).orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        *by,
+        *group,
         SLICE,
         *[
             _over(Running(a.kind, F.col(f"_total_{n}")), earlier).alias(f"_carry_{n}")
             for n, a in aggregates.items()
         ],
     )
-    joined = rows.join(carried, [*by, SLICE], "left")
+    joined = rows.join(carried, [*group, SLICE], "left")
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[_merge(a.kind, F.col(f"_carry_{n}"), F.col(f"_in_{n}")).alias(n) for n, a in aggregates.items()],

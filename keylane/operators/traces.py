@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.options import PipelineOptions
+from keylane.session import stored
 
 
 def link_spans(df: DataFrame, options: PipelineOptions | None = None) -> DataFrame:
@@ -51,36 +52,40 @@ def trace_context(headers: Column) -> Column:
     )
 
 
-def assemble_traces(spans: DataFrame, depth: int = 5) -> DataFrame:
-    """The root of every span's tree and its distance, over parents and links.
+def assemble_traces(spans: DataFrame) -> DataFrame:
+    """The root of every span's tree and its distance, over parents and links, however deep the tree is.
 
-    One equi-join per level on a span's unique identity. Children of one parent
-    may be many, but the parent's side has one row, so a split of the children
-    keeps the join balanced.
+    Each span points to the one above it. In a round every pointer takes over
+    the pointer it points to, which doubles its reach, so a chain of n spans
+    needs log2(n) joins. Children of one parent may be many, but the parent's
+    side has one row, so a split of the children keeps the join balanced.
+    Pointers that never end lie on a cycle; that is an error, and raised.
     """
     above = (
         F.when(F.col("parent_span_id").isNotNull(), F.col("trace_id")).otherwise(F.col("link_trace_id")),
         F.coalesce("parent_span_id", "link_span_id"),
     )
-    up = spans.select(
-        F.col("trace_id").alias("_t"), F.col("span_id").alias("_s"), above[0].alias("_up_t"), above[1].alias("_up_s")
-    ).filter(F.col("_up_s").isNotNull())
-    rows = spans.select(
-        "*",
-        F.coalesce(above[0], "trace_id").alias("root_trace_id"),
-        F.coalesce(above[1], "span_id").alias("root_span_id"),
-        F.when(above[1].isNotNull(), 1).otherwise(0).alias("depth"),
+    pointers = stored(
+        spans.select(F.col("trace_id").alias("_t"), F.col("span_id").alias("_s"), above[0].alias("_up_t"), above[1].alias("_up_s"),
+                     F.lit(1).alias("_far"), F.lit(True).alias("_moved"))
+        .filter(F.col("_up_s").isNotNull()).dropDuplicates(["_t", "_s"]), "pointers")
+    rounds = pointers.count().bit_length() + 1
+    while not pointers.filter("_moved").isEmpty():
+        if rounds == 0:
+            raise ValueError("spans cause each other in a cycle")
+        rounds -= 1
+        beyond = pointers.select(F.col("_t").alias("_up_t"), F.col("_s").alias("_up_s"), F.col("_up_t").alias("_over_t"),
+                                 F.col("_up_s").alias("_over_s"), F.col("_far").alias("_more"))
+        pointers = stored(pointers.join(beyond, ["_up_t", "_up_s"], "left").select(
+            "_t", "_s", F.coalesce("_over_t", "_up_t").alias("_up_t"), F.coalesce("_over_s", "_up_s").alias("_up_s"),
+            (F.col("_far") + F.coalesce("_more", F.lit(0))).alias("_far"), F.col("_over_s").isNotNull().alias("_moved")), "pointers")
+    rooted = spans.join(pointers, (F.col("trace_id") == F.col("_t")) & (F.col("span_id") == F.col("_s")), "left")
+    return rooted.select(
+        *spans.columns,
+        F.coalesce("_up_t", "trace_id").alias("root_trace_id"),
+        F.coalesce("_up_s", "span_id").alias("root_span_id"),
+        F.coalesce("_far", F.lit(0)).alias("depth"),
     )
-    for _ in range(depth - 2):
-        rows = rows.join(
-            up, (F.col("root_trace_id") == F.col("_t")) & (F.col("root_span_id") == F.col("_s")), "left"
-        ).select(
-            *spans.columns,
-            F.coalesce("_up_t", "root_trace_id").alias("root_trace_id"),
-            F.coalesce("_up_s", "root_span_id").alias("root_span_id"),
-            (F.col("depth") + F.when(F.col("_up_s").isNotNull(), 1).otherwise(0)).alias("depth"),
-        )
-    return rows
 
 
 def trace_sizes(assembled: DataFrame) -> DataFrame:

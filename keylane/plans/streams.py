@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from keylane.handlers import EventHandler
 from keylane.operators.health import stalled_partitions, throughput
+from keylane.operators.keyed import process
 from keylane.options import PipelineOptions
 from keylane.plans import timing, transport  # noqa: F401
-from keylane.plans.base import EXECS, SQL, last_us, query, with_
+from keylane.plans.base import EXECS, MESSAGES, SQL, last_us, query, with_
 from keylane.plans.dedups import TRANSITIONS, TTL_TABLES
 from keylane.plans.keyed import ShopHandler
 from keylane.plans.load import TUMBLING, micros
@@ -14,17 +15,28 @@ from keylane.session import run_folder
 from keylane.sources import views
 from keylane.sources.messages import read_messages
 from keylane.streaming.client import run_to_table
-from keylane.streaming.dedup import dedup_stream, read_upserted, upsert_batch
+from keylane.streaming.dedup import dedup_stream, dedup_within_watermark, read_upserted, upsert_batch
 from keylane.streaming.processor import process_stream
 from keylane.streaming.saga import state_machine_stream
 
 
-def as_stream(df, name):
-    """Write a table to the shared folder and read it as a stream."""
+BATCHES = 6
+
+
+def as_stream(df, name, order="ts_us"):
+    """Write a table to the shared folder as files in the order of a column, and stream them, a file a micro-batch."""
     spark = df.sparkSession
     folder = run_folder(spark, name)
-    df.write.parquet(f"{folder}/input")
-    return spark.readStream.schema(df.schema).parquet(f"{folder}/input"), folder
+    stored = f"{folder}/input"
+    shares = [i / BATCHES for i in range(1, BATCHES)]
+    cuts = sorted(set(df.approxQuantile(order, shares, 0.01)))
+    low = None
+    # written one after the other: the source takes files by age
+    for high in [*cuts, None]:
+        part = df if low is None else df.filter(F.col(order) > low)
+        (part if high is None else part.filter(F.col(order) <= high)).coalesce(1).write.mode("append").parquet(stored)
+        low = high
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(stored), folder
 
 
 @query(SQL["keyed_source"])
@@ -60,7 +72,7 @@ def upsert_latest_stream(events):
 def throughput_stream(events):
     """Window counts kept up by a stream, as the last state of each window."""
     spark = events.sparkSession
-    stream, folder = as_stream(views.outcomes(events).select("ts", "outcome"), "throughput")
+    stream, folder = as_stream(views.outcomes(events).select("ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "outcome"), "throughput")
     counted = micros(throughput(stream, delay="10 minutes"))
     order = ("batch_id",)
 
@@ -78,7 +90,7 @@ def throughput_stream(events):
 @query(SQL["saga_states"])
 def saga_states_stream(events):
     rows = views.messages(events, offsets=False).select("key", "event_id", "type")
-    stream, folder = as_stream(rows, "saga")
+    stream, folder = as_stream(rows, "saga", "event_id")
     return run_to_table(state_machine_stream(stream, TRANSITIONS, "new", order="event_id"), folder).drop("type")
 
 
@@ -111,16 +123,26 @@ class LoggedTimers(EventHandler):
         pass
 
 
-@query(SQL["timer_firings"])
-def timer_firings_stream(events):
-    """Timers set, replaced and removed by a handler, fired by event time."""
-    ops = views.timer_ops(events).select(
+def _operations(events):
+    return views.timer_ops(events).select(
         F.lit(views.TOPIC).alias("topic"), F.lit(0).alias("part"), F.col("seq").alias("off"), "key",
         F.timestamp_micros("ts_us").alias("ts"), "ts_us", F.lit(None).cast("string").alias("id"),
         F.to_json(F.struct("op", "at_s")).alias("payload"),
     )
-    stream, folder = as_stream(ops, "timers")
-    # the whole log is one micro-batch, so nothing can come late
+
+
+@query(SQL["timer_firings"])
+def timer_firings_replay(events):
+    """Timers set, replaced and removed by a handler in batch, fired by the messages' time."""
+    results = process(_operations(events), LoggedTimers, until_us=last_us(events))
+    return results.filter(F.col("fire_s").isNotNull()).select("key", "fire_s")
+
+
+@query(SQL["timer_firings"])
+def timer_firings_stream(events):
+    """Timers set, replaced and removed by a handler, fired by event time."""
+    stream, folder = as_stream(_operations(events), "timers")
+    # the log comes in order of time, so nothing can come late
     results = process_stream(stream, LoggedTimers, PipelineOptions(watermark_delay=0))
     fired = run_to_table(results, folder).filter(F.col("kind") == "timer")
     return fired.select("key", "fire_s")
@@ -142,6 +164,35 @@ def handler_calls_stream(events):
     return results.select(F.col("off").alias("event_id"), "outcome", "attempt", "route")
 
 
+@query(with_(MESSAGES) + """
+SELECT 'events' AS topic, key, id FROM messages WHERE id IS NOT NULL GROUP BY key, id""")
+def dedup_watermark_stream(events):
+    """Best-effort dedup with a watermark longer than the log: one message per id is kept, whichever came first."""
+    rows = views.messages(events, offsets=False).select("topic", "key", "id", "ts", "ts_us")
+    stream, folder = as_stream(rows, "best-effort")
+    kept = run_to_table(dedup_within_watermark(stream, 31 * 86_400), folder)
+    return kept.filter(F.col("id").isNotNull()).select("topic", "key", "id")
+
+
+class TwoTopics(EventHandler):
+    def on_message(self, context, message):
+        pass
+
+
+@query(with_(MESSAGES) + """
+SELECT 'first' AS topic, key, id FROM messages WHERE id IS NOT NULL GROUP BY key, id
+UNION ALL SELECT 'second', key, id FROM messages WHERE id IS NOT NULL AND event_id % 2 = 0 GROUP BY key, id""")
+def two_topics_stream(events):
+    """An id is remembered under its topic: the second topic's copies of the first one's messages are handled too."""
+    rows = views.messages(events, offsets=False).filter(F.col("id").isNotNull()).select(
+        "part", F.col("event_id").alias("off"), "key", "ts", "ts_us", "id", F.to_json(F.struct("k")).alias("payload"))
+    both = rows.withColumn("topic", F.lit("first")).unionByName(rows.filter("off % 2 = 0").withColumn("topic", F.lit("second")))
+    stream, folder = as_stream(both, "topics")
+    options = PipelineOptions(watermark_delay=0, idempotence_ttl=31 * 86_400)
+    done = run_to_table(process_stream(stream, TwoTopics, options), folder)
+    return done.join(rows.select("off", "id"), "off").select("topic", "key", "id")
+
+
 class SlowTypes(EventHandler):
     """A message without a type only succeeds three seconds after it was sent."""
 

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from keylane.operators import traces as X
 from keylane.options import PipelineOptions
-from keylane.plans.base import EXECS, query, with_
+from keylane.plans.base import EXECS, QUERIES, query, with_
+from keylane.plans.base import SQL as RECORDED_SQL
 from keylane.sources import views
 
 SPANS = """
@@ -81,6 +82,45 @@ def trace_sizes(events):
     return X.trace_sizes(X.assemble_traces(X.link_spans(views.spans(events))))
 
 
+CONVERSED = """
+WITH RECURSIVE spans AS (
+  SELECT concat('c', conv_id, '-', turn) AS span_id, concat('t', conv_id) AS cause_trace_id, turn,
+    CASE WHEN turn > 0 THEN concat('c', conv_id, '-', turn - 1) END AS cause_span_id,
+    CASE WHEN role = 'user' THEN 'message' ELSE 'timer' END AS kind FROM conversations),
+linked AS (
+  SELECT span_id, CASE WHEN kind = 'timer' AND cause_span_id IS NOT NULL THEN concat('t-', span_id) ELSE cause_trace_id END
+      AS trace_id,
+    cause_span_id AS up FROM spans),
+walked AS (
+  SELECT span_id, trace_id, span_id AS place, 0 AS depth FROM linked
+  UNION ALL
+  SELECT w.span_id, w.trace_id, l.up, w.depth + 1 FROM walked w JOIN linked l ON w.place = l.span_id WHERE l.up IS NOT NULL)
+SELECT span_id, max_by(place, depth) AS root_span_id, CAST(max(depth) AS INT) AS depth FROM walked GROUP BY span_id
+"""
+
+
+def conversation_traces(spark, sf_dir):
+    """Each turn of a conversation is caused by the one before: answers start a trace that links back, questions do not."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    named = F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn")
+    before = F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - 1)
+    spans = turns.select(
+        named.alias("span_id"), F.when(F.col("role") == "user", "message").otherwise("timer").alias("kind"),
+        F.concat(F.lit("t"), "conv_id").alias("cause_trace_id"), F.when(F.col("turn") > 0, before).alias("cause_span_id"))
+    linked = X.link_spans(spans)
+    # a cause is named with the trace of its conversation; the trace it was given is looked up
+    own = linked.select(F.col("span_id").alias("_s"), F.col("trace_id").alias("_t"))
+    above = F.coalesce("parent_span_id", "link_span_id")
+    known = linked.join(own, above == F.col("_s"), "left").withColumn(
+        "link_trace_id", F.coalesce("_t", "link_trace_id")).withColumn("link_span_id", above).withColumn(
+        "parent_span_id", F.lit(None).cast("string")).drop("_s", "_t")
+    return X.assemble_traces(known).select("span_id", "root_span_id", "depth")
+
+
+QUERIES["conversation_traces"] = conversation_traces
+RECORDED_SQL["conversation_traces"] = CONVERSED
+
+
 @query(with_(EXECS) + """
 SELECT event_id, CASE WHEN outcome <> 'success' AND NOT cancelled THEN 'error' ELSE 'unset' END AS span_status FROM execs""")
 def span_status(events):

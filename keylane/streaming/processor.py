@@ -96,6 +96,7 @@ class KeyedProcessor(StatefulProcessor):
         self.mode = options.mode
         self.max_retries = options.max_retries
         self.dedup = options.dedup_enabled
+        self.version = str(options.idempotence_version)
         self.ttl_us = round(options.idempotence_ttl * 1_000_000)
         self.timeout = options.handler_timeout
         # without deferral a failing message is tried again at the shorter retry pace
@@ -110,15 +111,15 @@ class KeyedProcessor(StatefulProcessor):
         self.handler = self.make()
         self.queue = handle.getListState("queue", QUEUED)
         self.waiting = handle.getValueState("waiting", "tries int, retry_ms bigint")
-        self.seen = handle.getMapState("seen", "id string", "recorded_us bigint")
+        self.seen = handle.getMapState("seen", "topic string, id string, version string", "recorded_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self._load()
-        for row in sorted(rows, key=lambda r: (r["part"], r["off"])):
+        for row in sorted(rows, key=lambda r: (r["topic"], r["part"], r["off"])):
             at_us = row["ts_us"] if self.event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
             if self.event_time:
                 yield from self._catch_up(key[0], at_us)
-            if self._duplicate(row["id"], row["ts_us"]):
+            if self._duplicate(row["topic"], row["id"], row["ts_us"]):
                 continue
             item = (row["topic"], row["part"], row["off"], row["ts_us"], row["payload"], None)
             yield from self._accept(key[0], item, at_us)
@@ -153,8 +154,8 @@ class KeyedProcessor(StatefulProcessor):
         self.listed = listed - {expired}
         self.queued: list[tuple] | None = None
         self.appended: list[tuple] = []
-        self.known: dict[str, int | None] = {}
-        self.fresh: set[str] = set()
+        self.known: dict[tuple, int | None] = {}
+        self.fresh: set[tuple] = set()
 
     def _save(self) -> None:
         wanted = {s * 1000 for s in self.user}
@@ -174,8 +175,8 @@ class KeyedProcessor(StatefulProcessor):
             self.queue.clear()
         elif self.appended:
             self.queue.appendList(self.appended)
-        for id_ in self.fresh:
-            self.seen.updateValue((id_,), (self.known[id_],))
+        for name in self.fresh:
+            self.seen.updateValue(name, (self.known[name],))
 
     def _enqueue(self, item: tuple) -> None:
         (self.appended if self.queued is None else self.queued).append(item)
@@ -260,18 +261,19 @@ class KeyedProcessor(StatefulProcessor):
 
     # -- remembered ids ------------------------------------------------------
 
-    def _duplicate(self, id_: str | None, ts_us: int) -> bool:
-        """Whether the id was kept within the ttl."""
+    def _duplicate(self, topic: str, id_: str | None, ts_us: int) -> bool:
+        """Whether the id was kept under this topic, key and version within the ttl."""
         if id_ is None or not self.dedup:
             return False
-        if id_ not in self.known:
-            found = self.seen.getValue((id_,))
-            self.known[id_] = None if found is None else found[0]
-        recorded = self.known[id_]
+        name = (topic, id_, self.version)
+        if name not in self.known:
+            found = self.seen.getValue(name)
+            self.known[name] = None if found is None else found[0]
+        recorded = self.known[name]
         if recorded is not None and ts_us <= recorded + self.ttl_us:
             return True
-        self.known[id_] = ts_us
-        self.fresh.add(id_)
+        self.known[name] = ts_us
+        self.fresh.add(name)
         if self.purge is None:
             self.purge = self._own_timer((ts_us + self.ttl_us) // 1000 + 1)
         return False
@@ -280,9 +282,9 @@ class KeyedProcessor(StatefulProcessor):
         """Drop ids that no longer matter, a few times per ttl."""
         self.purge = None
         kept = []
-        for (id_,), (recorded,) in list(self.seen.iterator()):
+        for name, (recorded,) in list(self.seen.iterator()):
             if recorded + self.ttl_us < now_us:
-                self.seen.removeKey((id_,))
+                self.seen.removeKey(tuple(name))
             else:
                 kept.append(recorded)
         if kept:

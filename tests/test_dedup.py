@@ -103,3 +103,19 @@ def test_latest_per_key(spark):
     assert kept(latest) == [1, 3]
     assert kept(D.latest_per_key(latest.union(df))) == [1, 3]
     assert latest.filter(F.col("key") == "b").first()["id"] is None
+
+
+def test_null_keys_are_a_key_like_any_other(spark):
+    day = 86_400_000_000
+    rows = [("t", key, "x", 0, i, i * day) for key in (None, "a") for i in range(12)] + [(None, None, "x", 0, 99, 0)]
+    df = spark.createDataFrame(rows, "topic string, key string, id string, part int, off long, ts_us long")
+    kept = D.dedup(df, ttl_s=5 * 86_400)
+    assert sorted((r["topic"] or "", r["key"] or "", r["off"]) for r in kept.collect()) == [
+        ("", "", 99), ("t", "", 0), ("t", "", 6), ("t", "a", 0), ("t", "a", 6)]
+
+
+def test_ledger_knows_null_keys(spark):
+    df = spark.createDataFrame([("t", None, "x", 0, 0), ("t", "a", "x", 0, 0), ("t", None, "y", 0, 0)],
+                               "topic string, key string, id string, off long, ts_us long")
+    ledger = D.dedup_ledger(df.filter("id = 'x'"))
+    assert [r["id"] for r in D.ledger_filter(df, ledger, 1).collect()] == ["y"]

@@ -109,3 +109,13 @@ def test_sliding_sum(frame, rows, width, many):
             near = [r for r in group if row[2] - width <= r[2] <= row[2]]
             expected.append((row[0], len(near), sum(r[3] or 0 for r in near)))
     assert rows_of(got.select("id", "n", "total")) == sorted(expected)
+
+
+def test_rows_with_a_null_key_are_one_group_in_any_number_of_slices(spark):
+    df = spark.createDataFrame([(None if i % 3 else "a", None if i % 2 else 1, i) for i in range(60)], "g string, h int, t long")
+    found = []
+    for rows in (1000, 7):
+        placed = row_position(df, ["g", "h"], ["t"], even_slices(df, "t", rows), "n")
+        found.append(sorted((r["t"], r["n"]) for r in placed.collect()))
+    assert found[0] == found[1]
+    assert max(n for _, n in found[0]) == 20

@@ -30,6 +30,22 @@ def test_one_tree_over_parents_and_links(spans):
             assert tuple(X.trace_sizes(trees).first()) == ("t1", "s1", 5, 4)
 
 
+SPAN = "span_id string, trace_id string, parent_span_id string, link_trace_id string, link_span_id string"
+
+
+def test_a_deep_chain_has_one_root(spark):
+    chain = [("0", "t", None, None, None)] + [
+        (str(i), "t", str(i - 1), None, None) if i % 3 else (str(i), "t", None, "t", str(i - 1)) for i in range(1, 41)]
+    got = {r["span_id"]: (r["root_span_id"], r["depth"]) for r in X.assemble_traces(spark.createDataFrame(chain, SPAN)).collect()}
+    assert got == {str(i): ("0", i) for i in range(41)}
+
+
+def test_a_cycle_is_an_error(spark):
+    ring = [("a", "t", "c", None, None), ("b", "t", "a", None, None), ("c", "t", "b", None, None), ("d", "t", None, None, None)]
+    with pytest.raises(ValueError, match="cycle"):
+        X.assemble_traces(spark.createDataFrame(ring, SPAN))
+
+
 @pytest.mark.parametrize("carrier, found", [
     ("00-4bf92f3577b34da6a3ce929d0e0e4736-00f067aa0ba902b7-01", ("4bf92f3577b34da6a3ce929d0e0e4736", "00f067aa0ba902b7", True)),
     ("00-4bf92f3577b34da6a3ce929d0e0e4736-00f067aa0ba902b7-02", ("4bf92f3577b34da6a3ce929d0e0e4736", "00f067aa0ba902b7", False)),
