@@ -90,6 +90,8 @@ def _slots(spark: SparkSession, sources: DataFrame, total: int, mix: Mix) -> Dat
         "before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     kept = F.greatest(F.lit(0), F.least(F.col("n"), F.col("slots") - F.col("before")))
     counts = stored(drawn.select("shard", "number", "slots", "before", kept.alias("kept"), (F.col("n") - kept).alias("spilt")), "counts")
+    # a count becomes as many rows, so the few counts are spread before that
+    spread = counts.repartition(_tasks(spark), "shard", "number")
 
     per_source = sources.filter("slots > 0").select("number", "slots").join(
         counts.groupBy("number").agg(F.sum("kept").alias("kept"), F.sum("spilt").alias("spilt")), "number", "left").fillna(0)
@@ -101,9 +103,9 @@ def _slots(spark: SparkSession, sources: DataFrame, total: int, mix: Mix) -> Dat
     def upto(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    own = counts.filter("kept > 0").select("shard", "number", "before", upto("kept").alias("i")).select(
+    own = spread.filter("kept > 0").select("shard", "number", "before", upto("kept").alias("i")).select(
         "shard", "number", (F.col("before") + F.col("i")).alias("rank"))
-    spare = counts.filter("spilt > 0").join(placed.select("number", "spilt_before"), "number").select(
+    spare = spread.filter("spilt > 0").join(placed.select("number", "spilt_before"), "number").select(
         "shard", (F.col("spilt_before") + F.greatest(F.col("before") - F.col("slots"), F.lit(0))).alias("from"), upto("spilt").alias("i")
     ).select("shard", (F.col("from") + F.col("i")).alias("at"))
     wanted = placed.filter("missing > 0").select("number", "slots", "missing", "missing_before", upto("missing").alias("i")).select(
@@ -111,6 +113,10 @@ def _slots(spark: SparkSession, sources: DataFrame, total: int, mix: Mix) -> Dat
     return own.unionByName(spare.join(wanted, "at").select("shard", "number", "rank"))
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def permuted(index: Column, n: Column, key: list[Column], rounds: int) -> Column:
     """A pseudorandom permutation of 0 to n-1 for any n: rounds that swap an index with its mirror image, or not.
 
