@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keylane.session import stored
 
 
+def merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Labels of rows after rows u and v, pair by pair, are connected: each row's least connected row."""
+    while len(u):
+        left, right = label[u], label[v]
+        apart = left != right
+        u, v, left, right = u[apart], v[apart], left[apart], right[apart]
+        np.minimum.at(label, np.maximum(left, right), np.minimum(left, right))
+        while not np.array_equal(label, shorter := label[label]):
+            label = shorter
+    return label
+
+
+def spanning(rows: int, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One edge for each row that is not the least of those it is connected with."""
+    label = merge(np.arange(rows), u, v)
+    moved = np.flatnonzero(label != np.arange(rows))
+    return moved, label[moved]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of the edges (a, b): the least node of its component.
 

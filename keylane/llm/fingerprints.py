@@ -4,7 +4,8 @@ A text's shingles are its runs of five words (all its words when it has fewer).
 Each of ``PERMUTATIONS`` universal hash functions x -> a x + b (a odd) permutes
 the 64-bit shingle hashes; the smallest value under each, cut to 16 bits, is
 one position of the fingerprint. Two fingerprints agree in about as many
-positions as the shingle sets' Jaccard similarity says.
+positions as the shingle sets' Jaccard similarity says. Bands of the fingerprint
+bring like texts together, and their exact similarity is then verified.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keylane.llm.components import components, spanning
 from keylane.llm.shared import documents
-from keylane.llm.texts import BLOCK_BYTES, Texts, Words
+from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks
+from keylane.session import stored
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -26,6 +29,8 @@ _A = np.random.default_rng(2).integers(1, 2**63, PERMUTATIONS, dtype=np.uint64)
 _B = np.random.default_rng(3).integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 #: Shingles hashed at once: the block and its permuted copy stay in a core's cache.
 _AT_ONCE = 1 << 14
+#: Shingles of a tile pair counted at once.
+_COLUMNS = 1 << 14
 
 
 def shingle_hashes(texts: Texts, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -166,5 +171,74 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return slices.repartition("slice").sortWithinPartitions("slice", "borrowed", "k", "h").mapInArrow(_compared, FINGERPRINTED)
 
 
+def _banded(bands: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                texts = Texts(part.column(1))
+                cut = np.ascontiguousarray(signatures(texts)).view(np.uint8).reshape(texts.count, bands, -1)
+                hashes, first = shingle_hashes(texts)
+                sets = [np.unique(x).view(np.int64) for x in np.split(hashes, first[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([[b.tobytes() for b in row] for row in cut], pa.list_(pa.binary())),
+                     pa.array(sets, pa.list_(pa.int64()))], ["k", "bands", "shingles"])
+    return run
+
+
+def _verified(similarity: float):
+    """Edges that connect all rows of a tile pair whose exact Jaccard similarity reaches the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                both = [batch.column(c)[i].values for c in ("left", "right")]
+                node = np.concatenate([x.field("k").to_numpy() for x in both])
+                sets = [s.values.to_numpy() for x in both for s in x.field("shingles")]
+                sizes = np.array([len(s) for s in sets])
+                known, at = np.unique(np.concatenate(sets), return_inverse=True)
+                row = np.repeat(np.arange(len(sets)), sizes)
+                common = np.zeros((len(both[0]), len(both[1])), np.float32)
+                for low in range(0, len(known), _COLUMNS):  # counts stay far below 2**24, so they are exact
+                    inside = (at >= low) & (at < low + _COLUMNS)
+                    held = np.zeros((len(sets), min(_COLUMNS, len(known) - low)), np.float32)
+                    held[row[inside], at[inside] - low] = 1
+                    common += held[: len(both[0])] @ held[len(both[0]):].T
+                together = sizes[: len(both[0]), None] + sizes[None, len(both[0]):] - common
+                u, v = np.nonzero(common >= similarity * together)
+                edges = spanning(len(sets), u, v + len(both[0]))
+                a, b = node[edges[0]], node[edges[1]]
+                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+    return run
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, tile: int = 256) -> DataFrame:
+    """Rows (doc_id, class_id): the least doc_id of all documents reachable over pairs alike by ``similarity`` or more.
+
+    Signature bands are joined: texts that share one meet in a bucket, which two
+    texts alike by 0.8 miss with a probability below 10^-7. All texts of a
+    bucket are compared by the exact Jaccard similarity of their shingles, in
+    tiles, so a large bucket has many tasks; a pair of tiles returns the edges
+    that connect its rows, not all pairs. Equal texts are one text throughout,
+    and buckets with the same members are compared once. Texts are named by 64
+    bits of hash. Null is the empty text; a class without any id has a null id.
+    """
+    named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    sets = stored(named.select("k", "text").mapInArrow(_banded(bands), "k long, bands array<binary>, shingles array<long>")
+                  .dropDuplicates(["k"]), "shingles")
+    held = sets.select("k", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "k")
+    buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(20,0)")).alias("members")).filter("n > 1")
+    chosen = buckets.groupBy("n", "members").agg(F.min("bucket").alias("bucket")).select(
+        "bucket", F.ceil(F.col("n") / tile).cast("int").alias("parts"))
+    tiles = stored(held.join(chosen, "bucket").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int")).join(sets.select("k", "shingles"), "k")
+                   .groupBy("bucket", "parts", "part").agg(F.collect_list(F.struct("k", "shingles")).alias("texts")), "buckets")
+    left = tiles.select("bucket", F.col("texts").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
+    meet = left.join(tiles.select("bucket", "part", F.col("texts").alias("right")), ["bucket", "part"]).select("left", "right")
+    edges = stored(meet.mapInArrow(_verified(similarity), "a long, b long").distinct(), "links")
+    least = named.groupBy("k").agg(F.min("doc_id").alias("least"))
+    rooted = least.join(components(edges).select(F.col("node").alias("k"), "root"), "k", "left").select(
+        "k", "least", F.coalesce("root", "k").alias("root"))
+    classes = rooted.select("k", "root").join(rooted.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("k", "class_id")
+    return named.select("doc_id", "k").join(classes, "k").select("doc_id", "class_id")
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))

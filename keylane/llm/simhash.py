@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.components import components
+from keylane.llm.components import components, merge
 from keylane.llm.shared import aside, documents, row_key
 from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
@@ -132,13 +132,7 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.n
         if a.shape[1] > 1:
             bits = sum(np.bitwise_count(a[u, w] ^ b[v - len(a), w]).astype(np.int64) for w in range(a.shape[1]))
             u, v = u[bits <= radius], v[bits <= radius]
-        while len(u):
-            left, right = label[u], label[v]
-            apart = left != right
-            u, v, left, right = u[apart], v[apart], left[apart], right[apart]
-            np.minimum.at(label, np.maximum(left, right), np.minimum(left, right))
-            while not np.array_equal(label, shorter := label[label]):
-                label = shorter
+        label = merge(label, u, v)
     moved = np.flatnonzero(label != np.arange(len(label)))
     return moved, label[moved]
 

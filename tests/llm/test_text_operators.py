@@ -153,6 +153,29 @@ def test_fingerprints_odd_rows(odd, empty, wide):
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def test_near_duplicate_classes(spark, docs, texts):
+    ids = sorted(texts)
+    held = [shingles(texts[i]) for i in ids]
+    parent = list(range(len(ids)))
+    for i in range(len(ids)):
+        for j in range(i):
+            if jaccard(held[i], held[j]) >= 0.8 and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    for tile in (2, 256):
+        got = {r["doc_id"]: r["class_id"] for r in fingerprints.near_duplicates(docs, tile=tile).collect()}
+        assert [got[i] for i in ids] == [ids[p] for p in parent]
+    assert len(set(parent)) < len(ids)
+
+
+def test_near_duplicate_classes_of_odd_rows(odd, empty, wide):
+    rows = fingerprints.near_duplicates(odd).collect()
+    assert len(rows) == len(ODD)
+    assert {r["class_id"] for r in rows if r["doc_id"] in (1, -7)} >= {-7}
+    assert fingerprints.near_duplicates(wide).count() == len(ODD)
+    assert fingerprints.near_duplicates(empty).count() == 0
+
+
 def test_one_document_follows_itself(spark):
     row = fingerprints.fingerprints(spark.createDataFrame([(4, "abcde")], "doc_id long, text string")).first()
     assert row["edited_sha256"] == hashlib.sha256(b"abcab").hexdigest()
