@@ -55,23 +55,23 @@ class Slices(NamedTuple):
         return cut.withColumn(SLICE, F.col("_cut").cast("int")).drop("_cut")
 
 
-def even_slices(df: DataFrame, column: str, rows: int = SLICE_ROWS) -> Slices:
+def even_slices(df: DataFrame, column: str, rows: int | None = None) -> Slices:
     """Slices of about ``rows`` rows each, over all groups together.
 
     Counts first; a table that fits one slice needs no quantiles. At most
     ``MAX_SLICES`` bounds come to the driver.
     """
     values = df.select(F.col(column).cast("double").alias("v"))
-    count = min(-(-values.count() // rows), MAX_SLICES)
+    count = min(-(-values.count() // (rows or SLICE_ROWS)), MAX_SLICES)
     if count <= 1:
         return Slices(())
     shares = [i / count for i in range(1, count)]
     return Slices(tuple(sorted(set(values.approxQuantile("v", shares, 0.25 / count)))))
 
 
-def by_number(column: str, rows: int = SLICE_ROWS) -> Column:
+def by_number(column: str, rows: int | None = None) -> Column:
     """Slices over a unique number such as an offset: at most ``rows`` rows each."""
-    return F.floor(F.col(column) / F.lit(rows)).cast("bigint")
+    return F.floor(F.col(column) / F.lit(rows or SLICE_ROWS)).cast("bigint")
 
 
 def running(

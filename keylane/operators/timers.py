@@ -69,6 +69,38 @@ def scheduled_counts(ops: DataFrame, now_us: int) -> DataFrame:
     )
 
 
+def operation_effects(ops: DataFrame, slices: Slices | None = None) -> DataFrame:
+    """What each operation of the log did: rows (key, seq, op, added, removed).
+
+    ``added`` is 1 for a scheduling operation whose instant was not pending,
+    ``removed`` counts the pending instants that a clear or an unschedule took.
+    Whether an instant is pending follows from the last operation that named it
+    and the last clear before; what a clear takes, from the next clear after
+    each added instant. All are running values of the key or of the instant.
+    """
+    slices = even_slices(ops, "ts_us") if slices is None else slices
+    order, clears = ["ts_us", "seq"], F.when(F.col("op").isin(*CLEARING), F.col("seq"))
+    before = running(ops, ["key"], order, slices, {"_last_clear": Running("max", clears)})
+    around = running(before, ["key"], order, slices, {
+        "_next_clear": Running("min", clears), "_next_clear_us": Running("min", F.when(clears.isNotNull(), F.col("ts_us")))}, reverse=True)
+    named = around.filter(F.col("at_s").isNotNull() & (F.col("op") != "clear_scheduled"))
+    after = previous(named, ["key", "at_s"], order, slices, {"_op": "op", "_seq": "seq"})
+    known = running(after, ["key", "at_s"], order, slices, {
+        "_next_drop": Running("min", F.when(F.col("op") == "unschedule", F.col("seq")))}, reverse=True)
+    due = F.col("at_s") * SECOND_US
+    held = F.coalesce(F.col("_op").isin(*SCHEDULING) & (F.col("_seq") >= F.coalesce("_last_clear", "_seq")) & (due > F.col("ts_us")),
+                      F.lit(False))
+    added = F.col("op").isin(*SCHEDULING) & (~held | (F.col("op") == "clear_and_schedule"))
+    single = known.select("*", added.cast("int").alias("added"), (held & (F.col("op") == "unschedule")).cast("int").alias("_dropped"))
+    taken = single.filter((F.col("added") == 1) & (F.col("_next_clear_us") < due) & (
+        F.col("_next_drop").isNull() | (F.col("_next_drop") > F.col("_next_clear")))).groupBy(
+        "key", F.col("_next_clear").alias("seq")).agg(F.count("*").alias("_taken"))
+    return ops.select("key", "seq", "op").join(single.select("key", "seq", "added", "_dropped"), ["key", "seq"], "left").join(
+        taken, ["key", "seq"], "left").select(
+        "key", "seq", "op", F.coalesce("added", F.lit(0)).alias("added"),
+        (F.coalesce("_taken", F.lit(0)) + F.coalesce("_dropped", F.lit(0))).alias("removed"))
+
+
 def only_operations(ops: DataFrame, *names: str) -> DataFrame:
     """The log reduced to some operations."""
     return ops.filter(F.col("op").isin(*names))

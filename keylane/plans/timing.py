@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from keylane.operators import timers as T
 from keylane.operators.ordered import even_slices
+from keylane.options import PipelineOptions
 from keylane.plans.base import NOW, TIMER_OPS, last_us, query, with_
 from keylane.sources import views
 
@@ -80,7 +81,22 @@ def timer_accuracy(events):
 
 @query(with_(TIMER_OPS) + f"""
 SELECT fire_s // 3600 AS slab, count(*) AS timers, min(fire_s) AS first_s, max(fire_s) AS last_s
-FROM (SELECT DISTINCT key, at_s AS fire_s FROM ops WHERE op IN ('schedule', 'clear_and_schedule')) GROUP BY ALL""")
+FROM ({_alive("ops", ">")}) GROUP BY ALL""")
 def timer_slabs(events):
-    ops = T.only_operations(views.timer_ops(events), *T.SCHEDULING)
-    return T.timer_slabs(ops.select("key", F.col("at_s").alias("fire_s")).distinct())
+    """Backlog of the timers that are still pending."""
+    return T.timer_slabs(T.pending_timers(views.timer_ops(events), last_us(events)), round(PipelineOptions().slab_size))
+
+
+_PENDING_BEFORE = """p.key = o.key AND p.seq < o.seq AND p.op IN ('schedule', 'clear_and_schedule') AND p.at_s * 1000000 > o.ts_us
+  AND NOT EXISTS (SELECT 1 FROM ops r WHERE r.key = o.key AND r.seq > p.seq AND r.seq < o.seq
+    AND (r.op IN ('clear_and_schedule', 'clear_scheduled') OR (r.op = 'unschedule' AND r.at_s = p.at_s)))"""
+
+
+@query(with_(TIMER_OPS) + f"""
+SELECT key, seq, op, CAST(CASE WHEN op = 'schedule' AND n = 0 OR op = 'clear_and_schedule' THEN 1 ELSE 0 END AS INT) AS added,
+  CASE WHEN op = 'unschedule' THEN n WHEN op = 'schedule' THEN 0 ELSE n END AS removed
+FROM (SELECT key, seq, op, (SELECT count(DISTINCT p.at_s) FROM ops p WHERE {_PENDING_BEFORE}
+    AND (o.op IN ('clear_and_schedule', 'clear_scheduled') OR p.at_s = o.at_s)) AS n FROM ops o)""")
+def timer_operations(events):
+    """What every operation of the whole log added and removed."""
+    return T.operation_effects(views.timer_ops(events))

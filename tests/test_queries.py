@@ -22,6 +22,18 @@ def plain(value):
     return None if value is None or value != value else value
 
 
+#: Queries whose windows are cut into slices on a large table.
+SLICED = ("dedup_consecutive failure_rate fair_order in_flight key_overlaps monopolization ordering_violations stall_gaps "
+          "timer_accuracy timer_firings timer_operations timer_pending timer_scheduled virtual_time backpressure "
+          "handler_calls sequence_per_key").split()
+
+
+@pytest.mark.parametrize("name", [n for n in SLICED if n in QUERIES])
+def test_matches_sql_in_small_slices(name, spark, sf_dir, duck, monkeypatch):
+    monkeypatch.setattr("keylane.operators.ordered.SLICE_ROWS", 100)
+    test_matches_sql(name, spark, sf_dir, duck)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(name, spark, sf_dir, duck):
     got = QUERIES[name](spark, sf_dir)
