@@ -92,9 +92,10 @@ OPTIONS: dict[str, tuple[str, Any]] = {
     "retention": ("seconds", 31_557_600.0),
     "telemetry_topic": ("text", "telemetry-events"),
     "telemetry_enabled": ("bool", True),
-    # Spark's own: how late event time may run, and how many records a micro-batch takes.
+    # Spark's own: how late event time may run, and how many records, or bytes of files, a micro-batch takes.
     "watermark_delay": ("seconds", 600.0),
     "max_offsets_per_trigger": ("int", 10_000_000),
+    "max_bytes_per_trigger": ("int", 1 << 30),
 }
 
 

@@ -68,6 +68,8 @@ def read_messages(
         }
         records = reader.format("kafka").options(**{k: v for k, v in settings.items() if v is not None}).load()
         return decode(records)
+    if streaming:
+        reader = reader.option("maxBytesPerTrigger", options.max_bytes_per_trigger)
     records = reader.schema(RECORD_SCHEMA).parquet(source)
     if topics:
         records = records.filter(F.col("topic").isin(*topics))

@@ -15,7 +15,7 @@ from keylane.handlers import EventHandler
 from keylane.operators.filters import filter_allowed_events, filter_own_messages
 from keylane.operators.health import is_stalled
 from keylane.options import PipelineOptions
-from keylane.sources.messages import read_messages, to_records, with_reserved_fields, write_messages
+from keylane.sources.messages import read_messages, to_records, with_reserved_fields, write_messages, write_stream
 from keylane.sources.sinks import dead_letters, failure_records, result_telemetry, telemetry_records
 from keylane.streaming.processor import process_stream
 
@@ -77,7 +77,9 @@ class EventClient:
         if bounded:
             writer = writer.trigger(availableNow=True)
         else:
-            writer = writer.trigger(processingTime=f"{round(self.options.commit_interval * 1000)} milliseconds")
+            # a micro-batch both polls the source and commits, so it comes as often as the longer of both says
+            pause = max(self.options.poll_interval, self.options.commit_interval)
+            writer = writer.trigger(processingTime=f"{round(pause * 1000)} milliseconds")
         self.query = writer.start()
         return self.query
 
@@ -100,6 +102,11 @@ class EventClient:
         """Send a table with ``key`` and ``payload``."""
         write_messages(to_records(df, topic, "key", F.col("payload"), self.source_system), self.options, path)
 
+    def send_stream(self, df: DataFrame, topic: str, checkpoint: str, path: str | None = None) -> StreamingQuery:
+        """Send a stream with ``key`` and ``payload``, for as long as the query runs."""
+        records = to_records(df, topic, "key", F.col("payload"), self.source_system)
+        return write_stream(records, self.options, checkpoint, path).start()
+
     @property
     def assigned_partitions(self) -> int:
         """Partitions the running query has read from; ready when there is one."""

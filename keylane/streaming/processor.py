@@ -99,6 +99,8 @@ class KeyedProcessor(StatefulProcessor):
         self.version = str(options.idempotence_version)
         self.ttl_us = round(options.idempotence_ttl * 1_000_000)
         self.timeout = options.handler_timeout
+        # what waits longer than it is kept is given up
+        self.retention_us = round(options.retention * 1_000_000)
         # without deferral a failing message is tried again at the shorter retry pace
         self.pace = (
             (options.defer_base, options.defer_max_delay)
@@ -223,6 +225,10 @@ class KeyedProcessor(StatefulProcessor):
         self.retry = None
         done = 0
         for item in self.queued:
+            if now_us - item[3] > self.retention_us:
+                yield self._row(key, item, now_us, tries, Outcome("expired"), "skip")
+                done, tries = done + 1, 0
+                continue
             tries += 1
             result, waits = self._run(key, item, tries, now_us)
             yield result
@@ -247,10 +253,14 @@ class KeyedProcessor(StatefulProcessor):
         if route == "retry":
             ms = self._own_timer(now_us // 1000 + delay_ms(tries, *self.pace))
             self.retry = (tries, ms)
+        return self._row(key, item, now_us, tries, outcome, route), route == "retry"
+
+    def _row(self, key: str, item: tuple, now_us: int, tries: int, outcome: Outcome, route: str) -> Row:
+        topic, part, off, _, payload, fire_s = item
         kind = "message" if fire_s is None else "timer"
         letter = payload if route == "dead_letter" else None
         values = (key, kind, topic, part, off, fire_s, now_us, tries, *outcome, route, letter)
-        return Row(**dict(zip(RESULT.names, values))), route == "retry"
+        return Row(**dict(zip(RESULT.names, values)))
 
     def _route(self, outcome: Outcome) -> str:
         if outcome.outcome == "success":

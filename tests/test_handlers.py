@@ -1,3 +1,4 @@
+import json
 import sys
 from datetime import datetime, timezone
 
@@ -148,3 +149,49 @@ def test_touching_executions_do_not_overlap(spark):
     df = spark.createDataFrame([(1, "a", 0, 10), (2, "a", 10, 20), (3, "a", 19, 30), (4, "b", 5, 6)],
                                "event_id bigint, key string, start_us bigint, end_us bigint")
     assert [r["event_id"] for r in K.overlap_violations(df).collect()] == [3]
+
+
+def test_what_waits_longer_than_it_is_kept_is_given_up():
+    from keylane.options import PipelineOptions
+    from keylane.streaming.processor import KeyedProcessor
+
+    class Seen(EventHandler):
+        def __init__(self):
+            self.offsets = []
+
+        def on_message(self, context, message):
+            self.offsets.append(message.offset)
+
+    processor = KeyedProcessor(Seen, PipelineOptions(retention=10), True)
+    processor.handler = Seen()
+    processor.user, processor.queued, processor.appended = set(), [("t", 0, 1, 0, "{}", None), ("t", 0, 2, 5_000_000, "{}", None)], []
+    processor.retry = processor.saved_retry = (1, 5)
+    rows = list(processor._retry("k", 11_000_000))
+    assert [(r["off"], r["outcome"], r["route"]) for r in rows] == [(1, "expired", "skip"), (2, "success", "done")]
+    assert processor.handler.offsets == [2] and processor.queued == [] and processor.retry is None
+
+
+def test_a_replay_fires_timers_in_message_time(spark):
+    class Twice(EventHandler):
+        def on_message(self, context, message):
+            if message.payload["set"]:
+                context.schedule(message.payload["set"])
+
+        def on_timer(self, context, timer):
+            if timer.time.timestamp() == 5:
+                context.schedule(7)
+
+    rows = [("t", 0, i, "k", at * 1_000_000, json.dumps({"set": s})) for i, (at, s) in enumerate([(1, 5), (6, 100), (9, None)])]
+    frame = spark.createDataFrame(rows, "topic string, part int, off long, key string, ts_us long, payload string")
+    got = [(r["off"], r["fire_s"]) for r in K.process(frame, Twice, until_us=50_000_000).collect()]
+    assert got == [(0, None), (None, 5), (1, None), (None, 7), (2, None)]
+
+
+def test_timers_of_rows_handled_where_they_are_fail_the_job(spark):
+    class Sets(EventHandler):
+        def on_message(self, context, message):
+            context.schedule(5)
+
+    frame = spark.createDataFrame([("t", 0, 0, "k", 0, "{}")], "topic string, part int, off long, key string, ts_us long, payload string")
+    with pytest.raises(Exception, match="replay them in order"):
+        K.process(frame, Sets, independent=True).collect()

@@ -93,3 +93,15 @@ def test_partitions_of_offsets():
     assert count_partitions('{"a":{"0":5,"1":7},"b":{"0":1}}') == 3
     assert count_partitions({"logOffset": 3}) == 0
     assert count_partitions(None) == 0
+
+
+def test_client_sends_a_stream(spark, tmp_path):
+    rows = spark.createDataFrame([("k1", '{"a": 1}'), ("k2", '{"a": 2}')], "key string, payload string")
+    rows.write.parquet(f"{tmp_path}/rows")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/rows").withColumn("payload", F.parse_json("payload"))
+    client = EventClient(spark, source_system="shop", mock=True)
+    query = client.send_stream(stream, "orders", f"{tmp_path}/progress", f"{tmp_path}/sent")
+    query.processAllAvailable()
+    query.stop()
+    sent = read_messages(spark, f"{tmp_path}/sent", "orders", streaming=False)
+    assert sorted(r["key"] for r in sent.select("key").collect()) == ["k1", "k2"]
