@@ -23,7 +23,7 @@ from keylane.llm.shared import documents
 from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks
 from keylane.session import stored
 
-PERMUTATIONS = 128
+PERMUTATIONS = 256
 SHINGLE = 5
 _A = np.random.default_rng(2).integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(3).integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -171,12 +171,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return slices.repartition("slice").sortWithinPartitions("slice", "borrowed", "k", "h").mapInArrow(_compared, FINGERPRINTED)
 
 
-def _banded(bands: int):
+def _banded(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
                 texts = Texts(part.column(1))
-                cut = np.ascontiguousarray(signatures(texts)).view(np.uint8).reshape(texts.count, bands, -1)
+                cut = np.ascontiguousarray(signatures(texts)[:, : bands * rows]).view(np.uint8).reshape(texts.count, bands, -1)
                 hashes, first = shingle_hashes(texts)
                 sets = [np.unique(x).view(np.int64) for x in np.split(hashes, first[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -210,11 +210,11 @@ def _verified(similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, tile: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256) -> DataFrame:
     """Rows (doc_id, class_id): the least doc_id of all documents reachable over pairs alike by ``similarity`` or more.
 
-    Signature bands are joined: texts that share one meet in a bucket, which two
-    texts alike by 0.8 miss with a probability below 10^-7. All texts of a
+    Signature bands of ``rows`` positions are joined: texts that share one meet in
+    a bucket, which two texts alike by 0.8 miss with a probability below 10^-7. All texts of a
     bucket are compared by the exact Jaccard similarity of their shingles, in
     tiles, so a large bucket has many tasks; a pair of tiles returns the edges
     that connect its rows, not all pairs. Equal texts are one text throughout,
@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, t
     bits of hash. Null is the empty text; a class without any id has a null id.
     """
     named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    sets = stored(named.select("k", "text").mapInArrow(_banded(bands), "k long, bands array<binary>, shingles array<long>")
+    sets = stored(named.select("k", "text").mapInArrow(_banded(bands, rows), "k long, bands array<binary>, shingles array<long>")
                   .dropDuplicates(["k"]), "shingles")
     held = sets.select("k", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "k")
     buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(20,0)")).alias("members")).filter("n > 1")
