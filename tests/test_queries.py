@@ -52,3 +52,17 @@ def test_matches_sql(name, spark, sf_dir, duck):
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+def test_entry_without_the_document_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(entry_module.__file__).parent
+    shutil.copytree(root / "keylane", tmp_path / "keylane", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                          cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(SQL))]
