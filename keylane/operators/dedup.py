@@ -17,14 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keylane.operators.filters import unexpired
-from keylane.operators.ordered import by_number, previous
-from keylane.operators.skew import bounded, hot_groups
-from keylane.session import run_folder
+from keylane.operators.ordered import Running, by_number, previous, running
+from keylane.operators.skew import bounded
+from keylane.session import stored
 
 KEYS = ("topic", "key", "id")
 WEEK_S = 604_800.0
-# a smaller group is walked in one task, whatever its share of a small table
-FOLD_ROWS = 100_000
+# a group of at most so many rows is walked in one task
+FOLD_ROWS = 1_000_000
+# more hot groups than these are not broadcast
+MOST_HOT = 100_000
 
 
 def dedup(
@@ -59,16 +61,16 @@ def _firsts(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame
 
 
 def _dedup_ttl(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
-    size = df.agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("rows")).first()
-    if size["rows"] == 0 or size["last"] - size["first"] <= ttl_us:
-        return _firsts(df, by, [at, *order])
-    hot = hot_groups(df, by, size["rows"], FOLD_ROWS)
-    if hot is None:
+    """One count per group says which need more than their first row, and which of those are too large for one task."""
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"), (F.max(at) - F.min(at)).alias("_span"))
+    hot = stored(sizes.filter((F.col("_span") > ttl_us) & (F.col("_n") > FOLD_ROWS)).select(*by), "hot")
+    if hot.isEmpty():
         return _greedy_fold(df, ttl_us, by, order, at)
-    hot = F.broadcast(hot)
-    rest = df.join(hot, list(by), "left_anti").select(*df.columns)
-    copies = df.join(hot, list(by), "left_semi").select(*df.columns)
-    return _greedy_fold(rest, ttl_us, by, order, at).unionByName(_greedy_rounds(copies, ttl_us, by, order, at))
+    side = bounded(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in by]), MOST_HOT)
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in by])
+    rest = df.join(side, same, "left_anti")
+    copies = df.join(side, same, "left_semi")
+    return _greedy_fold(rest, ttl_us, by, order, at).unionByName(_greedy_jumps(copies, ttl_us, by, order, at))
 
 
 def _greedy_fold(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
@@ -99,35 +101,35 @@ def _greedy_fold(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
     return ordered.mapInArrow(walk, df.schema)
 
 
-def _greedy_rounds(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
-    """The hot groups, one time slice of length ``ttl`` after the other.
+def _greedy_jumps(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
+    """The hot groups, whose rows no task holds together.
 
-    Two kept copies lie more than ``ttl`` apart, so a slice keeps at most one
-    per group, and only a copy kept in the slice before can still cover rows of
-    this one. The places of the hot rows are written once, by slice; a round
-    reads its slice, joins the few kept copies by broadcast and reduces the
-    rows map-side. The kept places then pick the whole rows.
+    After a kept row the next kept one is the first row more than ``ttl`` later.
+    So every row points to that row, found by a running value over slices, and
+    the kept rows are those reached from the first row of each group. A round
+    doubles how far the pointers reach and how many rows are reached: log2 of
+    the kept rows of a group, whatever the ttl. Pointers join by row number,
+    which no row shares.
     """
-    spark = df.sparkSession
-    number = F.floor(F.col(at) / F.lit(ttl_us)).cast("bigint").alias("_round")
-    places = df.select(*by, at, *[c for c in order if c != at], number)
-    folder = run_folder(spark, "dedup")
-    places.repartitionByRange(at).write.partitionBy("_round").parquet(f"{folder}/places")
-    places = spark.read.schema(places.schema).parquet(f"{folder}/places")
-    rounds = sorted(r["_round"] for r in places.select("_round").distinct().collect())
-    kept: list[DataFrame] = []
-    for number in rounds:
-        rows = places.filter(F.col("_round") == number).drop("_round")
-        if kept:
-            # one row per hot group
-            covered = F.broadcast(kept[-1].select(*by, (F.col(at) + ttl_us).alias("_covered")))
-            uncovered = F.coalesce(F.col(at) > F.col("_covered"), F.lit(True))
-            rows = rows.join(covered, list(by), "left").filter(uncovered).drop("_covered")
-        _firsts(rows, by, [at, *order]).write.parquet(f"{folder}/kept/{number}")
-        kept.append(spark.read.schema(rows.schema).parquet(f"{folder}/kept/{number}"))
-    # at most one row per hot group and slice
-    found = F.broadcast(reduce(DataFrame.unionByName, kept))
-    return df.join(found, [*by, at, *[c for c in order if c != at]], "left_semi").select(*df.columns)
+    rest = [c for c in order if c != at]
+    places = stored(df.select(*by, at, *rest).withColumn("_row", F.monotonically_increasing_id()), "places")
+    rows = places.select("*", (F.col(at) * 2).alias("_step"), F.lit(False).alias("_probe"))
+    probes = rows.select(*by, *rest, "_row", (F.col("_step") + 2 * ttl_us + 1).alias("_step"), F.lit(True).alias("_probe"))
+    found = running(rows.unionByName(probes, allowMissingColumns=True), by, ["_step", *rest], None,
+                    {"_next": Running("last", F.when(~F.col("_probe"), F.col("_row")))}, reverse=True)
+    jumps = stored(found.filter(F.col("_probe") & F.col("_next").isNotNull()).select("_row", "_next"), "jumps")
+    first = places.groupBy(*by).agg(F.min_by("_row", F.struct(at, *rest)).alias("_row"))
+    kept = stored(first.select("_row"), "kept")
+    while True:
+        reached = stored(kept.join(jumps, "_row").select(F.col("_next").alias("_row")), "kept")
+        if reached.isEmpty():
+            break
+        kept = kept.unionByName(reached)
+        over = jumps.select(F.col("_row").alias("_next"), F.col("_next").alias("_over"))
+        jumps = stored(jumps.join(over, "_next").select("_row", F.col("_over").alias("_next")), "jumps")
+    chosen = places.join(kept, "_row", "left_semi").select(*[F.col(c).alias(f"_kept_{c}") for c in (*by, at, *rest)])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in (*by, at, *rest)])
+    return df.join(chosen, same, "left_semi")
 
 
 def dedup_consecutive(df: DataFrame, by: Sequence[str] = ("topic", "key", "part"), order: str = "off",

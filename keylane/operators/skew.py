@@ -1,28 +1,11 @@
-"""Hot groups, found by counting, and broadcasts with a checked size."""
+"""Broadcasts with a checked size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a group is hot above 1/HOT_SHARE of the rows, so fewer than HOT_SHARE groups are
-HOT_SHARE = 1000
-
-
 def bounded(side: DataFrame, max_rows: int) -> DataFrame:
     """Mark a join side for broadcast, after counting that it is small enough."""
     small = side.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(side) if small else side
-
-
-def hot_groups(df: DataFrame, on: Sequence[str], total: int, least: int) -> DataFrame | None:
-    """The groups holding more than ``1/HOT_SHARE`` of ``total`` rows, and more than ``least``.
-
-    There are fewer than ``HOT_SHARE`` of them, so they can be broadcast.
-    """
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    hot = counts.filter(F.col("_n") > max(total // HOT_SHARE, least)).select(*on)
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None

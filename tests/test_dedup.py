@@ -119,3 +119,16 @@ def test_ledger_knows_null_keys(spark):
                                "topic string, key string, id string, off long, ts_us long")
     ledger = D.dedup_ledger(df.filter("id = 'x'"))
     assert [r["id"] for r in D.ledger_filter(df, ledger, 1).collect()] == ["y"]
+
+
+def test_a_short_ttl_takes_few_jobs(spark, monkeypatch):
+    """Thousands of ttl-long slices, a third of the rows in one group: rounds follow the kept rows' logarithm."""
+    monkeypatch.setattr(D, "FOLD_ROWS", 50)
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}", "x", i * 1000) for i in range(1500)]
+    df = messages(spark, rows)
+    spark.sparkContext.setJobGroup("short-ttl", "dedup")
+    found = kept(D.dedup(df, ttl_s=60))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("short-ttl"))
+    spark.sparkContext.setJobGroup("", "")
+    assert found == greedy(rows, 60)
+    assert jobs < 250
