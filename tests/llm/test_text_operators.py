@@ -189,7 +189,7 @@ def simhash64(text, n=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
 
 
-def linked(values, radius):
+def linked(values, radius, also=lambda x: True):
     """Least index reachable over links, for each index."""
     parent = list(range(len(values)))
 
@@ -201,7 +201,7 @@ def linked(values, radius):
 
     for i in range(len(values)):
         for j in range(i):
-            if (values[i] ^ values[j]).bit_count() <= radius:
+            if (values[i] ^ values[j]).bit_count() <= radius and also(values[i] ^ values[j]):
                 a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
     return [root(i) for i in range(len(values))]
