@@ -8,6 +8,7 @@ from keylane.llm.language import op8_language_id
 from keylane.llm.licenses import op6_license_scan
 from keylane.llm.line_dedup import op3_line_dedup
 from keylane.llm.mixing import op1_mix_sources
+from keylane.llm.oracles import SQL
 from keylane.llm.quality import op4_quality_rules
 from keylane.llm.secret_scans import op7_secret_scan
 from keylane.llm.sharding import op10_shard_by_bytes
@@ -26,4 +27,4 @@ QUERIES = {f.__name__: f for f in (
     op10_shard_by_bytes,
 )}
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
