@@ -7,7 +7,7 @@ from keylane.operators.health import stalled_partitions, throughput
 from keylane.operators.keyed import process
 from keylane.options import PipelineOptions
 from keylane.plans import timing, transport  # noqa: F401
-from keylane.plans.base import EXECS, MESSAGES, SQL, last_us, query, with_
+from keylane.plans.base import EXECS, MESSAGES, NOW, SQL, last_us, query, with_
 from keylane.plans.dedups import TRANSITIONS, TTL_TABLES
 from keylane.plans.keyed import ShopHandler
 from keylane.plans.load import TUMBLING, micros
@@ -201,7 +201,24 @@ class SlowTypes(EventHandler):
             raise OSError("no type yet")
 
 
-@query()
+DEFERRED = "WITH RECURSIVE" + with_(MESSAGES).removeprefix("WITH") + f""",
+queued AS (SELECT key, event_id, ts_us, type, row_number() OVER (PARTITION BY key ORDER BY event_id) AS i FROM messages),
+tried AS (
+  SELECT key, CAST(1 AS BIGINT) AS i, 1 AS tries, ts_us AS at_us FROM queued WHERE i = 1
+  UNION ALL
+  SELECT key, CASE WHEN failed THEN i ELSE i + 1 END, CASE WHEN failed THEN tries + 1 ELSE 1 END,
+    CASE WHEN failed THEN retry_us ELSE greatest(at_us, next_us) END
+  FROM (SELECT t.*, q.type IS NULL AND t.at_us - q.ts_us < 3000000 AS failed, n.ts_us AS next_us,
+      (t.at_us // 1000 + 1000 * CAST(2 ** (t.tries - 1) AS BIGINT)
+        + CASE WHEN (t.at_us // 1000 + 1000 * CAST(2 ** (t.tries - 1) AS BIGINT)) % 1000 = 0 THEN 1 ELSE 0 END) * 1000 AS retry_us
+    FROM tried t JOIN queued q ON q.key = t.key AND q.i = t.i LEFT JOIN queued n ON n.key = t.key AND n.i = t.i + 1)
+  WHERE CASE WHEN failed THEN retry_us <= {NOW} ELSE next_us IS NOT NULL END)
+SELECT q.event_id, q.key, max(t.tries) AS attempts, max(t.at_us) AS last_us,
+  CASE WHEN q.type IS NULL AND max(t.at_us) - q.ts_us < 3000000 THEN 'transient' ELSE 'success' END AS outcome
+FROM tried t JOIN queued q ON q.key = t.key AND q.i = t.i GROUP BY q.event_id, q.key, q.type, q.ts_us"""
+
+
+@query(DEFERRED)
 def deferral_stream(events):
     """Deferred retries per message: tries, and when the last one ran."""
     rows = views.messages(events, offsets=False).select(

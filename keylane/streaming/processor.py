@@ -131,7 +131,10 @@ class KeyedProcessor(StatefulProcessor):
         ms = expiredTimerInfo.getExpiryTimeInMs()
         self._load(expired=ms)
         now_us = (ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()) * 1000
-        if ms % 1000 == 0:
+        if self.event_time and ms != self.purge:
+            # all that is due runs in this call, in order, and with it what it makes due; later calls find nothing left
+            yield from self._catch_up(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
+        elif ms % 1000 == 0:
             if ms // 1000 in self.user:
                 yield from self._fire(key[0], ms // 1000, now_us)
         elif self.retry is not None and self.retry[1] == ms:
