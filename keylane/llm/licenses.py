@@ -1,12 +1,12 @@
 """License scans, with DataFrame functions only.
 
-A text's words are cut into overlapping windows of six words, two words apart;
-a window holds two shingles of five words. A window's MinHash under each of
-``BANDS`` permutations is one band. A license template is cut into all its
-windows, at every word, and the values of all its bands are its keys. A window
-that holds a shingle of a template shares it with a template window that is
-like it by a half at least, so one band misses it with probability 1/2 and all
-twelve with less than 1/4000; a passage of several shingles is missed more
+A text's words are cut into overlapping windows of six words, one beginning at
+every word; a window holds two shingles of five words. A window's MinHash under
+each of ``BANDS`` permutations is one band. The values of all bands of all
+windows of a license template are its keys. Two windows of a text hold each
+shingle of a template, and each is like a window of the template by a half at
+least; so one band misses it with probability 1/2, and the twelve of both
+windows with less than 1/4000. A passage of several shingles is missed more
 rarely still. Templates so retrieved are verified by the exact share of their
 shingles that the text holds. All of it happens in the row of the text, so
 nothing is shuffled whatever the skew.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from keylane.llm.shared import documents
 
 SHINGLE = 5
-BANDS = 12
+BANDS = 6
 CONTAINMENT = 0.8
 #: Most templates of a scan: they are part of the plan.
 MOST_TEMPLATES = 2_000
@@ -83,21 +83,23 @@ def _salt(k: int) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
-def _signature(one: Column, two: Column) -> Column:
-    """The least of both hashes under each permutation x -> x xor salt; the salt also tells the bands apart."""
-    return F.array(*[F.least(one.bitwiseXOR(F.lit(_salt(k))), F.coalesce(two, one).bitwiseXOR(F.lit(_salt(k)))) for k in range(BANDS)])
+def window_keys(hashes: Column) -> Column:
+    """Band values of all windows of two shingles; a text of one shingle is one window.
 
-
-def window_keys(hashes: Column, step: int) -> Column:
-    """Band values of the windows of two shingles that begin every ``step`` shingles."""
+    A band's permutation is x -> x xor salt; the salt also tells the bands apart.
+    """
     def keys(h: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(h) - 1, F.lit(step))
-        found = F.transform(starts, lambda i: _signature(F.get(h, i), F.get(h, i + 1)))
-        return F.when(F.size(h) > 0, F.flatten(found)).otherwise(F.array().cast("array<bigint>"))
+        # the last shingle has none after it; null is passed over by least
+        later = F.when(F.size(h) > 1, F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0)))).otherwise(h)
+        return F.flatten(F.zip_with(h, later, _bands))
 
     return _bind(hashes, keys)
 
 
+def _bands(a: Column, b: Column) -> Column:
+    return F.array(*[F.least(a.bitwiseXOR(F.lit(_salt(k))), b.bitwiseXOR(F.lit(_salt(k)))) for k in range(BANDS)])
+
+
 def _phrases(words: Column) -> Column:
     """The distinct shingles of the words as text."""
     def made(w: Column) -> Column:
@@ -114,7 +116,7 @@ def prepared(spark: SparkSession, templates: dict[str, str]) -> list[Template]:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
     held = spark.createDataFrame(list(templates.items()), "name string, text string").select("name", words_of(F.col("text")).alias("w"))
     rows = held.select("name", _phrases(F.col("w")).alias("shingles"), F.array_distinct(
-        F.concat(window_keys(shingle_hashes(F.col("w")), 1), _single_keys(F.col("w")))).alias("keys")).collect()
+        F.concat(window_keys(shingle_hashes(F.col("w"))), _single_keys(F.col("w")))).alias("keys")).collect()
     short = [r["name"] for r in rows if not r["shingles"]]
     if short:
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
@@ -123,7 +125,7 @@ def prepared(spark: SparkSession, templates: dict[str, str]) -> list[Template]:
 
 def _single_keys(words: Column) -> Column:
     """Band values of windows that hold one shingle of the template only: its first, its last, and any beside changed words."""
-    return F.flatten(F.transform(shingle_hashes(words), lambda h: _signature(h, h)))
+    return F.flatten(F.transform(shingle_hashes(words), lambda h: _bands(h, h)))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
@@ -136,7 +138,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: fl
     keys = F.array(*[F.lit(k) for k in sorted({k for t in known for k in t.keys})])
     listed = F.array(*[F.struct(F.lit(t.name).alias("license"), F.array(*map(F.lit, t.keys)).alias("keys"),
                                 F.array(*map(F.lit, t.shingles)).alias("shingles")) for t in known])
-    met = _bind(words_of(F.col("text")), lambda w: F.array_intersect(window_keys(shingle_hashes(w), 2), keys))
+    met = _bind(words_of(F.col("text")), lambda w: F.array_intersect(window_keys(shingle_hashes(w)), keys))
     near = docs.select("doc_id", "text", met.alias("met")).filter(F.size("met") > 0)
     candidates = near.select("doc_id", _phrases(words_of(F.col("text"))).alias("phrases"), F.filter(
         listed, lambda t: F.arrays_overlap(t["keys"], F.col("met"))).alias("candidates"))
