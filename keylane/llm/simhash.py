@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components, merge
-from keylane.llm.shared import aside, documents, row_key
+from keylane.llm.shared import aside, documents, row_key, small_batches
 from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
 
@@ -48,12 +48,14 @@ STRICT = Rule()
 #: Of 50 differing bits the first word has 12 or 13, and more than 22 once in 3,000 times; of unlike texts one in 100 has so few.
 ALIKE = Rule(shingle=5, words=4, radius=50, first=22)
 #: Fingerprints of a tile.
-TILE = 16_384
+TILE = 4_096
 #: Rows of a tile compared with the whole other tile at once.
 _STRIP = 16
 _UPPER_TO_LOWER = np.arange(256, dtype=np.uint8)
 _UPPER_TO_LOWER[65:91] += 32
 _NEXT = 0x9E3779B97F4A7C15
+#: Bit i of a byte in byte lane i.
+_LANES = np.array([sum((byte >> i & 1) << 8 * i for i in range(8)) for byte in range(256)], np.uint64)
 
 
 def _squeezed(texts: Texts) -> tuple[bytes, Words, np.ndarray, np.ndarray]:
@@ -91,13 +93,29 @@ def fingerprints_of(texts: Texts, rule: Rule = STRICT) -> np.ndarray:
     full = np.flatnonzero(shingles)
     for w in range(rule.words):
         value = mix(hashes + np.uint64(w * _NEXT % 2**64)) if w else hashes
-        bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, edge[:-1][full], axis=0, dtype=np.int64)
+        ones = _bit_counts(value, edge[:-1][full], shingles[full])
         chosen = (2 * ones > shingles[full][:, None]).astype(np.uint8)
         out[full, w] = np.packbits(chosen, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return out
 
 
+def _bit_counts(values: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set in each run of values.
+
+    Each byte of a value is spread to eight byte lanes of one word, so that one
+    sum counts eight bits; runs are cut to 255 values, which no lane overflows.
+    """
+    parts = -(-sizes // 255)
+    first = np.concatenate(([0], np.cumsum(parts)))[:-1]
+    part_start = np.repeat(start, parts) + 255 * (np.arange(int(parts.sum())) - np.repeat(first, parts))
+    by_byte = values.view(np.uint8).reshape(-1, 8)
+    out = np.empty((len(sizes), 64), np.int64)
+    for j in range(8):
+        lanes = np.add.reduceat(_LANES[by_byte[:, j]], part_start).view(np.uint8).reshape(-1, 8)
+        out[:, 8 * j: 8 * j + 8] = np.add.reduceat(lanes, first, axis=0, dtype=np.int64)
+    return out
+
+
 def fingerprinted(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
     """Rows (doc_id, text_key, node, fp): each document's fingerprint as signed longs, and one long that names it.
 
@@ -111,6 +129,7 @@ def fingerprinted(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(fps), pa.list_(pa.int64()))],
                                                  ["doc_id", "text_key", "fp"])
 
+    small_batches(docs.sparkSession)
     chosen = docs.select(*row_key(), "text")
     kind = chosen.schema["doc_id"].dataType.simpleString()
     name = F.col("fp")[0] if rule.words == 1 else F.xxhash64("fp")
@@ -169,6 +188,7 @@ def links(fps: DataFrame, rule: Rule = STRICT, tile: int = TILE) -> DataFrame:
     Each tile is sent to the tiles of the classes that may hold a link and come
     after its own.
     """
+    small_batches(fps.sparkSession)
     grain = max(1, (rule.radius + 1) // 4)
     ranked = fps.select("node", "fp", *_halves(rule.words, grain))
     sizes = stored(ranked.groupBy("hi", "lo").count().select(
