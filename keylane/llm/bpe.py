@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import documents, text_or_empty
+from keylane.llm.shared import documents, small_batches, text_or_empty
 
 #: Bytes of a piece that are merged without halving, code points of a text that are split at once, tokens decoded at once.
 LEAF_BYTES, LEAF_CHARS, LEAF_TOKENS = 64, 1 << 16, 1 << 16
 #: Pieces of at most LEAF_BYTES remembered by a task.
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -195,6 +195,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
     The vocabulary, of a fixed size, is sent to the executors once.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
     others = [c for c in docs.columns if c != "text"]
 

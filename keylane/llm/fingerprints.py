@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components, spanning
-from keylane.llm.shared import documents
+from keylane.llm.shared import documents, small_batches
 from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks
 from keylane.session import stored
 
@@ -167,6 +167,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     Null is the empty text. Texts are shuffled once, by ranges of ids; nothing
     else of a document leaves its task.
     """
+    small_batches(docs.sparkSession)
     slices = in_slices(docs)
     return slices.repartition("slice").sortWithinPartitions("slice", "borrowed", "k", "h").mapInArrow(_compared, FINGERPRINTED)
 
@@ -221,6 +222,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, r
     and buckets with the same members are compared once. Texts are named by 64
     bits of hash. Null is the empty text; a class without any id has a null id.
     """
+    small_batches(docs.sparkSession)
     named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     sets = stored(named.select("k", "text").mapInArrow(_banded(bands, rows), "k long, bands array<binary>, shingles array<long>")
                   .dropDuplicates(["k"]), "shingles")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import documents
+from keylane.llm.shared import documents, small_batches
 from keylane.llm.texts import Texts, blocks, mix
 
 ORDER = 5
@@ -193,6 +193,7 @@ def train(labelled: DataFrame, most_chars: int = MOST_CHARS, seed: int = 8) -> M
     documents only, is trained and calibrated on all of them.
     """
     spark = labelled.sparkSession
+    small_batches(spark)
     table = letter_table()
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.char_length("text")).alias("n")).collect()}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from keylane.llm.shared import aside, documents, text_or_empty
+from keylane.llm.shared import aside, documents, small_batches, text_or_empty
 from keylane.session import stored
 
 LEAST_CHARS = 40
@@ -63,6 +63,7 @@ def drop_common_lines(docs: DataFrame, keep: list[str], least_chars: int = LEAST
     smaller than all others. Rows that repeat an id are one document; a row is
     told from others of its id by its text.
     """
+    small_batches(docs.sparkSession)
     drops = _common_lines(docs, least_chars, least_documents).select(
         F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "drops")
     held, names = aside(docs)

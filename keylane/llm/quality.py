@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keylane.llm.shared import aside, documents
+from keylane.llm.shared import aside, documents, small_batches
 from keylane.llm.texts import Texts, Words, blocks, mix
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, dup_line_chars long, "
@@ -110,6 +110,7 @@ def _measured(column: str, names: list[str]):
 
 def repetition(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and the counts of each text. Null and empty texts count nothing."""
+    small_batches(docs.sparkSession)
     chosen = docs.select(*dict.fromkeys([*keep, text]))
     held = [f for f in chosen.schema.fields if f.name in keep]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in held], MEASURES])

@@ -27,6 +27,12 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python in batches of a few megabytes, for this session: texts may be long, and workers share an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def word_count(column: str = "text") -> Column:
     return F.regexp_count(text_or_empty(column), F.lit(WORD)).cast("long")
 
