@@ -21,7 +21,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,16 +42,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def packed(tokens: list[int]) -> bytes:
+    """Tokens as little-endian unsigned 32-bit integers."""
+    return np.array(tokens, "<u4").tobytes()
+
+
 class Pieces(dict):
-    """Pieces of text and their tokens: a cache that encodes what it lacks."""
+    """Pieces of text and their packed tokens: a cache that encodes what it lacks."""
 
     def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF_BYTES) -> None:
         super().__init__()
         self.ranks, self.leaf = ranks, leaf
         self.tokens = {rank: token for token, rank in ranks.items()}
 
-    def __missing__(self, piece: str) -> list[int]:
-        found = self.encode(piece.encode())
+    def __missing__(self, piece: str) -> bytes:
+        found = packed(self.encode(piece.encode()))
         if len(piece) <= LEAF_BYTES:
             if len(self) >= _REMEMBERED:
                 self.clear()
@@ -126,13 +130,13 @@ class Pieces(dict):
 
 
 class Units(dict):
-    """Tokens of what stands between two blanks, the first of them included: a cache like Pieces."""
+    """Packed tokens of what stands between two blanks, the first of them included: a cache like Pieces."""
 
     def __init__(self, encode) -> None:
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, unit: str) -> list[int]:
+    def __missing__(self, unit: str) -> bytes:
         found = self.encode(" " + unit)
         if len(unit) <= LEAF_BYTES:
             if len(self) >= _REMEMBERED:
@@ -173,15 +177,18 @@ class Codec:
                 return left[:begin] + self.split("".join(left[begin:] + right[:end])) + right[end:]
             wide *= 2
 
-    def _by_pieces(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.parts(text))))
+    def _by_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.parts(text)))
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_packed(self, text: str) -> bytes:
         """Where every blank comes after a non-blank character, it separates pieces, and units between them are encoded alone."""
         if self.unclear(text):
-            return np.array(self._by_pieces(text), np.uint32)
+            return self._by_pieces(text)
         first, *units = text.split(" ")
-        return np.fromiter(chain(self._by_pieces(first), chain.from_iterable(map(self.units.__getitem__, units))), np.uint32)
+        return self._by_pieces(first) + b"".join(map(self.units.__getitem__, units))
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_packed(text), "<u4")
 
     def decode(self, tokens: list[int]) -> bytes:
         if len(tokens) <= LEAF_TOKENS:
@@ -204,7 +211,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         for batch in batches:
             for part in _small(batch):
                 texts = part.column(len(others)).to_pylist()
-                ids = pa.array([codec.encode(t).astype("<u4").tobytes() for t in texts], pa.binary())
+                ids = pa.array([codec.encode_packed(t) for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(others)], ids], [*others, "ids"])
 
     chosen = docs.select(*[F.col(f"`{c}`") for c in others], text_or_empty().alias("text"))
