@@ -3,13 +3,13 @@
 A text's words are cut into overlapping windows of six words, one beginning at
 every word; a window holds two shingles of five words. A window's MinHash under
 each of ``BANDS`` permutations is one band. The values of all bands of all
-windows of a license template are its keys. Two windows of a text hold each
-shingle of a template, and each is like a window of the template by a half at
-least; so one band misses it with probability 1/2, and the twelve of both
-windows with less than 1/4000. A passage of several shingles is missed more
-rarely still. Templates so retrieved are verified by the exact share of their
-shingles that the text holds. All of it happens in the row of the text, so
-nothing is shuffled whatever the skew.
+windows of a license template, and of each of its shingles alone, are its keys.
+Permutations come in pairs of opposite order: of the two shingles of a window
+one is the least under the first of a pair and the other under the second, so
+each shingle of a text is among its keys and a text that holds any shingle of a
+template always meets it. Templates so retrieved are verified by the exact
+share of their shingles that the text holds. All of it happens in the row of
+the text, so nothing is shuffled whatever the skew.
 """
 
 from __future__ import annotations
@@ -79,8 +79,10 @@ def shingle_hashes(words: Column) -> Column:
 
 
 def _salt(k: int) -> int:
-    value = (0x9E3779B97F4A7C15 * (k + 1)) % 2**64
-    return value - 2**64 if value >= 2**63 else value
+    """Salts of a pair differ in every bit, so they order any two values oppositely."""
+    value = (0x9E3779B97F4A7C15 * (k // 2 + 1)) % 2**64
+    value = value - 2**64 if value >= 2**63 else value
+    return ~value if k % 2 else value
 
 
 def window_keys(hashes: Column) -> Column:
@@ -124,7 +126,7 @@ def prepared(spark: SparkSession, templates: dict[str, str]) -> list[Template]:
 
 
 def _single_keys(words: Column) -> Column:
-    """Band values of windows that hold one shingle of the template only: its first, its last, and any beside changed words."""
+    """Band values of each shingle alone: one of a pair is met by every window that holds it, whatever stands beside it."""
     return F.flatten(F.transform(shingle_hashes(words), lambda h: _bands(h, h)))
 
 

@@ -251,6 +251,26 @@ def test_licenses_inside_texts(spark):
     assert (903, "MIT", 1.0) in got
 
 
+def test_license_of_one_shingle_is_met_whatever_stands_beside_it(spark):
+    notice, rows = "Released under the MIT License.", {}
+    for i in range(400):
+        rows[3 * i] = f"{notice} n{i} and more"
+        rows[3 * i + 1] = f"some words a{i} {notice} n{i} and more"
+        rows[3 * i + 2] = f"some words a{i} {notice}"
+    frame = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r["doc_id"] for r in licenses.scan(frame, {"MIT": notice}).collect()}
+    assert got == set(rows)
+
+
+def test_each_shingle_of_a_window_is_the_least_under_one_permutation_of_a_pair():
+    rng = np.random.default_rng(4)
+    salts = [licenses._salt(k) for k in range(licenses.BANDS)]
+    assert licenses.BANDS % 2 == 0 and len(set(salts)) == licenses.BANDS
+    for a, b in rng.integers(-2**63, 2**63, (500, 2)).tolist():
+        for s, t in zip(salts[::2], salts[1::2], strict=True):
+            assert {min(a ^ s, b ^ s) ^ s, min(a ^ t, b ^ t) ^ t} == {a, b}
+
+
 def test_license_odd_rows(odd, empty, wide, spark):
     assert licenses.scan(odd).count() == 0
     assert licenses.scan(empty).count() == 0
