@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from keylane.llm.components import components, spanning
 from keylane.llm.shared import documents, small_batches
-from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks
+from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks, mix
 from keylane.session import stored
 
 PERMUTATIONS = 256
@@ -31,6 +31,8 @@ _B = np.random.default_rng(3).integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _AT_ONCE = 1 << 14
 #: Shingles of a tile pair counted at once.
 _COLUMNS = 1 << 14
+#: Shingles of a tile, unless one text has more.
+TILE_SHINGLES = 1 << 17
 
 
 def shingle_hashes(texts: Texts, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -53,14 +55,17 @@ def shingle_hashes(texts: Texts, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
 
 def signatures(texts: Texts, n: int = SHINGLE) -> np.ndarray:
     """A row of PERMUTATIONS 16-bit values for each text."""
-    hashes, first = shingle_hashes(texts, n)
-    out = np.full((texts.count, PERMUTATIONS), np.iinfo(np.uint64).max, np.uint64)
+    return _least(*shingle_hashes(texts, n), PERMUTATIONS)
+
+
+def _least(hashes: np.ndarray, first: np.ndarray, permutations: int) -> np.ndarray:
+    out = np.full((len(first), permutations), np.iinfo(np.uint64).max, np.uint64)
     for low in range(0, len(hashes), _AT_ONCE):
         part = hashes[low: low + _AT_ONCE]
         begin = int(np.searchsorted(first, low, side="right")) - 1
         stop = int(np.searchsorted(first, low + len(part), side="left"))
         cuts = np.maximum(first[begin:stop] - low, 0)
-        for k in range(PERMUTATIONS):
+        for k in range(permutations):
             least = np.minimum.reduceat(part * _A[k] + _B[k], cuts)
             np.minimum(out[begin:stop, k], least, out=out[begin:stop, k])
     return (out >> np.uint64(48)).astype(np.uint16)
@@ -173,19 +178,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _banded(bands: int, rows: int):
+    """Each text's number of shingles and a hash of each band of its signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
-                texts = Texts(part.column(1))
-                cut = np.ascontiguousarray(signatures(texts)[:, : bands * rows]).view(np.uint8).reshape(texts.count, bands, -1)
-                hashes, first = shingle_hashes(texts)
-                sets = [np.unique(x).view(np.int64) for x in np.split(hashes, first[1:])]
+                hashes, first = shingle_hashes(Texts(part.column(1)))
+                cut = _least(hashes, first, bands * rows).astype(np.uint64).reshape(-1, bands, rows)
+                value = np.zeros(cut.shape[:2], np.uint64)
+                for r in range(rows):
+                    value = mix(value * _A[0] + cut[:, :, r])
+                offsets = np.arange(len(first) + 1, dtype=np.int32) * bands
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([[b.tobytes() for b in row] for row in cut], pa.list_(pa.binary())),
-                     pa.array(sets, pa.list_(pa.int64()))], ["k", "bands", "shingles"])
+                    [part.column(0), pa.array(np.diff(np.append(first, len(hashes)))),
+                     pa.ListArray.from_arrays(offsets, value.view(np.int64).reshape(-1))], ["k", "size", "bands"])
     return run
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in blocks(batch, "text"):
+            hashes, first = shingle_hashes(Texts(part.column(1)))
+            sets = [np.unique(x).view(np.int64) for x in np.split(hashes, first[1:])]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["k", "shingles"])
+
+
 def _verified(similarity: float):
     """Edges that connect all rows of a tile pair whose exact Jaccard similarity reaches the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,30 +227,49 @@ def _verified(similarity: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256) -> DataFrame:
-    """Rows (doc_id, class_id): the least doc_id of all documents reachable over pairs alike by ``similarity`` or more.
+def alike(texts: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256,
+          shingles: int = TILE_SHINGLES) -> DataFrame:
+    """Edges (a, b) that connect the names of all texts (k, text) alike by ``similarity`` or more. Equal texts have one name.
 
     Signature bands of ``rows`` positions are joined: texts that share one meet in
     a bucket, which two texts alike by 0.8 miss with a probability below 10^-7. All texts of a
     bucket are compared by the exact Jaccard similarity of their shingles, in
-    tiles, so a large bucket has many tasks; a pair of tiles returns the edges
-    that connect its rows, not all pairs. Equal texts are one text throughout,
-    and buckets with the same members are compared once. Texts are named by 64
-    bits of hash. Null is the empty text; a class without any id has a null id.
+    tiles of at most about ``tile`` texts and ``shingles`` shingles, or one longer
+    text, so a large bucket has many tasks; a pair of tiles returns the edges
+    that connect its rows, not all pairs. Buckets with the same members are
+    compared once. Only texts that share a bucket have their shingles sent.
+    """
+    small_batches(texts.sparkSession)
+    banded = stored(texts.mapInArrow(_banded(bands, rows), "k long, size long, bands array<long>").dropDuplicates(["k"]), "bands")
+    held = banded.select("k", "size", F.posexplode("bands").alias("band", "value")).select(
+        F.xxhash64("band", "value").alias("bucket"), "k", "size")
+    buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"),
+                                         F.bit_xor(F.xxhash64("k")).alias("members")).filter("n > 1")
+    chosen = buckets.groupBy("n", "size", "members").agg(F.min("bucket").alias("bucket")).select("bucket", F.greatest(
+        F.ceil(F.col("n") / tile), F.ceil(F.col("size") / shingles)).cast("int").alias("parts"))
+    placed = stored(held.join(chosen, "bucket").select("bucket", "parts", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int").alias("part"), "k"),
+                    "buckets")
+    wanted = stored(placed.select("k").distinct(), "members")
+    sets = stored(texts.join(wanted, "k", "left_semi").mapInArrow(_sets, "k long, shingles array<long>").dropDuplicates(["k"]), "shingles")
+
+    def tiles(of: DataFrame) -> DataFrame:
+        return of.join(sets, "k").groupBy("bucket", "parts", "part").agg(F.collect_list(F.struct("k", "shingles")).alias("texts"))
+
+    whole = tiles(placed.filter("parts = 1")).select(F.col("texts").alias("left"), F.col("texts").alias("right"))
+    cut = stored(tiles(placed.filter("parts > 1")), "tiles")
+    left = cut.select("bucket", F.col("texts").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meet = left.join(cut.select("bucket", "part", F.col("texts").alias("right")), ["bucket", "part"]).select("left", "right").repartition(tasks)
+    return stored(whole.unionByName(meet).mapInArrow(_verified(similarity), "a long, b long").distinct(), "links")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256) -> DataFrame:
+    """Rows (doc_id, class_id): the least doc_id of all documents reachable over pairs :func:`alike` by ``similarity`` or more.
+
+    Texts are named by 64 bits of hash. Null is the empty text; a class without any id has a null id.
     """
-    small_batches(docs.sparkSession)
     named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    sets = stored(named.select("k", "text").mapInArrow(_banded(bands, rows), "k long, bands array<binary>, shingles array<long>")
-                  .dropDuplicates(["k"]), "shingles")
-    held = sets.select("k", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "k")
-    buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(20,0)")).alias("members")).filter("n > 1")
-    chosen = buckets.groupBy("n", "members").agg(F.min("bucket").alias("bucket")).select(
-        "bucket", F.ceil(F.col("n") / tile).cast("int").alias("parts"))
-    tiles = stored(held.join(chosen, "bucket").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int")).join(sets.select("k", "shingles"), "k")
-                   .groupBy("bucket", "parts", "part").agg(F.collect_list(F.struct("k", "shingles")).alias("texts")), "buckets")
-    left = tiles.select("bucket", F.col("texts").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
-    meet = left.join(tiles.select("bucket", "part", F.col("texts").alias("right")), ["bucket", "part"]).select("left", "right")
-    edges = stored(meet.mapInArrow(_verified(similarity), "a long, b long").distinct(), "links")
+    edges = alike(named.select("k", "text"), similarity, bands, rows, tile)
     least = named.groupBy("k").agg(F.min("doc_id").alias("least"))
     rooted = least.join(components(edges).select(F.col("node").alias("k"), "root"), "k", "left").select(
         "k", "least", F.coalesce("root", "k").alias("root"))

@@ -8,10 +8,11 @@ pair returns a spanning forest of its links, not the links, so a thousand near
 copies give a thousand edges. Components of the forest are found by joins.
 
 A fingerprint has one 64-bit word or several. One word and three bits is the
-strict rule of :func:`op5_simhash_near_dedup`. For texts alike by 0.8 or more
-in their shingles of five words, 64 bits are too few to tell them from chance:
-:data:`ALIKE` takes 256 bits, of which such texts differ in 39 on average and
-unlike texts in 128.
+strict rule of :func:`op5_simhash_near_dedup`. No number of bits decides whether
+texts are alike by 0.8 in their shingles of five words: of the 256 bits of
+:data:`ALIKE` such texts differ in 39 on average, but some in more than 50, and
+texts alike by 0.6 in 59. :func:`one_of_each` therefore takes its links from
+MinHash bands and exact Jaccard similarities.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components, merge
+from keylane.llm.fingerprints import alike
 from keylane.llm.shared import aside, documents, row_key, small_batches
 from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
@@ -239,18 +242,31 @@ def near_duplicates(prints: DataFrame, rule: Rule = STRICT) -> DataFrame:
     row = F.struct("doc_id", "text_key")
     distinct = stored(prints.groupBy("node").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least"),
                                                  F.first("fp").alias("fp")), "fingerprints")
-    roots = components(links(distinct, rule)).select("node", "root")
-    rooted = distinct.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    first = rooted.groupBy("root").agg(F.min_by("least", F.struct(F.col("least.doc_id").isNull(), "least")).alias("first"))
+    rooted, first = _firsts(distinct, links(distinct, rule))
     named = rooted.select("node", "root").join(first, "root").select("node", "first")
     return prints.join(named, "node").withColumn("component_id", F.col("first.doc_id"))
 
 
-def one_of_each(docs: DataFrame, rule: Rule = ALIKE) -> DataFrame:
-    """The documents without near copies: of each component the row with the least id, once if rows repeat."""
-    prints = stored(fingerprinted(docs, rule), "simhash")
-    near = near_duplicates(prints, rule)
-    kept = near.select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key")).distinct()
+def _firsts(distinct: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes (node, least) with the root of their component, and the least (doc_id, text_key) of each root's component."""
+    roots = components(edges).select("node", "root")
+    rooted = distinct.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    return rooted, rooted.groupBy("root").agg(F.min_by("least", F.struct(F.col("least.doc_id").isNull(), "least")).alias("first"))
+
+
+def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """The documents without near copies: of each component the row with the least id, once if rows repeat.
+
+    Links are pairs whose sets of five-word shingles, A-Z lowered, have a Jaccard
+    similarity of ``similarity`` or more, verified exactly. Texts without words
+    are alike to each other only.
+    """
+    lowered = F.translate(F.coalesce("text", F.lit("")), ascii_uppercase, ascii_lowercase)
+    texts = docs.select(*row_key(), F.xxhash64(lowered).alias("node"), lowered.alias("lowered"))
+    row = F.struct("doc_id", "text_key")
+    distinct = stored(texts.groupBy("node").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least")), "texts")
+    _, first = _firsts(distinct, alike(texts.select(F.col("node").alias("k"), F.col("lowered").alias("text")), similarity))
+    kept = first.select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
     held, names = aside(docs)
     rows = held.withColumn("text_key", F.xxhash64(names["text"]))
     joined = rows.join(kept, F.col(names["doc_id"]).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))

@@ -239,6 +239,48 @@ def test_alike_texts_are_linked_and_others_are_not(spark):
     assert sorted(r["doc_id"] for r in kept) == list(range(0, 40, 2))
 
 
+def exactly_alike(rows):
+    """Ids that stay of (id, text): the least of each component of pairs alike by 0.8, A-Z lowered."""
+    rows = sorted(rows)
+    sets = [shingles((t or "").translate(LOWER)) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and jaccard(sets[i], sets[j]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return [rows[i][0] for i in sorted(set(root))]
+
+
+def test_one_of_each_decides_by_exact_similarity(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for _ in range(12):
+        own = [f"t{x}" for x in rng.integers(0, 10**6, 200)]
+        for low in (0, 1, 20, 21, 22, 23, 24, 30, 40, 60):  # alike by 192/200 ... 0.5
+            rows.append((len(rows), " ".join([f"u{x}" for x in rng.integers(0, 10**6, low)] + own[low:])))
+    for i in range(40):  # 4 of 5 shingles shared, and 3 of 5; words of one bit more or less weigh much here
+        own = [f"s{i}_{x}" for x in range(9)]
+        rows += [(1000 + 3 * i, " ".join(own)), (1001 + 3 * i, " ".join(own[:8]).upper()), (1002 + 3 * i, " ".join([f"z{i}", f"y{i}"] + own[2:]))]
+    rows += [(2000, ""), (2001, " \n"), (2002, None), (2003, "a b c d e f"), (2004, "a b c d e g"), (2005, "x"), (2006, "X ")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in kept) == exactly_alike(rows)
+
+
+def test_one_of_each_of_documents(spark, docs, texts):
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == exactly_alike(texts.items())
+
+
+def test_tiles_bounded_by_shingles_lose_no_link(spark):
+    rng = np.random.default_rng(12)
+    own = [f"t{x}" for x in rng.integers(0, 10**6, 400)]
+    rows = [(i, " ".join([f"u{i}_{x}" for x in range(i % 40)] + own[i % 40:])) for i in range(120)]
+    frame = spark.createDataFrame(rows, "k long, text string")
+    for most in (300, 4_000, fingerprints.TILE_SHINGLES):
+        found = {r["node"] for r in components(fingerprints.alike(frame, shingles=most)).filter("root = 0").collect()}
+        assert found == set(range(120))
+
+
 def test_one_of_each_odd_rows(odd, empty, wide):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
