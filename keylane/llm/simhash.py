@@ -39,17 +39,20 @@ from keylane.session import stored
 
 @dataclass(frozen=True)
 class Rule:
-    """Words of a shingle, 64-bit words of a fingerprint, most bits in which linked ones differ, in all and in the first word."""
+    """Words of a shingle, 64-bit words of a fingerprint, most bits in which linked ones differ."""
 
     shingle: int = 3
     words: int = 1
     radius: int = 3
-    first: int = 3
+
+    @property
+    def first(self) -> int:
+        """Most bits in which linked ones differ in the first word: it may hold all of them."""
+        return self.radius
 
 
 STRICT = Rule()
-#: Of 50 differing bits the first word has 12 or 13, and more than 22 once in 3,000 times; of unlike texts one in 100 has so few.
-ALIKE = Rule(shingle=5, words=4, radius=50, first=22)
+ALIKE = Rule(shingle=5, words=4, radius=50)
 #: Fingerprints of a tile.
 TILE = 4_096
 #: Rows of a tile compared with the whole other tile at once.
@@ -142,24 +145,29 @@ def fingerprinted(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
 def _forest(a: np.ndarray, b: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Edges (i, root) over the rows of a followed by those of b that connect all rows that links connect.
 
-    Every pair is compared in its first words; the other words are looked at
-    where those are near enough.
+    Every pair is compared word by word; one within the radius has a word with
+    no more than its share of the radius, so all words are counted together
+    where some word is as near as that.
     """
     label = np.arange(len(a) + len(b))
-    one, two = np.ascontiguousarray(a[:, 0]), np.ascontiguousarray(b[:, 0])
+    words = a.shape[1]
+    one, two = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
     # a strip and its copies stay in a core's cache
-    bits, ones, close = (np.empty((_STRIP, len(b)), kind) for kind in (np.uint64, np.uint8, bool))
+    bits, ones, close, also = (np.empty((_STRIP, len(b)), kind) for kind in (np.uint64, np.uint8, bool, bool))
     for low in range(0, len(a), _STRIP):
         rows = min(_STRIP, len(a) - low)
-        np.bitwise_xor(one[low: low + rows, None], two[None, :], out=bits[:rows])
-        np.bitwise_count(bits[:rows], out=ones[:rows])
-        np.less_equal(ones[:rows], rule.first, out=close[:rows])
+        for w in range(words):
+            np.bitwise_xor(one[w, low: low + rows, None], two[w, None, :], out=bits[:rows])
+            np.bitwise_count(bits[:rows], out=ones[:rows])
+            np.less_equal(ones[:rows], rule.radius // words, out=(also if w else close)[:rows])
+            if w:
+                np.logical_or(close[:rows], also[:rows], out=close[:rows])
         u, v = np.divmod(np.flatnonzero(close[:rows]), len(b))
         u, v = u + low, v + len(a)
         apart = label[u] != label[v]
         u, v = u[apart], v[apart]
-        if a.shape[1] > 1:
-            far = sum(np.bitwise_count(a[u, w] ^ b[v - len(a), w]).astype(np.int64) for w in range(a.shape[1])) > rule.radius
+        if words > 1:
+            far = sum(np.bitwise_count(a[u, w] ^ b[v - len(a), w]).astype(np.int64) for w in range(words)) > rule.radius
             u, v = u[~far], v[~far]
         label = merge(label, u, v)
     moved = np.flatnonzero(label != np.arange(len(label)))

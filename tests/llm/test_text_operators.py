@@ -227,6 +227,19 @@ def test_simhash_tiles_lose_no_link(spark):
         assert [found.get(v, v) for v in values] == [values[r] for r in expected]
 
 
+def test_wide_fingerprints_lose_no_link_wherever_their_bits_differ():
+    rng = np.random.default_rng(6)
+    for bits in (23, 50, 51):
+        for places in (np.arange(64), np.arange(64, 256), np.arange(256)):
+            a = rng.integers(0, 2**63, (40, 4), dtype=np.uint64)
+            b = a.copy()
+            for row in b:
+                for at in rng.choice(places, bits, replace=False).tolist():
+                    row[at // 64] ^= np.uint64(1 << at % 64)
+            moved, root = simhash._forest(a, b, simhash.ALIKE)
+            assert (moved.tolist(), root.tolist()) == ((list(range(40, 80)), list(range(40))) if bits <= 50 else ([], []))
+
+
 def test_alike_texts_are_linked_and_others_are_not(spark):
     rng = np.random.default_rng(7)
     rows, base_words = [], [[f"t{x}" for x in rng.integers(0, 900, 300)] for _ in range(20)]
