@@ -46,7 +46,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 BASE_KINDS = ("assign", "access", "hex")
-LEDGER = "blob binary, rules array<string>, found array<struct<start:long,kind:string,end:long>>"
+LEDGER = "blob binary, rules array<string>, found array<struct<start:long,kind:string,end:long,rule:string>>"
 
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
@@ -54,7 +54,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
 
     Findings are rows (doc_id, blob, found), one a document; ``found`` is sorted
     by start and then by the order of the rules. ``ledger`` is what an earlier
-    run returned; rows of other rule versions stay in it but are not reported.
+    run returned; findings of other rule versions stay in it but are not reported.
     Null is the empty text.
     """
     paths = stored(docs.select("doc_id", _blob().alias("blob")), "paths")
@@ -70,7 +70,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
         unseen, ["blob", "path"]).dropDuplicates(["blob", "path"])
     hits = _hits(texts, rules)
     new = stored(unseen.select("blob", "rules").join(hits, "blob", "left").select(
-        "blob", "rules", F.coalesce("found", F.array().cast("array<struct<start:long,kind:string,end:long>>")).alias("found")), "ledger")
+        "blob", "rules", F.coalesce("found", F.array().cast("array<struct<start:long,kind:string,end:long,rule:string>>")).alias("found")), "ledger")
     every = new if ledger is None else ledger.unionByName(new)
     return _by_path(paths, every, rules), every
 
@@ -95,14 +95,14 @@ def _hits(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         measured = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
         parts = F.transform(F.arrays_zip(gaps.alias("g"), matches.alias("m"), measured.alias("v")), lambda x: F.struct(
             F.char_length(x["g"]).alias("gap"), F.char_length(x["m"]).alias("long"), (F.char_length(x["v"]) >= rule.least).alias("good")))
-        kinds.append(F.struct(F.lit(rule.kind).alias("kind"), F.when(wanted, parts).alias("parts")))
-    each = likely.select("blob", F.explode(F.array(*kinds)).alias("k")).select("blob", "k.kind", F.posexplode("k.parts").alias("i", "p"))
-    line = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+        kinds.append(F.struct(F.lit(rule.kind).alias("kind"), F.lit(rule.name).alias("rule"), F.when(wanted, parts).alias("parts")))
+    each = likely.select("blob", F.explode(F.array(*kinds)).alias("k")).select("blob", "k.kind", "k.rule", F.posexplode("k.parts").alias("i", "p"))
+    line = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.col("p.gap") + F.coalesce("p.long", F.lit(0))).over(line), F.lit(0))
-    spans = each.select("blob", "kind", "p.good", (before + F.col("p.gap")).alias("start"), F.col("p.long").alias("long")).filter(
+    spans = each.select("blob", "kind", "rule", "p.good", (before + F.col("p.gap")).alias("start"), F.col("p.long").alias("long")).filter(
         F.col("long").isNotNull() & F.col("good"))  # the last gap has no match after it
     return spans.groupBy("blob").agg(F.collect_list(F.struct(
-        F.col("start").cast("long").alias("start"), "kind", (F.col("start") + F.col("long")).cast("long").alias("end"))).alias("found"))
+        F.col("start").cast("long").alias("start"), "kind", (F.col("start") + F.col("long")).cast("long").alias("end"), "rule")).alias("found"))
 
 
 def _by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -110,7 +110,7 @@ def _by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> Da
     now = F.array(*[F.lit(r.name) for r in rules])
     current = ledger.filter(F.arrays_overlap("rules", now))
     per_blob = current.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found")).select("blob", F.transform(
-        F.array_sort(F.transform("found", lambda x: F.struct(x["start"].alias("start"), F.array_position(order, x["kind"]).alias("rank"),
+        F.array_sort(F.transform(F.filter("found", lambda x: F.array_contains(now, x["rule"])), lambda x: F.struct(x["start"].alias("start"), F.array_position(order, x["kind"]).alias("rank"),
                                                              x["kind"].alias("kind"), x["end"].alias("end")))),
         lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).alias("found"))
     return paths.join(per_blob, "blob").select("doc_id", "blob", "found")

@@ -216,6 +216,18 @@ def test_ledger_scans_only_what_is_new(spark):
     assert {r["doc_id"]: len(r["found"]) for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
+def test_ledger_reports_only_current_rule_versions(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefghijklmno 0123456789abcdef"), (2, "clean")], "doc_id long, text string")
+    _, ledger = secret_scans.scan(docs)
+    bumped = tuple(secret_scans.Rule("hex", "[0-9a-f]{16,32}", version=2) if r.kind == "hex" else r for r in secret_scans.RULES)
+    found, newest = secret_scans.scan(docs, ledger, bumped)
+    assert {r["doc_id"]: [f["kind"] for f in r["found"]] for r in found.collect()} == {1: ["assign", "hex"], 2: []}
+    assert [r["rules"] for r in newest.exceptAll(ledger).collect()] == [["hex@2"]] * 2
+    removed = tuple(r for r in secret_scans.RULES if r.kind != "hex")
+    found, _ = secret_scans.scan(docs, newest, removed)
+    assert {r["doc_id"]: [f["kind"] for f in r["found"]] for r in found.collect()} == {1: ["assign"], 2: []}
+
+
 def test_secret_odd_rows(odd, empty, wide):
     assert secret_scans.scan(odd)[0].count() == len(ODD)
     assert secret_scans.scan(wide)[0].count() == len(ODD)
