@@ -63,13 +63,16 @@ def fair_order(
     """The next ``k`` messages to run per class, ranked by virtual time less boost.
 
     Only the oldest waiting message of a key may run. Each class is a top-k, so
-    the ranking is over ``k`` rows and no class is sorted in one task.
+    the ranking is over ``k`` rows and no class is sorted in one task. A head
+    of any other class, or of none, fails the job: it would never run.
     """
     options = options or PipelineOptions()
     k = options.max_concurrency if k is None else k
     rest = [c for c in queue.columns if c != "key"]
     heads = queue.groupBy("key").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_head"))
     heads = heads.select("key", *[F.col(f"_head.{c}").alias(c) for c in rest])
+    unknown = F.raise_error(F.concat(F.lit("unknown demand: "), F.coalesce(F.col("demand").cast("string"), F.lit("null"))))
+    heads = heads.withColumn("demand", F.when(F.col("demand").isin(*CLASSES), F.col("demand")).otherwise(unknown.cast("string")))
     ranked = (
         boosted(heads, now_us, options, order[0])
         .join(used_time(history), ["demand", "key"], "left")

@@ -64,6 +64,14 @@ def test_virtual_time_and_shares(spark):
     assert got == {"normal": (0.6, False), "failure": (0.4, True)}
 
 
+@pytest.mark.parametrize("demand", ["urgent", None])
+def test_fair_order_fails_on_a_class_it_does_not_rank(spark, demand):
+    queue = spark.createDataFrame([("a", "normal", 1, 1), ("b", demand, 2, 2)], "key string, demand string, ts_us long, event_id long")
+    history = spark.createDataFrame([("a", "normal", 5)], "key string, demand string, dur_ms long")
+    with pytest.raises(Exception, match="unknown demand"):
+        L.fair_order(queue, history, 60_000_000).collect()
+
+
 def test_fair_order_takes_heads_and_boosts_waiting_keys(spark):
     queue = spark.createDataFrame(
         [("normal", "busy", 0, 1), ("normal", "busy", 5, 2), ("normal", "idle", 50_000_000, 3), ("failure", "sick", 0, 4)],
