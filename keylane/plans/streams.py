@@ -24,7 +24,7 @@ BATCHES = 6
 
 
 def as_stream(df, name, order="ts_us"):
-    """Write a table to the shared folder as files in the order of a column, and stream them, a file a micro-batch."""
+    """Write a table to the shared folder as files in the order of a column, nulls first, and stream them, a file a micro-batch."""
     spark = df.sparkSession
     folder = run_folder(spark, name)
     stored = f"{folder}/input"
@@ -33,8 +33,9 @@ def as_stream(df, name, order="ts_us"):
     low = None
     # written one after the other: the source takes files by age
     for high in [*cuts, None]:
-        part = df if low is None else df.filter(F.col(order) > low)
-        (part if high is None else part.filter(F.col(order) <= high)).coalesce(1).write.mode("append").parquet(stored)
+        above = F.lit(True) if low is None else F.col(order) > low
+        part = df.filter(above if high is None else above & ((F.col(order) <= high) | F.col(order).isNull()))
+        part.coalesce(1).write.mode("append").parquet(stored)
         low = high
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(stored), folder
 

@@ -271,3 +271,11 @@ def test_sliding_throughput_stream(spark, tmp_path, events):
     query.awaitTermination(120)
     expected = throughput(rows, "1 hour", "30 minutes")
     assert sorted(map(tuple, spark.table("counted").collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_a_stream_of_a_table_keeps_rows_without_an_order(spark):
+    from keylane.plans.streams import as_stream
+
+    rows = spark.range(60).selectExpr("id", "if(id % 10 = 0, null, id) as ts_us")
+    _, folder = as_stream(rows, "nulls")
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/input").collect()) == list(range(60))
