@@ -64,6 +64,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Remove folders that :func:`run_folder` named and that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_state_store(spark: SparkSession) -> None:
     """Stateful processors need the state store that spills to disk."""
     setting = "spark.sql.streaming.stateStore.providerClass"
