@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keylane.llm import licenses, line_dedup, quality, secret_scans
+from keylane.llm import filter_audit, licenses, line_dedup, quality, secret_scans, vector_codes
 from keylane.llm.shared import WORD
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -106,4 +106,6 @@ SQL = {
     "op4_quality_rules": quality_sql(),
     "op6_license_scan": license_sql(),
     "op7_secret_scan": secret_sql(),
+    "op12_filter_audit": filter_audit.SQL,
+    "op13_vector_codes": vector_codes.sql(),
 }

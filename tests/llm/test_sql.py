@@ -10,7 +10,8 @@ from keylane.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_matches_sql(name, folder, spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for table in ("documents", "labels", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     result = con.execute(SQL[name])
     columns = [d[0] for d in result.description]
     got = QUERIES[name](spark, folder)
