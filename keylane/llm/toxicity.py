@@ -441,8 +441,8 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, most: int = MOS
     is taken: the classifier's bound. Labels without an id or without a value are
     left out; repeated ones count once, toxic if any says so. Of labelled near copies with one label mostly one
     is counted. A word is a mark if toxic documents hold it more often than chance
-    would let any of all words (twice the log likelihood ratio is above 2 ln words, which
-    lets less than a tenth of a word through); its weight is the share of toxic documents among those with it, pulled
+    would let any of all words (twice the log likelihood ratio is above 2 ln words + 4, as
+    documents that share passages are no independent draws); its weight is the share of toxic documents among those with it, pulled
     towards one half by one document. Then beginnings of the words that are no
     marks become marks alike, from the longest to the shortest. Texts without
     marks score the rate of toxic labels, half the threshold at most.
@@ -478,7 +478,7 @@ def _with_marks(model: ToxicityModel, sample: DataFrame, column: int, rate: floa
     shared = sample.sparkSession.sparkContext.broadcast(model)
     candidates = stored(sample.mapInArrow(_candidates(shared, column), "mark long, n long, toxic long").groupBy("mark").agg(
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "candidates")
-    least = 2 * math.log(max(candidates.count(), 1))
+    least = 2 * math.log(max(candidates.count(), 1)) + 4
     rows = candidates.filter(F.col("toxic") > F.col("n") * rate).withColumn("surprise", _surprise(F.col("n"), F.col("toxic"), rate)).filter(
         F.col("surprise") > least).orderBy(F.desc("surprise"), "mark").limit(MOST_MARKS).toPandas()
     marks = np.concatenate((model.marks, rows["mark"].to_numpy(np.int64).view(np.uint64)))
