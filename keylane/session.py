@@ -59,9 +59,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     For rows that cost more to compute than to read and are read several times.
     It also cuts lineage, and outlives a lost executor.
     """
+    return stored_at(df, label)[0]
+
+
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The same, with the folder, which :func:`discard` removes once nothing reads the table any more."""
     folder = run_folder(df.sparkSession, label)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
 def discard(spark: SparkSession, *folders: str) -> None:
@@ -71,6 +76,16 @@ def discard(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def last_committed(spark: SparkSession, checkpoint: str) -> int | None:
+    """Number of the last micro-batch that a stream's checkpoint has as done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    numbers = [int(f.getPath().getName()) for f in files.listStatus(path) if f.getPath().getName().isdigit()]
+    return max(numbers, default=None)
+
+
 def ensure_state_store(spark: SparkSession) -> None:
     """Stateful processors need the state store that spills to disk."""
     setting = "spark.sql.streaming.stateStore.providerClass"
