@@ -10,6 +10,7 @@ later run with a new rule, or with new documents, scans only what is new.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,6 +30,11 @@ class Rule:
     least: int = 1
     version: int = 1
 
+    def __post_init__(self) -> None:
+        """Java walks a repeated group by recursion: a long enough text would end the executor. A repeated character class is a loop."""
+        if re.search(r"\)[*+{]", re.sub(r"\\.", "", self.pattern)):
+            raise ValueError(f"a rule may not repeat a group: {self.pattern}")
+
     @property
     def name(self) -> str:
         return f"{self.kind}@{self.version}"
@@ -41,7 +47,7 @@ RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,64}PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
@@ -113,7 +119,10 @@ def _by_path(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> Da
         F.array_sort(F.transform(F.filter("found", lambda x: F.array_contains(now, x["rule"])), lambda x: F.struct(x["start"].alias("start"), F.array_position(order, x["kind"]).alias("rank"),
                                                              x["kind"].alias("kind"), x["end"].alias("end")))),
         lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).alias("found"))
-    return paths.join(per_blob, "blob").select("doc_id", "blob", "found")
+    # only blobs with findings are joined, from a table: it is broadcast if small, else a hot blob's paths are split
+    held = stored(per_blob.filter(F.size("found") > 0), "findings")
+    nothing = F.array().cast(held.schema["found"].dataType)
+    return paths.join(held, "blob", "left").select("doc_id", "blob", F.coalesce("found", nothing).alias("found"))
 
 
 def spans_text(found: Column, kinds: tuple[str, ...] | None = None) -> Column:

@@ -386,3 +386,35 @@ def test_bpe_odd_rows(odd, empty, wide, vocabulary):
     assert sorted(bytes(r["bytes"]).decode() for r in rows) == sorted((t or "") for _, t, *_ in ODD)
     assert bpe.digests(empty, ranks, pattern).count() == 0
     assert bpe.digests(wide, ranks, pattern).count() == len(ODD)
+
+
+LONG = {
+    "assign": ["password" + " " * 1_000_000 + "= x", "password = " + "a" * 1_000_000, "secret" * 200_000],
+    "access": ["AKIA" * 300_000, "AKIA" + "A" * 1_000_000],
+    "hex": ["0f" * 500_000, "0f0 " * 300_000],
+    "pem": ["-----BEGIN " + "A " * 500_000, "-----BEGIN " * 100_000 + "PRIVATE KEY-----"],
+    "jwt": ["eyJ" + "a" * 1_000_000, "eyJaaaaaaaaa." * 100_000, "eyJaaaaaaaaa.eyJaaaaaaaaa." + "a" * 1_000_000],
+    "github": ["ghp_" + "a" * 1_000_000, "ghp_" * 250_000],
+}
+
+
+def test_every_rule_reads_long_texts(spark):
+    assert set(LONG) == {r.kind for r in secret_scans.RULES}
+    texts = [t for kind in LONG.values() for t in kind]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [(f["kind"], f["start"], f["end"]) for f in r["found"]] for r in secret_scans.scan(frame)[0].collect()}
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        expected = []
+        for rank, rule in enumerate(secret_scans.RULES):
+            for m in re.finditer(rule.pattern.replace("(?i:", "(?i:"), text):
+                if len(m.group(rule.group)) >= rule.least:
+                    expected.append((m.start(), rank, rule.kind, m.end()))
+        assert found[i] == [(kind, a, b) for a, _, kind, b in sorted(expected)]
+
+
+def test_rules_may_not_repeat_a_group():
+    for pattern in ("(?:[A-Z]+ )*x", "(ab)+", "(a|b){2,}"):
+        with pytest.raises(ValueError):
+            secret_scans.Rule("bad", pattern)
+    secret_scans.Rule("good", r"\(x\)*(a|b)?[)]")
