@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keylane.session import stored
+from keylane.session import discard, stored_at
 
 
 def merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -36,10 +36,12 @@ def components(edges: DataFrame) -> DataFrame:
     changes. A node's neighbours are never gathered: the least one is a map-side
     minimum, and edges meet it in a join. Each round is a written table.
     """
-    now = stored(_ordered(edges), "edges")
+    now, folder = stored_at(_ordered(edges), "edges")
     mark = _mark(now)
     while True:
-        now = stored(_small_star(_large_star(now)), "edges")
+        before = folder
+        now, folder = stored_at(_small_star(_large_star(now)), "edges")
+        discard(edges.sparkSession, before)
         then, mark = mark, _mark(now)
         if mark == then:
             break

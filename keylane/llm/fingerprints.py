@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components, spanning
 from keylane.llm.shared import documents, small_batches
 from keylane.llm.texts import BLOCK_BYTES, Texts, Words, blocks, mix
-from keylane.session import stored
+from keylane.session import discard, stored, stored_at
 
 PERMUTATIONS = 256
 SHINGLE = 5
@@ -182,15 +182,15 @@ def _banded(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
-                hashes, first = shingle_hashes(Texts(part.column(1)))
+                hashes, first = shingle_hashes(Texts(part.column(2)))
                 cut = _least(hashes, first, bands * rows).astype(np.uint64).reshape(-1, bands, rows)
                 value = np.zeros(cut.shape[:2], np.uint64)
                 for r in range(rows):
                     value = mix(value * _A[0] + cut[:, :, r])
                 offsets = np.arange(len(first) + 1, dtype=np.int32) * bands
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(np.append(first, len(hashes)))),
-                     pa.ListArray.from_arrays(offsets, value.view(np.int64).reshape(-1))], ["k", "size", "bands"])
+                    [part.column(0), part.column(1), pa.array(np.diff(np.append(first, len(hashes)))),
+                     pa.ListArray.from_arrays(offsets, value.view(np.int64).reshape(-1))], ["k", "row", "size", "bands"])
     return run
 
 
@@ -199,7 +199,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batch, "text"):
             hashes, first = shingle_hashes(Texts(part.column(1)))
             sets = [np.unique(x).view(np.int64) for x in np.split(hashes, first[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["k", "shingles"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64())), part.column(2)],
+                                             ["k", "shingles", "places"])
 
 
 def _verified(similarity: float):
@@ -227,54 +228,91 @@ def _verified(similarity: float):
     return run
 
 
+PLACES = "array<struct<group:long,parts:int,part:int>>"
+
+
 def alike(texts: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256,
           shingles: int = TILE_SHINGLES) -> DataFrame:
-    """Edges (a, b) that connect the names of all texts (k, text) alike by ``similarity`` or more. Equal texts have one name.
-
-    Signature bands of ``rows`` positions are joined: texts that share one meet in
-    a bucket, which two texts alike by 0.8 miss with a probability below 10^-7. All texts of a
-    bucket are compared by the exact Jaccard similarity of their shingles, in
-    tiles of at most about ``tile`` texts and ``shingles`` shingles, or one longer
-    text, so a large bucket has many tasks; a pair of tiles returns the edges
-    that connect its rows, not all pairs. Buckets with the same members are
-    compared once. Only texts that share a bucket have their shingles sent.
+    """Edges (a, b) that connect the names of all texts (k, row, text) alike by ``similarity`` or more.
+
+    Equal texts have one name; ``row`` tells the rows of a name apart. Signature
+    bands of ``rows`` positions are joined on names alone: texts that share one
+    meet in a bucket, which two texts alike by 0.8 miss with a probability below
+    10^-7. Texts that buckets connect are a cluster. All texts of a cluster are
+    compared by the exact Jaccard similarity of their shingles, in tiles of at
+    most about ``tile`` texts and ``shingles`` shingles, or one longer text, so
+    that a text's shingles are sent once for each tile of its cluster, and not for each
+    bucket. Where a cluster is so large that its buckets need fewer shingles
+    sent, its buckets are compared in its place, those with the same members
+    once; no pair of a bucket is left out either way. A pair of tiles returns
+    the edges that connect its rows, not all pairs.
     """
-    small_batches(texts.sparkSession)
-    banded = stored(texts.mapInArrow(_banded(bands, rows), "k long, size long, bands array<long>").dropDuplicates(["k"]), "bands")
+    spark = texts.sparkSession
+    small_batches(spark)
+    texts = texts.select("k", "row", "text")
+    banded, f1 = stored_at(texts.mapInArrow(_banded(bands, rows), "k long, row long, size long, bands array<long>").groupBy("k").agg(
+        F.min("row").alias("row"), F.first("size").alias("size"), F.first("bands").alias("bands")), "bands")
     held = banded.select("k", "size", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "k", "size")
-    buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"),
-                                         F.bit_xor(F.xxhash64("k")).alias("members")).filter("n > 1")
-    chosen = buckets.groupBy("n", "size", "members").agg(F.min("bucket").alias("bucket")).select("bucket", F.greatest(
-        F.ceil(F.col("n") / tile), F.ceil(F.col("size") / shingles)).cast("int").alias("parts"))
-    placed = stored(held.join(chosen, "bucket").select("bucket", "parts", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int").alias("part"), "k"),
-                    "buckets")
-    wanted = stored(placed.select("k").distinct(), "members")
-    sets = stored(texts.join(wanted, "k", "left_semi").mapInArrow(_sets, "k long, shingles array<long>").dropDuplicates(["k"]), "shingles")
-
-    def tiles(of: DataFrame) -> DataFrame:
-        return of.join(sets, "k").groupBy("bucket", "parts", "part").agg(F.collect_list(F.struct("k", "shingles")).alias("texts"))
-
-    whole = tiles(placed.filter("parts = 1")).select(F.col("texts").alias("left"), F.col("texts").alias("right"))
-    cut = stored(tiles(placed.filter("parts > 1")), "tiles")
-    left = cut.select("bucket", F.col("texts").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    meet = left.join(cut.select("bucket", "part", F.col("texts").alias("right")), ["bucket", "part"]).select("left", "right").repartition(tasks)
-    return stored(whole.unionByName(meet).mapInArrow(_verified(similarity), "a long, b long").distinct(), "links")
+
+    def cut(n: str, size: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / tile), F.ceil(F.col(size) / shingles)).cast("int")
+
+    buckets, f2 = stored_at(held.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"), F.bit_xor(F.xxhash64("k")).alias("members"),
+        F.min("k").alias("leader")).filter("n > 1"), "buckets")
+    met, f3 = stored_at(held.join(buckets.select("bucket", "leader"), "bucket"), "met")
+    roots, f4 = stored_at(components(met.filter("k <> leader").select(F.col("k").alias("a"), F.col("leader").alias("b"))).select(
+        F.col("node").alias("k"), "root"), "roots")
+    clusters = roots.join(banded.select("k", "size"), "k").groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("size")).select(
+        "root", cut("n", "size").alias("parts"), (F.col("size") * cut("n", "size")).alias("sent"))
+    chosen = buckets.groupBy("n", "size", "members").agg(F.min("bucket").alias("bucket"), F.min("leader").alias("k")).join(roots, "k").select(
+        "bucket", "root", cut("n", "size").alias("parts"), (F.col("size") * cut("n", "size")).alias("sent"))
+    ways, f5 = stored_at(clusters.join(chosen.groupBy("root").agg(F.sum("sent").alias("by_bucket")), "root").select(
+        "root", "parts", (F.col("sent") <= F.col("by_bucket")).alias("whole")), "ways")
+    whole = roots.join(ways.filter("whole"), "root").select("k", F.xxhash64(F.lit("cluster"), "root").alias("group"), "parts")
+    split = chosen.join(ways.filter("not whole").select("root"), "root", "left_semi").select("bucket", "parts")
+    apart = met.join(split, "bucket").select("k", F.col("bucket").alias("group"), "parts")
+    placed, f6 = stored_at(whole.unionByName(apart).withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int")).groupBy("k").agg(
+        F.collect_list(F.struct("group", "parts", "part")).alias("places")).join(banded.select("k", "row"), "k"), "places")
+    # one row of each name, found by its key with the name, so that the copies of a text are not gathered
+    sets = texts.join(placed, ["k", "row"]).dropDuplicates(["k", "row"]).select("k", "text", "places").mapInArrow(
+        _sets, f"k long, shingles array<long>, places {PLACES}")
+    tiles, f7 = stored_at(sets.select(F.explode("places").alias("p"), F.struct("k", "shingles").alias("one")).groupBy(
+        "p.group", "p.parts", "p.part").agg(F.collect_list("one").alias("texts")), "tiles")
+
+    alone = tiles.filter("parts = 1").select(F.col("texts").alias("left"), F.col("texts").alias("right"))
+    many = tiles.filter("parts > 1")
+    left = many.select("group", "parts", F.col("texts").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    meet = left.join(many.select("group", "parts", "part", F.col("texts").alias("right")), ["group", "parts", "part"]).select(
+        "left", "right").repartition(tasks)
+    links = stored(alone.unionByName(meet).mapInArrow(_verified(similarity), "a long, b long").distinct(), "links")
+    discard(spark, f1, f2, f3, f4, f5, f6, f7)
+    return links
+
+
+def named(texts: DataFrame) -> DataFrame:
+    """The rows with a name ``k`` for each distinct ``text``: 64 bits of hash, and others where a second hash tells two texts of one name apart."""
+    both = texts.withColumn("k", F.xxhash64("text")).withColumn("second", F.xxhash64(F.lit("text"), "text"))
+    # of n texts some n^2 / 2^65 share a name: ten of 2 x 10^10
+    shared = both.groupBy("k").agg(F.min("second").alias("least"), F.max("second").alias("most")).filter("least <> most").select("k", F.lit(True).alias("shared"))
+    return both.join(F.broadcast(shared), "k", "left").withColumn(
+        "k", F.when(F.col("shared"), F.xxhash64("second", F.lit("apart"))).otherwise(F.col("k"))).drop("second", "shared")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256) -> DataFrame:
     """Rows (doc_id, class_id): the least doc_id of all documents reachable over pairs :func:`alike` by ``similarity`` or more.
 
-    Texts are named by 64 bits of hash. Null is the empty text; a class without any id has a null id.
+    Null is the empty text; a class without any id has a null id.
     """
-    named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    edges = alike(named.select("k", "text"), similarity, bands, rows, tile)
-    least = named.groupBy("k").agg(F.min("doc_id").alias("least"))
+    texts = named(docs.select("doc_id", F.xxhash64("doc_id").alias("row"), F.coalesce("text", F.lit("")).alias("text")))
+    edges = alike(texts.select("k", "row", "text"), similarity, bands, rows, tile)
+    least = texts.groupBy("k").agg(F.min("doc_id").alias("least"))
     rooted = least.join(components(edges).select(F.col("node").alias("k"), "root"), "k", "left").select(
         "k", "least", F.coalesce("root", "k").alias("root"))
     classes = rooted.select("k", "root").join(rooted.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("k", "class_id")
-    return named.select("doc_id", "k").join(classes, "k").select("doc_id", "class_id")
+    return texts.select("doc_id", "k").join(classes, "k").select("doc_id", "class_id")
 
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

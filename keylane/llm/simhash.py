@@ -24,13 +24,12 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keylane.llm.components import components, merge
-from keylane.llm.fingerprints import alike
+from keylane.llm.fingerprints import alike, named
 from keylane.llm.shared import aside, documents, row_key, small_batches
 from keylane.llm.texts import Texts, Words, blocks, mix
 from keylane.session import stored
@@ -270,10 +269,10 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     are alike to each other only.
     """
     lowered = F.translate(F.coalesce("text", F.lit("")), ascii_uppercase, ascii_lowercase)
-    texts = docs.select(*row_key(), F.xxhash64(lowered).alias("node"), lowered.alias("lowered"))
+    texts = named(docs.select(*row_key(), lowered.alias("text")))
     row = F.struct("doc_id", "text_key")
-    distinct = stored(texts.groupBy("node").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least")), "texts")
-    _, first = _firsts(distinct, alike(texts.select(F.col("node").alias("k"), F.col("lowered").alias("text")), similarity))
+    distinct = stored(texts.groupBy(F.col("k").alias("node")).agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least")), "texts")
+    _, first = _firsts(distinct, alike(texts.select("k", F.xxhash64("doc_id").alias("row"), "text"), similarity))
     kept = first.select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
     held, names = aside(docs)
     rows = held.withColumn("text_key", F.xxhash64(names["text"]))

@@ -10,10 +10,10 @@ import tiktoken
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from keylane.llm import bpe, quality, simhash
+from keylane.llm import bpe, quality
 from keylane.llm.texts import Texts
-from tests.llm.conftest import LOWER, words
-from tests.llm.test_text_operators import base, dedup_lines, linked
+from tests.llm.conftest import words
+from tests.llm.test_text_operators import base, dedup_lines, exactly_alike
 
 
 @pytest.fixture(scope="module")
@@ -54,18 +54,9 @@ def test_line_dedup_takes_effect(stages):
 
 
 def test_one_document_of_each_group_stays(stages):
+    """Of each group that pairs alike by 0.8 connect, in exact five-word shingles, the least id."""
     _, before, after, _ = stages[2]
-    before = sorted(before, key=lambda r: r["doc_id"])
-    prints = simhash.fingerprints_of(Texts(pa.array([r["text"] for r in before])), simhash.ALIKE)
-    wide = [int.from_bytes(p.tobytes(), "little") for p in prints]
-    roots = linked(wide, simhash.ALIKE.radius, lambda x: (x % 2**64).bit_count() <= simhash.ALIKE.first)
-    assert sorted(r["doc_id"] for r in after) == sorted(before[i]["doc_id"] for i in set(roots))
-    # every pair alike by 0.8 is in one group
-    sets = [{tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4))} for r in before for w in [words((r["text"] or "").translate(LOWER))]]
-    for i in range(len(sets)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                assert roots[i] == roots[j]
+    assert sorted(r["doc_id"] for r in after) == exactly_alike((r["doc_id"], r["text"]) for r in before)
 
 
 def test_the_mix_takes_parts_of_documents(stages):

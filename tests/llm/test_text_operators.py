@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from keylane.llm import fingerprints, line_dedup, quality, simhash
 from keylane.llm.components import components
 from keylane.llm.texts import Texts, Words, blocks
+from keylane.session import stored
 from tests.llm.conftest import LOWER, ODD, words
 
 ANY_TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab \n\t\x0b#é汉  .", max_size=60)), max_size=6)
@@ -288,12 +289,49 @@ def test_tiles_bounded_by_shingles_lose_no_link(spark):
     rng = np.random.default_rng(12)
     own = [f"t{x}" for x in rng.integers(0, 10**6, 400)]
     rows = [(i, " ".join([f"u{i}_{x}" for x in range(i % 40)] + own[i % 40:])) for i in range(120)]
-    frame = spark.createDataFrame(rows, "k long, text string")
+    frame = spark.createDataFrame(rows, "k long, text string").withColumn("row", F.col("k"))
     for most in (300, 4_000, fingerprints.TILE_SHINGLES):
         found = {r["node"] for r in components(fingerprints.alike(frame, shingles=most)).filter("root = 0").collect()}
         assert found == set(range(120))
 
 
+def test_clusters_and_buckets_lose_no_link(spark):
+    """Groups whose texts are alike in pairs only, and passages that connect groups: whole clusters and single buckets give the same classes."""
+    rng = np.random.default_rng(13)
+    rows, passage = [], [f"p{x}" for x in range(60)]
+    for g in range(30):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 90)]
+        for step in (0, 4, 8, 12, 40, 60):
+            rows.append((len(rows), " ".join([f"n{x}" for x in rng.integers(0, 10**6, step)] + own[step:] + passage[: 2 * g])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (2, 7, 256):
+        kept = {r["class_id"] for r in fingerprints.near_duplicates(frame, tile=tile).collect()}
+        assert sorted(kept) == exactly_alike(rows)
+
+
+def test_names_of_texts_that_share_a_hash(spark, monkeypatch):
+    frame = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "text string")
+    whole = F.xxhash64
+
+    def poor(*columns):  # the first hash has one bit
+        return F.pmod(whole(*columns), F.lit(2)) if isinstance(columns[0], str) else whole(*columns)
+
+    monkeypatch.setattr(fingerprints.F, "xxhash64", poor)
+    rows = fingerprints.named(frame).collect()
+    names = {r["text"]: r["k"] for r in rows}
+    assert len(rows) == 4 and len(set(names.values())) == 3
+
+
+def test_simhash_odd_rows(spark, odd, empty, wide):
+    """Null and empty texts, repeated rows and ids, clashing names: what has equal words is linked, and rows stay rows."""
+    for frame in (odd, wide):
+        rows = simhash.near_duplicates(stored(simhash.fingerprinted(frame), "odd")).collect()
+        assert len(rows) == len(ODD)
+        assert {r["component_id"] for r in rows if r["doc_id"] in (1, -7) and r["component_id"] is not None} >= {-7}
+        assert {r["component_id"] for r in rows if r["doc_id"] in (2, 3, 4)} == {2}
+    assert simhash.near_duplicates(stored(simhash.fingerprinted(empty), "odd")).count() == 0
+
+
 def test_one_of_each_odd_rows(odd, empty, wide):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
