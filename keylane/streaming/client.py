@@ -17,6 +17,7 @@ from keylane.operators.health import is_stalled
 from keylane.options import PipelineOptions
 from keylane.sources.messages import read_messages, to_records, with_reserved_fields, write_messages, write_stream
 from keylane.sources.sinks import dead_letters, failure_records, result_telemetry, telemetry_records
+from keylane.streaming.gate import FailureGate
 from keylane.streaming.processor import process_stream
 
 
@@ -69,10 +70,14 @@ class EventClient:
             filter_allowed_events(incoming, self.options.allowed_events), self.options.group_id
         ).withColumn("payload", F.to_json("payload"))
         results = process_stream(wanted, handler, self.options, event_time=event_time)
+        gate = None
+        if self.options.mode == "pipeline" and self.options.defer_enabled:
+            gate = FailureGate(f"{checkpoint}/gate", self.options)
+            gate.resume(self.spark, checkpoint)
         writer = (
             results.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(route_batch(sink, self.options))
+            .foreachBatch(route_batch(sink, self.options, gate))
         )
         if bounded:
             writer = writer.trigger(availableNow=True)
@@ -128,8 +133,8 @@ def count_partitions(offsets: Any) -> int:
     return sum(len(partitions) for partitions in offsets.values() if isinstance(partitions, dict))
 
 
-def route_batch(sink: str, options: PipelineOptions):
-    """A ``foreachBatch`` function: outcomes, failure records, telemetry, dead letters.
+def route_batch(sink: str, options: PipelineOptions, gate: FailureGate | None = None):
+    """A ``foreachBatch`` function: outcomes, failure records, telemetry, dead letters, and the gate of the next batch.
 
     Each batch overwrites folders named by its id, so repeating it is harmless.
     """
@@ -157,6 +162,8 @@ def route_batch(sink: str, options: PipelineOptions):
                     F.try_parse_json("payload"),
                 )
                 emit(letters, "dead_letters", batch_id)
+            if gate is not None:
+                gate.update(batch, batch_id)
         finally:
             batch.unpersist()
 

@@ -187,13 +187,15 @@ class Failing(EventHandler):
 
 
 @pytest.mark.parametrize("mode, expected", [
-    ("low_latency", {0: ("permanent", 1, "dead_letter"), 1: ("transient", 4, "dead_letter")}),
-    ("best_effort", {0: ("permanent", 1, "skip"), 1: ("transient", 1, "skip")}),
+    ("low_latency", {(0, 1): ("permanent", "dead_letter"), (1, 1): ("transient", "retry"), (1, 2): ("transient", "retry"),
+                     (1, 3): ("transient", "dead_letter")}),
+    ("best_effort", {(0, 1): ("permanent", "skip"), (1, 1): ("transient", "skip")}),
 ])
 def test_modes(spark, tmp_path, mode, expected):
-    rows = [(0, "a", 1000, '{"bad": true}'), (1, "b", 1000, '{"bad": false}')]
+    rows = [(0, "a", 1000, '{"bad": true}'), (1, "b", 1000, '{"bad": false}'), (2, "c", 1100, '{"bad": true}')]
     results = processed(spark, tmp_path, rows, Failing, PipelineOptions(mode=mode, watermark_delay=0))
-    assert {r["off"]: (r["outcome"], r["attempt"], r["route"]) for r in results.collect()} == expected
+    got = {(r["off"], r["attempt"]): (r["outcome"], r["route"]) for r in results.filter("off < 2").collect()}
+    assert got == expected
 
 
 def test_delays():
