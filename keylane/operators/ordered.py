@@ -16,17 +16,23 @@ a null key are one group in any number of slices.
 
 Slices are bounded whatever the skew. Over a unique number (an offset) they
 have a fixed width, so at most that many rows. Over a time they are cut at
-quantiles of the rows, so that a burst gets many narrow slices.
+quantiles of the rows, so that a burst gets many narrow slices. An instant that
+many rows share is a slice of its own, cut further along the number that breaks
+ties; where all rows of an instant get one value (peers), instants are reduced
+to a row each before the window. A table with more rows than the first cuts can
+bound is cut a second time inside each of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "_slice"
 GROUP = "_group"
@@ -43,30 +49,69 @@ class Running(NamedTuple):
 
 
 class Slices(NamedTuple):
-    """Inner bounds between slices of an order; none means a single slice."""
+    """Inner bounds between slices of an order; none means a single slice.
+
+    ``hot`` are instants that are a slice each. ``fine`` are bounds inside a
+    slice, of the tie-breaking number in a hot one and of the order elsewhere.
+    """
 
     bounds: tuple[float, ...]
+    hot: tuple[float, ...] = ()
+    fine: dict[int, list[float]] | None = None
 
-    def add(self, df: DataFrame, column: str) -> DataFrame:
+    def add(self, df: DataFrame, column: str, tie: str | None = None) -> DataFrame:
         if not self.bounds:
             return df.withColumn(SLICE, F.lit(0))
         splits = [-float("inf"), *self.bounds, float("inf")]
         cut = Bucketizer(splits=splits, inputCol=column, outputCol="_cut", handleInvalid="keep").transform(df)
-        return cut.withColumn(SLICE, F.col("_cut").cast("int")).drop("_cut")
-
-
-def even_slices(df: DataFrame, column: str, rows: int | None = None) -> Slices:
+        cut = cut.withColumn(SLICE, F.col("_cut").cast("int")).drop("_cut")
+        if not self.fine:
+            return cut
+        # at most a bound for each slice of rows that the table has
+        rows = [(at, at in self.hot_slices(), bounds) for at, bounds in self.fine.items()]
+        inside = df.sparkSession.createDataFrame(rows, f"{SLICE} int, _hot boolean, _bounds array<double>")
+        value = F.col(column).cast("double")
+        if tie is not None:
+            value = F.when(F.col("_hot"), F.col(tie).cast("double")).otherwise(value)
+        passed = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_value"))), F.lit(0))
+        most = 1 + max(len(b) for b in self.fine.values())
+        return cut.join(F.broadcast(inside), SLICE, "left").withColumn("_value", value).withColumn(
+            SLICE, F.col(SLICE).cast("bigint") * most + F.when(F.col("_value").isNull(), 0).otherwise(F.greatest(passed, F.lit(0)))
+        ).select(*df.columns, SLICE)
+
+    def hot_slices(self) -> set[int]:
+        """Numbers of the slices of hot instants."""
+        return {i + 1 for i, b in enumerate(self.bounds) if b in set(self.hot)}
+
+
+def even_slices(df: DataFrame, column: str, rows: int | None = None, tie: str | None = None) -> Slices:
     """Slices of about ``rows`` rows each, over all groups together.
 
     Counts first; a table that fits one slice needs no quantiles. At most
-    ``MAX_SLICES`` bounds come to the driver.
+    ``MAX_SLICES`` bounds are planned at once; a slice that holds more than twice
+    the rows after that, as an instant with many rows does, is cut inside,
+    for which an instant needs the number ``tie``.
     """
-    values = df.select(F.col(column).cast("double").alias("v"))
-    count = min(-(-values.count() // (rows or SLICE_ROWS)), MAX_SLICES)
+    rows = rows or SLICE_ROWS
+    values = df.select(F.col(column).cast("double").alias("v"), F.lit(None).cast("double").alias("t") if tie is None else F.col(tie).cast("double").alias("t"))
+    total = values.count()
+    count = min(-(-total // rows), MAX_SLICES)
     if count <= 1:
         return Slices(())
     shares = [i / count for i in range(1, count)]
-    return Slices(tuple(sorted(set(values.approxQuantile("v", shares, 0.25 / count)))))
+    found = sorted(values.approxQuantile("v", shares, 0.25 / count))
+    hot = tuple(sorted({a for a, b in zip(found, found[1:]) if a == b}))
+    slices = Slices(tuple(sorted({*found, *(math.nextafter(v, math.inf) for v in hot)})), hot)
+    if total <= count * rows and (tie is None or not hot):
+        return slices
+    placed = slices.add(values, "v").withColumn("t", F.when(F.col(SLICE).isin(*slices.hot_slices()), F.col("t")).otherwise(F.col("v")))
+    sizes = {r[SLICE]: r["n"] for r in placed.groupBy(SLICE).agg(F.count("t").alias("n")).filter(F.col("n") > 2 * rows).collect()}
+    if not sizes:
+        return slices
+    parts = min(-(-max(sizes.values()) // rows), MAX_SLICES)
+    bounds = F.percentile_approx("t", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))
+    fine = placed.filter(F.col(SLICE).isin(*sizes)).groupBy(SLICE).agg(bounds.alias("bounds")).collect()
+    return slices._replace(fine={r[SLICE]: sorted(set(r["bounds"])) for r in fine if r["bounds"]})
 
 
 def by_number(column: str, rows: int | None = None) -> Column:
@@ -94,9 +139,12 @@ def running(
     """
     by = list(by)
     sort = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
+    tie = order[1] if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType) else None
     if slice_by is None:
-        slice_by = even_slices(df, order[0])
-    sliced = slice_by.add(df, order[0]) if isinstance(slice_by, Slices) else df.withColumn(SLICE, slice_by)
+        slice_by = even_slices(df, order[0], tie=tie)
+    if peers and isinstance(slice_by, Slices) and (slice_by.hot or slice_by.fine):
+        return _by_instant(df, by, order, slice_by, aggregates, reverse)
+    sliced = slice_by.add(df, order[0], tie) if isinstance(slice_by, Slices) else df.withColumn(SLICE, slice_by)
 
     if by:
         sliced = sliced.withColumn(GROUP, F.struct(*by))
@@ -136,6 +184,21 @@ def running(
     )
 
 
+def _by_instant(df: DataFrame, by: list[str], order: Sequence[str], slices: Slices, aggregates: dict[str, Running],
+                reverse: bool) -> DataFrame:
+    """Running aggregates that give all rows of an instant one value: over a row an instant, joined back to the rows."""
+    if any(a.kind == "last" for a in aggregates.values()):
+        raise ValueError("rows of one instant have no last one")
+    (at,) = order
+    parts = df.groupBy(*by, at).agg(*[_total(a, F.struct(at), reverse).alias(f"_part_{n}") for n, a in aggregates.items()])
+    whole = running(parts, by, order, slices, {n: Running(a.kind, F.col(f"_part_{n}")) for n, a in aggregates.items()},
+                    inclusive=True, reverse=reverse)
+    # structs equal each other with the same nulls; one row an instant on this side, so a hot instant's rows may be split
+    place = F.struct(*by, at)
+    held = whole.select(place.alias("_place"), *aggregates)
+    return df.withColumn("_here", place).join(held, F.col("_here") == F.col("_place"), "left").select(*df.columns, *aggregates)
+
+
 def row_position(
     df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column | Slices | None, name: str
 ) -> DataFrame:

@@ -23,7 +23,7 @@ def surviving(ops: DataFrame, slices: Slices | None = None) -> DataFrame:
     that comes at or after it. Both look-aheads are running minima over the
     following rows, so there is no range join and no hot key.
     """
-    slices = even_slices(ops, "ts_us") if slices is None else slices
+    slices = even_slices(ops, "ts_us", tie="seq") if slices is None else slices
     cleared = running(
         ops, ["key"], ["ts_us", "seq"], slices,
         {"next_clear_us": Running("min", F.when(F.col("op").isin(*CLEARING), F.col("ts_us")))},
@@ -78,7 +78,7 @@ def operation_effects(ops: DataFrame, slices: Slices | None = None) -> DataFrame
     and the last clear before; what a clear takes, from the next clear after
     each added instant. All are running values of the key or of the instant.
     """
-    slices = even_slices(ops, "ts_us") if slices is None else slices
+    slices = even_slices(ops, "ts_us", tie="seq") if slices is None else slices
     order, clears = ["ts_us", "seq"], F.when(F.col("op").isin(*CLEARING), F.col("seq"))
     before = running(ops, ["key"], order, slices, {"_last_clear": Running("max", clears)})
     around = running(before, ["key"], order, slices, {

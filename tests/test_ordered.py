@@ -119,3 +119,55 @@ def test_rows_with_a_null_key_are_one_group_in_any_number_of_slices(spark):
         found.append(sorted((r["t"], r["n"]) for r in placed.collect()))
     assert found[0] == found[1]
     assert max(n for _, n in found[0]) == 20
+
+
+def crowded(n=400, seed=7):
+    """Three quarters of the rows at one instant, a few more at another."""
+    rng = random.Random(seed)
+    return [(i, rng.choice(["hot", "hot", "k1", None]), 500 if i % 4 else (700 if i % 8 else rng.randrange(1000)),
+             rng.choice([None, rng.randrange(-9, 9)])) for i in range(n)]
+
+
+def test_an_instant_with_most_rows_is_cut_by_ties(spark):
+    frame = spark.createDataFrame(crowded(), "id int, key string, t bigint, v int")
+    slices = even_slices(frame, "t", rows=20, tie="id")
+    assert 500.0 in slices.hot and slices.fine
+    sizes = [r["count"] for r in slices.add(frame, "t", "id").groupBy("_slice").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == 400
+    order = slices.add(frame, "t", "id").orderBy("t", "id").select("_slice").collect()
+    assert [r[0] for r in order] == sorted(r[0] for r in order)
+
+
+def test_slices_beyond_the_first_cuts(spark, monkeypatch):
+    monkeypatch.setattr("keylane.operators.ordered.MAX_SLICES", 5)
+    frame = spark.range(400).selectExpr("id", "id * id as t")
+    slices = even_slices(frame, "t", rows=20)
+    sizes = [r["count"] for r in slices.add(frame, "t").groupBy("_slice").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == 400
+
+
+@pytest.mark.parametrize("most", [5, 10_000])
+def test_running_with_a_crowded_instant(spark, monkeypatch, most):
+    monkeypatch.setattr("keylane.operators.ordered.SLICE_ROWS", 20)
+    monkeypatch.setattr("keylane.operators.ordered.MAX_SLICES", most)
+    rows = crowded()
+    frame = spark.createDataFrame(rows, "id int, key string, t bigint, v int")
+    aggregates = {"total": Running("sum", F.col("v")), "high": Running("max", F.col("v"))}
+    got = {r["id"]: (r["total"], r["high"], r["recent"]) for r in running(
+        frame, ["key"], ["t", "id"], None, {**aggregates, "recent": Running("last", F.col("v"))}).collect()}
+    alike = {r["id"]: (r["total"], r["high"]) for r in running(frame, ["key"], ["t"], None, aggregates, peers=True).collect()}
+    for i, key, t, _ in rows:
+        same = sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0]))
+        before = [r[3] for r in same if (r[2], r[0]) < (t, i) and r[3] is not None]
+        until = [r[3] for r in same if r[2] <= t and r[3] is not None]
+        assert got[i] == (sum(before), max(before, default=None), before[-1] if before else None)
+        assert alike[i] == (sum(until), max(until, default=None))
+
+
+def test_sliding_sums_over_a_crowded_instant(spark, monkeypatch):
+    monkeypatch.setattr("keylane.operators.ordered.SLICE_ROWS", 20)
+    rows = crowded()
+    frame = spark.createDataFrame(rows, "id int, key string, t bigint, v int")
+    got = {r["id"]: r["n"] for r in sliding_sum(frame, ["key"], "t", 100, {"n": F.lit(1)}).collect()}
+    for i, key, t, _ in rows:
+        assert got[i] == sum(1 for r in rows if r[1] == key and t - 100 <= r[2] <= t)
