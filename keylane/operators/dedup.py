@@ -90,17 +90,33 @@ def _greedy_fold(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
                 changes[1:] |= pc.fill_null(apart, False).to_numpy(zero_copy_only=False)
             changes[0] = group != tuple(key[0].as_py() for key in keys)
             group = tuple(key[-1].as_py() for key in keys)
-            keep = []
-            for new, time in zip(changes.tolist(), batch[at].to_pylist()):
-                kept = new or time > recorded + ttl_us
-                if kept:
-                    recorded = time
-                keep.append(kept)
+            keep, recorded = _kept(batch[at].to_numpy(), changes, recorded, ttl_us)
             yield batch.filter(pa.array(keep))
 
     return ordered.mapInArrow(walk, df.schema)
 
 
+def _kept(times: np.ndarray, new: np.ndarray, recorded: int, ttl_us: int) -> tuple[np.ndarray, int]:
+    """Which rows of sorted groups stay, and the time of the last that does; ``new`` begins a group.
+
+    A row further than the ttl from the one before it stays whatever came before;
+    a stretch between such rows that is no longer than the ttl has no other. Only in longer ones, and in the
+    stretch that the batch before began, a search finds each next row that stays.
+    """
+    apart = np.flatnonzero(new | np.concatenate(([False], np.diff(times) > ttl_us)))
+    keep = np.zeros(len(times), bool)
+    keep[apart] = True
+    ends = np.append(apart[1:], len(times))
+    stretches = [(a, b, times[a]) for a, b in zip(apart.tolist(), ends.tolist()) if times[b - 1] - times[a] > ttl_us]
+    if not len(apart) or apart[0]:
+        stretches.append((0, int(apart[0]) if len(apart) else len(times), recorded))
+    for low, high, last in stretches:
+        while (low := low + int(np.searchsorted(times[low:high], last + ttl_us, side="right"))) < high:
+            keep[low], last = True, times[low]
+    held = np.flatnonzero(keep)
+    return keep, int(times[held[-1]]) if len(held) else recorded
+
+
 def _greedy_jumps(df: DataFrame, ttl_us: int, by, order, at) -> DataFrame:
     """The hot groups, whose rows no task holds together.
 

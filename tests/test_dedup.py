@@ -132,3 +132,28 @@ def test_a_short_ttl_takes_few_jobs(spark, monkeypatch):
     spark.sparkContext.setJobGroup("", "")
     assert found == greedy(rows, 60)
     assert jobs < 250
+
+
+def test_rows_that_stay_in_batches_of_any_size():
+    import numpy as np
+
+    from keylane.operators.dedup import _kept
+
+    rng = random.Random(4)
+    for _ in range(300):
+        groups = [sorted(rng.randrange(60) for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 5))]
+        times = np.array([t for g in groups for t in g])
+        new = np.array([i == 0 for g in groups for i in range(len(g))])
+        ttl, expected = rng.randrange(12), []
+        for g in groups:
+            last = None
+            for t in g:
+                expected.append(last is None or t > last + ttl)
+                last = t if expected[-1] else last
+        got, recorded, low = [], 0, 0
+        while low < len(times):
+            high = min(len(times), low + rng.randrange(1, 9))
+            keep, recorded = _kept(times[low:high], new[low:high], recorded, ttl)
+            got += keep.tolist()
+            low = high
+        assert got == expected
