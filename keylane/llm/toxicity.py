@@ -57,8 +57,10 @@ MOST_LABELLED = 20_000
 MOST_MARKS = 100_000
 #: Lengths of beginnings of words that may be marks, the longest first, and of what tells whole words apart.
 BEGINNINGS, WHOLE = (6, 5, 4), 16
-#: Score from which a document is predicted to be toxic.
-THRESHOLD = 0.7
+#: Documents by which the share of a mark is pulled towards the rate of all, as marks are chosen for being extreme.
+PULL = 8
+#: Score from which a document is predicted to be toxic, and share from which marks are taken together.
+THRESHOLD, LIKELY = 0.7, 0.5
 #: Entries of a task's memory of restored pieces.
 MEMORY = 100_000
 #: Words hashed at once, and marks added up at once.
@@ -67,7 +69,7 @@ _WORDS, _MARKS = 1 << 16, 1 << 20
 _LETTER, _LOOK, _SEPARATOR, _BLANK, _SIGN = (np.uint8(1 << i) for i in range(5))
 _SIGNED = _LETTER | _LOOK | _SIGN
 _FACTORS = np.random.default_rng(11).integers(1, 2**63, WHOLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_KEYS = np.random.default_rng(12).integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_KEYS = np.random.default_rng(12).integers(1, 2**63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 @cache
@@ -346,7 +348,7 @@ class Judge:
         self.maybe[(model.marks >> np.uint64(48)).astype(np.int64)] = True
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Marks that decide alone are taken together, one a word, as independent chances; without one the greatest share, or the base."""
+        """Marks more likely toxic than not are taken together, one a word, as independent chances; without one the greatest share, or the base."""
         found = [self._marked(*w) for w in meant_words(self.restorer, texts)]
         text, word, share = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, int),) * 3
         order = np.lexsort((word, text))
@@ -354,7 +356,7 @@ class Judge:
         text, share = text[order][fresh], share[order][fresh]
         weak, left = np.full(len(texts), self.model.base), np.ones(len(texts))
         np.maximum.at(weak, text, share)
-        np.multiply.at(left, text[share >= THRESHOLD], 1 - share[share >= THRESHOLD])
+        np.multiply.at(left, text[share >= LIKELY], 1 - share[share >= LIKELY])
         return np.where(left < 1, 1 - left, weak)
 
     def _marked(self, text: np.ndarray, hashes: np.ndarray, has: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -375,7 +377,7 @@ class Judge:
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Eight least hashes of each text's shingles, which near copies mostly share."""
+    """Least hashes of each text's shingles under several permutations: texts that share a twentieth of their shingles mostly share one."""
     for batch in batches:
         for part in blocks(batch, "text"):
             hashes, first = shingle_hashes(Texts(part.column(1)), 3)
@@ -482,7 +484,7 @@ def _with_marks(model: ToxicityModel, sample: DataFrame, column: int, rate: floa
     rows = candidates.filter(F.col("toxic") > F.col("n") * rate).withColumn("surprise", _surprise(F.col("n"), F.col("toxic"), rate)).filter(
         F.col("surprise") > least).orderBy(F.desc("surprise"), "mark").limit(MOST_MARKS).toPandas()
     marks = np.concatenate((model.marks, rows["mark"].to_numpy(np.int64).view(np.uint64)))
-    shares = np.concatenate((model.shares, ((rows["toxic"] + 0.5) / (rows["n"] + 1)).to_numpy(np.float64)))
+    shares = np.concatenate((model.shares, ((rows["toxic"] + PULL * rate) / (rows["n"] + PULL)).to_numpy(np.float64)))
     order = np.argsort(marks)
     return ToxicityModel(model.costs, marks[order], shares[order], model.base)
 

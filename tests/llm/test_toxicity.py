@@ -128,10 +128,10 @@ def learned(words, base=0.1):
 
 
 def test_scores(model):
-    weights = {"idiot": 0.9, "clown": 0.8, "fool": 0.6}
+    weights = {"idiot": 0.9, "clown": 0.8, "fool": 0.45}
     judge = toxicity.Judge(toxicity.ToxicityModel(model, *learned(weights), 0.1))
     texts = ["", "nothing here", "an idiot", "Idiot, idiot IDIOT", "idiot clown", "fool", "fool fool clown", "x" * 100_000, "idiotic"]
-    expected = [0.1, 0.1, 0.9, 0.9, 1 - 0.1 * 0.2, 0.6, 0.8, 0.1, 0.1]
+    expected = [0.1, 0.1, 0.9, 0.9, 1 - 0.1 * 0.2, 0.45, 0.8, 0.1, 0.1]
     assert judge.scores(texts).tolist() == pytest.approx(expected)
     assert judge.scores([]).tolist() == []
 
@@ -166,8 +166,8 @@ def test_held_out_labels(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
     held = [(toxic[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in toxic]
-    # some 290 toxic documents to learn from; 129 of 144 here, all of 718 on a table ten times as large
-    assert sum(p for t, p in held if t) >= 0.85 * sum(t for t, _ in held)
+    # some 300 toxic documents to learn from; all are found on a table five times as large
+    assert sum(p for t, p in held if t) >= 0.9 * sum(t for t, _ in held)
     assert sum(p for t, p in held if not t) <= 0.01 * len(held)
 
 
