@@ -151,26 +151,6 @@ def test_touching_executions_do_not_overlap(spark):
     assert [r["event_id"] for r in K.overlap_violations(df).collect()] == [3]
 
 
-def test_what_waits_longer_than_it_is_kept_is_given_up():
-    from keylane.options import PipelineOptions
-    from keylane.streaming.processor import KeyedProcessor
-
-    class Seen(EventHandler):
-        def __init__(self):
-            self.offsets = []
-
-        def on_message(self, context, message):
-            self.offsets.append(message.offset)
-
-    processor = KeyedProcessor(Seen, PipelineOptions(retention=10), True)
-    processor.handler = Seen()
-    processor.user, processor.queued, processor.appended = set(), [("t", 0, 1, 0, "{}", None), ("t", 0, 2, 5_000_000, "{}", None)], []
-    processor.retry = processor.saved_retry = (1, 5)
-    rows = list(processor._retry("k", 11_000_000))
-    assert [(r["off"], r["outcome"], r["route"]) for r in rows] == [(1, "expired", "skip"), (2, "success", "done")]
-    assert processor.handler.offsets == [2] and processor.queued == [] and processor.retry is None
-
-
 def test_a_replay_fires_timers_in_message_time(spark):
     class Twice(EventHandler):
         def on_message(self, context, message):

@@ -228,6 +228,20 @@ def test_low_latency_retries_are_paced_and_hold_the_key_back():
     assert not key.handle.timers and not key.handle.states["queue"].map
 
 
+def test_what_waits_longer_than_it_is_kept_is_given_up():
+    class Late(EventHandler):
+        """Fails until eight seconds after the start."""
+
+        def on_message(self, context, message):
+            if context.now.timestamp() < 8:
+                raise OSError("no")
+
+    key = Key(Late, retention=10, defer_base=11)
+    key.send((0, "{}"), (5, "{}"))
+    assert [(r["off"], r["outcome"], r["route"]) for r in key.until(12)] == [(0, "expired", "skip"), (1, "success", "done")]
+    assert not key.handle.timers and not key.handle.states["queue"].map
+
+
 @pytest.mark.parametrize("closed, delay_ms", [((), 1000), (("t",), 20), (("other",), 1000)])
 def test_a_closed_gate_shortens_the_pace(monkeypatch, closed, delay_ms):
     monkeypatch.setattr("keylane.streaming.processor.closed_topics", lambda: frozenset(closed))

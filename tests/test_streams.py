@@ -215,12 +215,12 @@ def test_client_lifecycle(spark, tmp_path):
     assert EventClient(spark).consumer_state == "unconfigured"
     client = EventClient(spark, PipelineOptions(
         group_id="shop", subscribed_topics="orders", allowed_events=["user."], mode="low_latency",
-        failure_topic="failed", mock=True))
+        failure_topic="failed", mock=True, watermark_delay=0))
     assert client.consumer_state == "configured"
     rows = [("orders", 0, 0, "k", '{"type":"user.ok","id":"1"}', []), ("orders", 0, 1, "k", '{"type":"user.ok","id":"1"}', []),
             ("orders", 0, 2, "k", '{"type":"admin.ok"}', []), ("orders", 0, 3, "k", '{"type":"user.bad"}', []),
             ("orders", 0, 4, "k", '{"type":"user.ok"}', [("source-system", bytearray(b"shop"))]),
-            ("other", 0, 0, "k", '{"type":"user.ok"}', [])]
+            ("other", 0, 0, "k", '{"type":"user.ok"}', []), ("orders", 0, 5, "later", '{"type":"user.ok"}', [])]
     records = spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string, "
                                           "headers array<struct<key:string,value:binary>>")
     records.withColumn("timestamp", F.timestamp_seconds(F.col("offset") + 1000)).repartition(1).write.parquet(str(tmp_path / "in"))
@@ -231,7 +231,7 @@ def test_client_lifecycle(spark, tmp_path):
     client.unsubscribe()
     assert client.consumer_state == "configured"
     done = {(r["off"], r["route"]) for r in spark.read.parquet(f"{sink}/outcomes").collect()}
-    assert done == {(0, "done"), (3, "dead_letter")}
+    assert done == {(0, "done"), (3, "retry"), (3, "dead_letter"), (5, "done")}
     letter = spark.read.parquet(f"{sink}/dead_letters").first()
     assert (letter["topic"], letter["key"], letter["value"]) == ("failed", "k", '{"type":"user.bad"}')
     told = {json.loads(r["value"])["event_type"] for r in spark.read.parquet(f"{sink}/telemetry").collect()}
