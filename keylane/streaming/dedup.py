@@ -13,56 +13,63 @@ from keylane.session import ensure_state_store
 
 
 def dedup_stream(messages: DataFrame, ttl_s: float = WEEK_S, delay_s: float = 600.0, by: Sequence[str] = KEYS,
-                 order: Sequence[str] = ("ts_us", "part", "off")) -> DataFrame:
+                 order: Sequence[str] = ("ts_us", "part", "off"), *, event_time: bool = True) -> DataFrame:
     """Streaming form of the time-limited dedup, with the same result.
 
     State is held per id, not per key, so the copies of a busy key spread over
-    all tasks. Rows without an id need no state and pass by. Rows later than
-    ``delay_s`` are dropped.
+    all tasks. Rows without an id need no state and pass by. In event time rows
+    later than ``delay_s`` are dropped. Without it no row is dropped for being late: an id
+    is kept in mind for ``ttl_s`` of the wall clock, and a row that comes late
+    is a duplicate if it lies within the ttl of the last one kept, before or after it.
     """
     ensure_state_store(messages.sparkSession)
-    with_id = messages.filter(F.col(by[-1]).isNotNull()).withWatermark("ts", f"{delay_s} seconds")
+    with_id = messages.filter(F.col(by[-1]).isNotNull())
+    if event_time:
+        with_id = with_id.withWatermark("ts", f"{delay_s} seconds")
     kept = with_id.groupBy(*by).transformWithState(
-        TtlDedup(round(ttl_s * 1_000_000), list(order), messages.columns), messages.schema, "Append", "EventTime"
+        TtlDedup(round(ttl_s * 1_000_000), list(order), messages.columns, event_time), messages.schema, "Append",
+        "EventTime" if event_time else "ProcessingTime"
     )
     return kept.unionByName(messages.filter(F.col(by[-1]).isNull()))
 
 
 class TtlDedup(StatefulProcessor):
-    """Remembers when the id was last kept, until that no longer matters."""
+    """Remembers when the id was last kept, and until when that matters: one timer an id."""
 
-    def __init__(self, ttl_us: int, order: list[str], columns: list[str]):
+    def __init__(self, ttl_us: int, order: list[str], columns: list[str], event_time: bool = True):
         self.ttl_us = ttl_us
         self.order = order
         self.columns = columns
+        self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recorded = handle.getValueState("recorded", "us bigint")
+        self.recorded = handle.getValueState("recorded", "us bigint, until_ms bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        found = self.recorded.get()
-        recorded = None if found is None else found[0]
+        recorded, until = self.recorded.get() or (None, None)
         changed = False
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
-            if recorded is not None and row["ts_us"] <= recorded + self.ttl_us:
+            at_us = row["ts_us"]
+            if recorded is not None and recorded - self.ttl_us <= at_us <= recorded + self.ttl_us:
+                continue
+            if recorded is None or at_us > recorded:
+                recorded, changed = at_us, True
+            elif self.event_time:
                 continue
-            recorded, changed = row["ts_us"], True
             yield Row(**{c: row[c] for c in self.columns})
         if changed:
-            self.recorded.update((recorded,))
-            self.handle.registerTimer(self._end(recorded))
+            if until is not None:
+                self.handle.deleteTimer(until)
+            start_us = recorded if self.event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
+            until = (start_us + self.ttl_us) // 1000 + 1
+            self.recorded.update((recorded, until))
+            self.handle.registerTimer(until)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # an older timer may expire while a newer record is still live
-        found = self.recorded.get()
-        if found is not None and self._end(found[0]) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.recorded.clear()
+        self.recorded.clear()
         return iter([])
 
-    def _end(self, recorded_us: int) -> int:
-        return (recorded_us + self.ttl_us) // 1000 + 1
-
     def close(self) -> None:
         pass
 

@@ -11,6 +11,7 @@ from keylane.handlers import EventHandler
 from keylane.options import PipelineOptions
 from keylane.streaming import gate as gates
 from keylane.streaming.cache import RecentNames
+from keylane.streaming.dedup import TtlDedup
 from keylane.streaming.instants import Instants
 from keylane.streaming.processor import SLOTS, KeyedProcessor
 from keylane.streaming.stalls import StallDetector
@@ -368,3 +369,39 @@ def test_the_cache_forgets_the_least_recent(ids, size, batch):
             known.popitem(last=False)
     assert got == expected
     assert len(handle.states["numbers"].map) == len(handle.states["names"].map) <= size
+
+
+def ttl_dedup(batches, ttl, event_time):
+    """batches: (clock in ms, times in microseconds). Returns the kept times; at most one timer is ever set."""
+    handle, kept = Handle(), []
+    dedup = TtlDedup(ttl, ["ts_us"], ["ts_us"], event_time)
+    dedup.init(handle)
+    for clock, times in batches:
+        while handle.timers and min(handle.timers) <= clock:
+            list(dedup.handleExpiredTimer(("id",), Clock(clock), Expiry(handle.timers.pop())))
+        kept += [r["ts_us"] for r in dedup.handleInputRows(("id",), iter([{"ts_us": t} for t in times]), Clock(clock))]
+    return kept
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 8000), min_size=1, max_size=40), st.integers(0, 3000), st.integers(1, 7))
+def test_ttl_dedup_over_batches(gaps, ttl, size):
+    times, at = [], 0
+    for gap in gaps:
+        at += gap
+        times.append(at)
+    expected, last = [], None
+    for t in times:
+        if last is None or t > last + ttl:
+            expected.append(t)
+            last = t
+    batches = [times[i: i + size] for i in range(0, len(times), size)]
+    clocks = [0, *(b[-1] // 1000 for b in batches[:-1])]
+    assert ttl_dedup(zip(clocks, batches), ttl, True) == expected
+
+
+def test_late_rows_are_kept_without_a_watermark():
+    second = 1_000_000
+    batches = [(0, [100 * second]), (1, [50 * second, 95 * second]), (2, [105 * second, 200 * second]), (3, [100 * second])]
+    assert ttl_dedup(batches, 10 * second, False) == [100 * second, 50 * second, 200 * second, 100 * second]
+    assert ttl_dedup([(0, [0]), (20_000, [0])], 10 * second, False) == [0, 0]  # forgotten by the wall clock
