@@ -2,8 +2,9 @@
 
 One stateful operator holds everything a key needs, so a stream is shuffled
 once by key and keeps one state store. A call reads what it needs of the key's
-state and no more: waiting messages are a queue in a map by number, pending
-instants a tree, and one Spark timer wakes the key for whatever comes first.
+state and no more, once, and writes what remains at the end: waiting messages
+are a queue in a map by number, pending instants a tree, and one Spark timer
+wakes the key for whatever comes first.
 """
 
 from __future__ import annotations
@@ -94,6 +95,8 @@ def process_stream(
 #: What a key keeps in one value: when Spark wakes it; first and next number of the queue; tries of the queue's head and
 #: when it is tried again; the first pending instant; when ids are dropped.
 META = ("wake_ms bigint, head bigint, tail bigint, tries int, retry_ms bigint, next_s bigint, purge_ms bigint")
+#: Messages of a key's queue that are held before they are written.
+MOST_HELD = 10_000
 #: Parts of the rolling window of a key's execution time.
 SLOTS = 300
 
@@ -177,9 +180,13 @@ class KeyedProcessor(StatefulProcessor):
         self.known: dict[tuple, int | None] = {}
         self.fresh: set[tuple] = set()
         self.closed: frozenset[str] | None = None
+        # messages of the queue that were read, and those that were not written yet
+        self.items: dict[int, tuple] = {}
+        self.unwritten: set[int] = set()
 
     def _save(self) -> None:
         self.instants.save()
+        self._write_queue()
         times = [ms for ms in (self.retry_ms, self.purge_ms, None if self.next_s is None else self.next_s * 1000) if ms is not None]
         wake = min(times, default=None)
         # Spark removes the timer that just expired
@@ -228,14 +235,36 @@ class KeyedProcessor(StatefulProcessor):
             self._enqueue(item)
 
     def _enqueue(self, item: tuple) -> None:
-        self.queue.updateValue((self.tail,), item)
+        self.items[self.tail] = item
+        self.unwritten.add(self.tail)
         self.tail += 1
+        if len(self.unwritten) >= MOST_HELD:
+            self._write_queue()
+
+    def _write_queue(self) -> None:
+        for number in sorted(self.unwritten):
+            self.queue.updateValue((number,), self.items.pop(number))
+        self.unwritten.clear()
+
+    def _head(self) -> tuple:
+        if self.head not in self.items:
+            self.items[self.head] = tuple(self.queue.getValue((self.head,)))
+        return self.items[self.head]
+
+    def _dequeue(self) -> None:
+        """The head leaves; one that came and went within a call of Spark never reaches the state."""
+        del self.items[self.head]
+        if self.head in self.unwritten:
+            self.unwritten.discard(self.head)
+        else:
+            self.queue.removeKey((self.head,))
+        self.head += 1
 
     def _retry(self, key: str, now_us: int) -> Iterator[Row]:
         """Work through the queue from its head until it is empty or the head fails again; the rest is not touched."""
         tries, self.retry_ms = self.tries, None
         while self.head < self.tail:
-            item = tuple(self.queue.getValue((self.head,)))
+            item = self._head()
             if now_us - item[3] > self.retention_us:
                 yield self._row(key, item, now_us, tries, Outcome("expired"), "skip")
             else:
@@ -243,8 +272,7 @@ class KeyedProcessor(StatefulProcessor):
                 yield result
                 if waits:
                     return
-            self.queue.removeKey((self.head,))
-            self.head += 1
+            self._dequeue()
             tries = 0
         self.head = self.tail = self.tries = 0
 

@@ -405,3 +405,32 @@ def test_late_rows_are_kept_without_a_watermark():
     batches = [(0, [100 * second]), (1, [50 * second, 95 * second]), (2, [105 * second, 200 * second]), (3, [100 * second])]
     assert ttl_dedup(batches, 10 * second, False) == [100 * second, 50 * second, 200 * second, 100 * second]
     assert ttl_dedup([(0, [0]), (20_000, [0])], 10 * second, False) == [0, 0]  # forgotten by the wall clock
+
+
+class BrokenAtFirst(EventHandler):
+    """Fails until two seconds after the message was sent."""
+
+    def on_message(self, context, message):
+        if (context.now - message.timestamp).total_seconds() < 2:
+            raise OSError("no")
+
+
+def test_what_comes_and_goes_within_a_call_never_reaches_the_queue():
+    key = Key(BrokenAtFirst, monopolization_enabled=False)
+    cost = key.cost(lambda: key.send(*[(i * 4, "{}") for i in range(50)]))
+    assert key.handle.states["queue"].touched == 1 and cost <= 4  # the last message waits
+    assert [(r["off"], r["attempt"], r["route"]) for r in key.until(300)] == [(49, 2, "retry"), (49, 3, "done")]
+    assert not key.handle.states["queue"].map and key.handle.states["meta"].value is None
+
+
+@pytest.mark.parametrize("held", [1, 3, 10_000])
+def test_how_many_messages_are_held_changes_nothing(monkeypatch, held):
+    monkeypatch.setattr("keylane.streaming.processor.MOST_HELD", held)
+    key = Key(BrokenAtFirst, monopolization_enabled=False)
+    rows = []
+    for batch in range(3):
+        rows += key.send(*[(batch * 10 + i / 10, "{}") for i in range(40)])
+    rows += key.until(1000)
+    assert [r["off"] for r in rows if r["route"] == "done"] == list(range(120))
+    assert [r["at_us"] for r in rows] == sorted(r["at_us"] for r in rows)
+    assert not key.handle.states["queue"].map and key.handle.states["meta"].value is None
