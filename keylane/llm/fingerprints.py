@@ -33,6 +33,8 @@ _AT_ONCE = 1 << 14
 _COLUMNS = 1 << 14
 #: Shingles of a tile, unless one text has more.
 TILE_SHINGLES = 1 << 17
+#: Most slices of an order: what the driver and each task of :func:`in_slices` know of it is two numbers a slice.
+MOST_SLICES = 10_000
 
 
 def shingle_hashes(texts: Texts, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -86,23 +88,44 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+class Cuts:
+    """Cuts of an order by (k, h): at each quantile of k, and where several fall on one k, between them at even ranges of h."""
+
+    def __init__(self, quantiles: np.ndarray):
+        values, times = np.unique(quantiles, return_counts=True)
+        self.k = np.repeat(values, times)
+        self.h = np.array([j * 2**64 // n - 2**63 for n in times.tolist() for j in range(n)], np.int64)
+        self.crowded = values[times > 1]
+
+    def number(self, k: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """How many cuts are not above each row: the number of its slice."""
+        out = np.searchsorted(self.k, k, side="right")
+        for value in np.intersect1d(k, self.crowded):
+            first, end = np.searchsorted(self.k, value), np.searchsorted(self.k, value, side="right")
+            rows = k == value
+            out[rows] = first + np.searchsorted(self.h[first:end], h[rows], side="right")
+        return out.astype(np.int32)
+
+
 def in_slices(docs: DataFrame, rows_each: int = 4096) -> DataFrame:
     """Rows (slice, k, doc_id, h, text, borrowed): each slice holds a range of ids and, borrowed, the next slice's first row.
 
     ``k`` orders the rows: the id, a missing id before all others; ``h``, a hash
-    of the text, orders rows of the same id. The last slice borrows the very
-    first row. The driver sees two numbers a slice, as a range shuffle would.
+    of the text, orders rows of the same id, and cuts an id that many rows share,
+    such as the missing one. The last slice borrows the very first row. The
+    driver and each task see two numbers a slice, as in a range shuffle; beyond
+    ``MOST_SLICES`` slices grow instead, since their rows only stream through a task.
     """
     held = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), F.col("doc_id").cast("long"),
                        F.xxhash64("text").alias("h"), F.coalesce("text", F.lit("")).alias("text"))
-    slices = max(1, held.count() // rows_each)
-    cuts = np.unique(np.array(held.approxQuantile("k", [i / slices for i in range(1, slices)], 0.2 / slices)
-                              if slices > 1 else [], np.float64).astype(np.int64))
+    slices = min(max(1, held.count() // rows_each), MOST_SLICES)
+    shares = [i / slices for i in range(1, slices)]
+    cuts = Cuts(np.array(held.approxQuantile("k", shares, 0.2 / slices) if shares else [], np.float64).astype(np.int64))
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, h = (batch.column(i).to_numpy() for i in (0, 1))
-            number = np.searchsorted(cuts, k, side="right").astype(np.int32)
+            number = cuts.number(k, h)
             order = np.lexsort((h, k, number))
             first = order[np.unique(number[order], return_index=True)[1]]
             yield pa.RecordBatch.from_arrays([pa.array(number[first]), pa.array(k[first]), pa.array(h[first])], ["slice", "k", "h"])
@@ -114,7 +137,7 @@ def in_slices(docs: DataFrame, rows_each: int = 4096) -> DataFrame:
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, h = (batch.column(i).to_numpy() for i in (0, 2))
-            number = np.searchsorted(cuts, k, side="right").astype(np.int32)
+            number = cuts.number(k, h)
             known = np.flatnonzero(np.isin(k, firsts_k))
             lent = [(i, holder[key]) for i in known.tolist() if (key := (int(k[i]), int(h[i]))) in holder]
             yield _with(batch, number, False)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -134,6 +135,43 @@ def test_fingerprint_query(spark, sf_dir, texts):
     for i in ids:
         by_text[texts[i]].add(rows[i]["fingerprint"])
     assert all(len(v) == 1 for v in by_text.values())
+    plain = [plain_signature(texts[i] or "") for i in ids]
+    for n, i in enumerate(ids):
+        following = (n + 1) % len(ids)
+        changed = plain_signature(fingerprints.edited_text(texts[i] or "", texts[ids[following]] or ""))
+        assert (rows[i]["fingerprint"], rows[i]["edited_fingerprint"]) == tuple("".join(f"{v:04x}" for v in x) for x in (plain[n], changed))
+        assert rows[i]["near_edited"] == np.mean(plain[n] == changed) and rows[i]["near_next"] == np.mean(plain[n] == plain[following])
+
+
+def plain_signature(text):
+    """The least value of every permutation over one text's shingles, each of which has a hash of its own."""
+    hashes, _ = fingerprints.shingle_hashes(Texts(pa.array([text])))
+    assert len(set(hashes.tolist())) == max(len(shingles(text)), 1)
+    return np.array([(hashes * a + b).min() >> np.uint64(48) for a, b in zip(fingerprints._A, fingerprints._B, strict=True)])
+
+
+@pytest.mark.parametrize("quantiles", [[], [5], [3, 3, 9], [-(2**63)] * 5 + [0, 7, 7, 7], [1, 2, 3]])
+def test_cuts_count_what_is_not_above(quantiles):
+    cuts = fingerprints.Cuts(np.array(quantiles, np.int64))
+    pairs = [(v, j * 2**64 // quantiles.count(v) - 2**63) for v in sorted(set(quantiles)) for j in range(quantiles.count(v))]
+    values = np.random.default_rng(4)
+    k = values.choice(np.array([-(2**63), -1, 0, 1, 2, 3, 4, 5, 7, 8, 9, 10], np.int64), 500)
+    h = np.append(values.integers(-(2**63), 2**63 - 1, 498), [-(2**63), 2**63 - 1])
+    assert cuts.number(k, h).tolist() == [sum(p <= row for p in pairs) for row in zip(k.tolist(), h.tolist())]
+
+
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_missing_ids_are_cut_and_slices_bounded(spark, monkeypatch, most):
+    """Two thirds of the rows have no id; slices change no row."""
+    monkeypatch.setattr(fingerprints, "MOST_SLICES", most)
+    table = [(None if i % 3 else i, f"text {i} of some more words than five {i * i}") for i in range(300)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    own = fingerprints.in_slices(docs, rows_each=10).filter("not borrowed").groupBy("slice").count().collect()
+    assert sum(r["count"] for r in own) == 300 and len(own) <= most
+    assert most == 3 or max(r["count"] for r in own) < 40
+    whole = sorted(map(tuple, fingerprints.fingerprints(docs).collect()), key=repr)
+    monkeypatch.setattr(fingerprints.in_slices, "__defaults__", (10,))
+    assert sorted(map(tuple, fingerprints.fingerprints(docs).collect()), key=repr) == whole
 
 
 def test_fingerprints_over_many_slices(spark, docs, texts):
