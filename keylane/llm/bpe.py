@@ -34,6 +34,9 @@ from keylane.llm.shared import documents, small_batches, text_or_empty
 LEAF_BYTES, LEAF_CHARS, LEAF_TOKENS = 64, 1 << 16, 1 << 16
 #: Pieces of at most LEAF_BYTES remembered by a task.
 _REMEMBERED = 1 << 18
+#: Code points of the texts whose unknown pieces are merged together.
+AT_ONCE = 1 << 20
+_NONE = np.iinfo(np.int64).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,6 +57,7 @@ class Pieces(dict):
         super().__init__()
         self.ranks, self.leaf = ranks, leaf
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def __missing__(self, piece: str) -> bytes:
         found = packed(self.encode(piece.encode()))
@@ -114,6 +118,71 @@ class Pieces(dict):
             i = end[i]
         return out
 
+    def remember(self, pieces: set[str]) -> None:
+        """Encode unknown pieces of at most LEAF_BYTES together; the caller sees to it that they are not too many."""
+        if len(self) + len(pieces) > _REMEMBERED:
+            self.clear()
+        by_width: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in pieces:
+            body = piece.encode()
+            if (rank := self.ranks.get(body)) is not None:
+                self[piece] = rank.to_bytes(4, "little")
+            elif len(body) <= LEAF_BYTES:
+                by_width.setdefault(max(8, 1 << (len(body) - 1).bit_length()), []).append((piece, body))
+        for width, found in by_width.items():
+            self.update(zip((piece for piece, _ in found), self.merge_many([body for _, body in found], width), strict=True))
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The token of each byte, and which two tokens together are a token: sorted keys and their ranks."""
+        if self.pairs is None:
+            rank_of, keys, ranks = self.ranks.get, [], []
+            for token, rank in self.ranks.items():
+                for i in range(1, len(token)):
+                    if (a := rank_of(token[:i])) is not None and (b := rank_of(token[i:])) is not None:
+                        keys.append(a << 32 | b)
+                        ranks.append(rank)
+            held = np.array(keys, np.int64)
+            order = np.argsort(held)
+            singles = np.array([rank_of(bytes([i]), -1) for i in range(256)], np.int64)
+            # a key above all others, so that every search ends at one
+            self.pairs = singles, np.append(held[order], _NONE), np.append(np.array(ranks, np.int64)[order], _NONE)
+        return self.pairs
+
+    def merge_many(self, bodies: list[bytes], width: int) -> list[bytes]:
+        """As merge, for many bodies of at most ``width`` bytes at once, packed: each step merges one pair of every body left."""
+        singles, keys, ranks_of = self._pairs()
+        count = np.fromiter(map(len, bodies), np.int64, len(bodies))
+        raw = np.frombuffer(b"".join(body.ljust(width, b"\0") for body in bodies), np.uint8).reshape(-1, width)
+        tokens = singles[raw]
+        columns = np.arange(width)
+
+        def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = a << 32 | b
+            at = np.searchsorted(keys, key)
+            return np.where(keys[at] == key, ranks_of[at], _NONE)
+
+        # the rank of each token and the next one
+        pairs = np.full(tokens.shape, _NONE)
+        pairs[:, :-1] = np.where(columns[1:] < count[:, None], rank(tokens[:, :-1], tokens[:, 1:]), _NONE)
+        left = np.flatnonzero(pairs.min(axis=1) < _NONE)
+        while len(left):
+            now, beside = tokens[left], pairs[left]
+            row, at = np.arange(len(left)), beside.argmin(axis=1)
+            now[row, at] = beside[row, at]
+            now = np.take_along_axis(now, np.minimum(columns + (columns > at[:, None]), width - 1), 1)
+            beside = np.take_along_axis(beside, np.minimum(columns + (columns >= at[:, None]), width - 1), 1)
+            beside[:, -1] = _NONE
+            size = count[left] - 1
+            after = np.minimum(at + 1, width - 1)
+            beside[row, at] = np.where(at + 1 < size, rank(now[row, at], now[row, after]), _NONE)
+            inner = np.flatnonzero(at > 0)
+            place = at[inner]
+            beside[inner, place - 1] = rank(now[inner, place - 1], now[inner, place])
+            tokens[left], pairs[left], count[left] = now, beside, size
+            left = left[beside.min(axis=1) < _NONE]
+        body, stride = tokens.astype("<u4").tobytes(), 4 * width
+        return [body[i * stride: i * stride + 4 * n] for i, n in enumerate(count.tolist())]
+
     def agree(self, a: int, b: int) -> bool:
         return self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
 
@@ -182,10 +251,34 @@ class Codec:
 
     def encode_packed(self, text: str) -> bytes:
         """Where every blank comes after a non-blank character, it separates pieces, and units between them are encoded alone."""
-        if self.unclear(text):
-            return self._by_pieces(text)
-        first, *units = text.split(" ")
-        return self._by_pieces(first) + b"".join(map(self.units.__getitem__, units))
+        return self._by_pieces(text) if self.unclear(text) else self._by_units(text.split(" "))
+
+    def _by_units(self, units: list[str]) -> bytes:
+        return self._by_pieces(units[0]) + b"".join(map(self.units.__getitem__, units[1:]))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Each text as by :meth:`encode_packed`; what the caches lack for texts that follow each other is encoded together."""
+        out, begin, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= AT_ONCE or end == len(texts):
+                cut = [None if self.unclear(t) else t.split(" ") for t in texts[begin:end]]
+                # longer texts fill the caches as they go
+                self._prepare([c for c, t in zip(cut, texts[begin:end]) if c and len(t) <= self.leaf_chars])
+                out += [self._by_pieces(t) if c is None else self._by_units(c) for c, t in zip(cut, texts[begin:end])]
+                begin, size = end, 0
+        return out
+
+    def _prepare(self, texts: list[list[str]]) -> None:
+        met = set()
+        for units in texts:
+            met.update(units[1:])
+        parts = {unit: self.split(" " + unit) for unit in met if unit not in self.units and len(unit) <= LEAF_BYTES}
+        self.pieces.remember({piece for held in parts.values() for piece in held if piece not in self.pieces})
+        if len(self.units) + len(parts) > _REMEMBERED:
+            self.units.clear()
+        for unit, held in parts.items():
+            self.units[unit] = self.pieces[held[0]] if len(held) == 1 else b"".join(map(self.pieces.__getitem__, held))
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_packed(text), "<u4")
@@ -210,8 +303,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         codec = Codec(sent.value, pattern)
         for batch in batches:
             for part in _small(batch):
-                texts = part.column(len(others)).to_pylist()
-                ids = pa.array([codec.encode_packed(t) for t in texts], pa.binary())
+                ids = pa.array(codec.encode_all(part.column(len(others)).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(others)], ids], [*others, "ids"])
 
     chosen = docs.select(*[F.col(f"`{c}`") for c in others], text_or_empty().alias("text"))

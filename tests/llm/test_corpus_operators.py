@@ -1,6 +1,7 @@
 """Mixing, sharding, secrets, licenses, languages and BPE against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -371,6 +372,26 @@ def test_long_texts_encode_equally(vocabulary, reference_encoder, text):
     assert codec.decode(ids) == text.encode()
 
 
+@given(st.lists(st.text(alphabet="abehrst inéß汉\U0001f600 '1.\n\t", max_size=40), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_texts_together_encode_as_alone(vocabulary, texts):
+    ranks, pattern = vocabulary
+    alone, together = bpe.Codec(ranks, pattern), bpe.Codec(ranks, pattern)
+    assert together.encode_all(texts) == [alone.encode_packed(t) for t in texts]
+
+
+def test_pieces_merged_together(vocabulary, monkeypatch):
+    ranks, _ = vocabulary
+    monkeypatch.setattr(bpe, "_REMEMBERED", 2_000)
+    made = random.Random(5)
+    pieces = {"".join(made.choices("abcdeinrst éß汉1.", k=made.randint(1, 64))) for _ in range(2_000)} | {"e" * n for n in range(1, 65)}
+    together, alone = bpe.Pieces(ranks), bpe.Pieces(ranks)
+    together.remember(pieces)
+    for piece in pieces:
+        body = piece.encode()
+        assert together[piece] == bpe.packed([ranks[body]] if body in ranks else alone.merge_long(body))
+
+
 def test_bpe_query(spark, sf_dir, texts, reference_encoder):
     for r in bpe.op9_byte_bpe(spark, sf_dir).collect():
         text = texts[r["doc_id"]] or ""
