@@ -14,6 +14,10 @@ the same tree. There are two levels, with a proof each:
   if and only if each two neighbours are the encoding of their own bytes. So a
   window is wide enough once its first and last tokens agree with the tokens
   beside it.
+
+By the first rule the text between two single blanks is a leaf of its own, which
+is remembered; the leaves that a group of texts has and no earlier one had are
+encoded together, a merge of every piece at a time.
 """
 
 from __future__ import annotations
