@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -31,8 +32,8 @@ def dedup_cached(messages: DataFrame, size: int = 8192, by: Sequence[str] = PART
 class RecentNames(StatefulProcessor):
     """A bounded cache: the number of each name's last sighting, and the names by that number.
 
-    The oldest number still in use is at or after ``oldest``; numbers are passed
-    over at most once, so a sighting touches a few entries whatever the size.
+    A call reads the cache once, at most ``size`` names, works in memory and
+    writes what changed, so that a message costs the state nothing.
     """
 
     def __init__(self, size: int, name: list[str], order: list[str], columns: list[str], schema):
@@ -42,29 +43,31 @@ class RecentNames(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.numbers = handle.getMapState("numbers", self.fields, "number bigint")
         self.names = handle.getMapState("names", "number bigint", self.fields)
-        self.counts = handle.getValueState("counts", "oldest bigint, next bigint, held bigint")
+        self.counts = handle.getValueState("counts", "next bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        oldest, following, held = self.counts.get() or (0, 0, 0)
+        following, = self.counts.get() or (0,)
+        # the names with the numbers of their last sightings, the oldest first
+        before = {tuple(name): number for (number,), name in self.names.iterator()}
+        held = OrderedDict(sorted(before.items(), key=lambda pair: pair[1]))
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             name = tuple(row[c] for c in self.name)
-            seen = self.numbers.getValue(name)
-            if seen is None:
+            if held.pop(name, None) is None:
                 yield Row(**{c: row[c] for c in self.columns})
-                held += 1
-            else:
-                self.names.removeKey((seen[0],))
-            self.numbers.updateValue(name, (following,))
-            self.names.updateValue((following,), name)
+                if len(held) == self.size:
+                    held.popitem(last=False)
+            held[name] = following
             following += 1
-            while held > self.size:
-                forgotten = self.names.getValue((oldest,))
-                if forgotten is not None:
-                    self.names.removeKey((oldest,))
-                    self.numbers.removeKey(tuple(forgotten))
-                    held -= 1
-                oldest += 1
-        self.counts.update((oldest, following, held))
+        for name, number in before.items():
+            if held.get(name) != number:
+                self.names.removeKey((number,))
+                if name not in held:
+                    self.numbers.removeKey(name)
+        for name, number in held.items():
+            if before.get(name) != number:
+                self.numbers.updateValue(name, (number,))
+                self.names.updateValue((number,), name)
+        self.counts.update((following,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return iter([])

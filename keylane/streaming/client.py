@@ -170,8 +170,8 @@ def route_batch(sink: str, options: PipelineOptions, gate: FailureGate | None =
     return write
 
 
-def run_to_table(stream: DataFrame, folder: str, timeout_s: int = 600) -> DataFrame:
-    """Drain a bounded stream into a table below ``folder`` and read it back."""
+def run_to_table(stream: DataFrame, folder: str, timeout_s: int | None = None) -> DataFrame:
+    """Drain a bounded stream into a table below ``folder`` and read it back, however long it takes unless a time is given."""
     spark = stream.sparkSession
     query = (
         stream.writeStream.format("parquet")
@@ -183,6 +183,6 @@ def run_to_table(stream: DataFrame, folder: str, timeout_s: int = 600) -> DataFr
     )
     ended = query.awaitTermination(timeout_s)
     query.stop()
-    if not ended:
+    if ended is False:
         raise TimeoutError(f"the stream did not end within {timeout_s} s")
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
