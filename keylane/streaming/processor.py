@@ -1,7 +1,7 @@
 """The handler surface on a stream: ordered calls, timers, deferral, paced retries, hot keys, dedup.
 
 One stateful operator holds everything a key needs, so a stream is shuffled
-once by key and keeps one state store. A call reads what it needs of the key's
+once by buckets of keys and keeps one state store. A call reads what it needs of the key's
 state and no more, once, and writes what remains at the end: waiting messages
 are a queue in a map by number, pending instants a tree, and one Spark timer
 wakes the key for whatever comes first.
@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from keylane.handlers import EventHandler, Message, Outcome, Timer, attempt, instant, timer_second
 from keylane.options import PipelineOptions
 from keylane.session import ensure_state_store
+from keylane.streaming.buckets import BUCKETS, transform_in_buckets
 from keylane.streaming.gate import closed_topics
 from keylane.streaming.instants import Instants
 
@@ -71,6 +72,7 @@ def process_stream(
     payload: str = "payload",
     event_time: bool = True,
     took: str | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Run a handler over a stream of messages, serially per key.
 
@@ -79,6 +81,7 @@ def process_stream(
     times and a watermark, and rows later than its delay are dropped; without
     it timers follow the wall clock and nothing is dropped. How long a call took
     is measured, or in a replay read from the column ``took``, in microseconds.
+    Spark calls once for each of ``buckets`` buckets of keys that a micro-batch touches.
     """
     options = options or PipelineOptions()
     ensure_state_store(messages.sparkSession)
@@ -87,9 +90,8 @@ def process_stream(
                            spent.cast("bigint").alias("took_us"))
     if event_time:
         rows = rows.withWatermark("ts", f"{options.watermark_delay} seconds")
-    return rows.groupBy("key").transformWithState(
-        KeyedProcessor(handler, options, event_time), RESULT, "Append", "EventTime" if event_time else "ProcessingTime"
-    )
+    return transform_in_buckets(
+        rows, ["key"], KeyedProcessor(handler, options, event_time), RESULT, "EventTime" if event_time else "ProcessingTime", buckets)
 
 
 #: What a key keeps in one value: when Spark wakes it; first and next number of the queue; tries of the queue's head and
