@@ -10,14 +10,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keylane.operators.dedup import KEYS, WEEK_S, latest_per_key
 from keylane.session import ensure_state_store
+from keylane.streaming.buckets import BUCKETS, transform_in_buckets
 
 
 def dedup_stream(messages: DataFrame, ttl_s: float = WEEK_S, delay_s: float = 600.0, by: Sequence[str] = KEYS,
-                 order: Sequence[str] = ("ts_us", "part", "off"), *, event_time: bool = True) -> DataFrame:
+                 order: Sequence[str] = ("ts_us", "part", "off"), *, event_time: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """Streaming form of the time-limited dedup, with the same result.
 
     State is held per id, not per key, so the copies of a busy key spread over
-    all tasks. Rows without an id need no state and pass by. In event time rows
+    all tasks; Spark calls once for each of ``buckets`` buckets of ids that a micro-batch touches. Rows without an id need no state and pass by. In event time rows
     later than ``delay_s`` are dropped. Without it no row is dropped for being late: an id
     is kept in mind for ``ttl_s`` of the wall clock, and a row that comes late
     is a duplicate if it lies within the ttl of the last one kept, before or after it.
@@ -26,10 +27,9 @@ def dedup_stream(messages: DataFrame, ttl_s: float = WEEK_S, delay_s: float = 60
     with_id = messages.filter(F.col(by[-1]).isNotNull())
     if event_time:
         with_id = with_id.withWatermark("ts", f"{delay_s} seconds")
-    kept = with_id.groupBy(*by).transformWithState(
-        TtlDedup(round(ttl_s * 1_000_000), list(order), messages.columns, event_time), messages.schema, "Append",
-        "EventTime" if event_time else "ProcessingTime"
-    )
+    kept = transform_in_buckets(
+        with_id, by, TtlDedup(round(ttl_s * 1_000_000), list(order), messages.columns, event_time), messages.schema,
+        "EventTime" if event_time else "ProcessingTime", buckets)
     return kept.unionByName(messages.filter(F.col(by[-1]).isNull()))
 
 

@@ -12,7 +12,7 @@ from keylane.handlers import EventHandler
 from keylane.options import PipelineOptions
 from keylane.streaming import buckets
 from keylane.streaming.buckets import Buckets, Keys
-from keylane.streaming.dedup import TtlDedup
+from keylane.streaming.dedup import TtlDedup, dedup_stream
 from keylane.streaming.processor import KeyedProcessor, process_stream
 from keylane.streaming.saga import Steps
 from tests.test_keyed_state import Clock, Expiry, Handle, State
@@ -150,3 +150,7 @@ def test_the_handler_is_called_by_buckets(stream):
 def test_keys_that_python_compares_otherwise_are_called_one_by_one(stream):
     doubles = stream.withColumn("key", F.col("took_us").cast("double"))
     assert buckets.BUCKET not in plan_of(process_stream(doubles, Mixed))
+
+
+def test_ids_are_called_by_buckets(stream):
+    assert buckets.BUCKET in plan_of(dedup_stream(stream))
