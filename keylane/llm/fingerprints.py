@@ -255,7 +255,7 @@ PLACES = "array<struct<group:long,parts:int,part:int>>"
 
 
 def alike(texts: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int = 4, tile: int = 256,
-          shingles: int = TILE_SHINGLES) -> DataFrame:
+          shingles: int = TILE_SHINGLES, groups: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) that connect the names of all texts (k, row, text) alike by ``similarity`` or more.
 
     Equal texts have one name; ``row`` tells the rows of a name apart. Signature
@@ -268,7 +268,8 @@ def alike(texts: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int
     bucket. Where a cluster is so large that its buckets need fewer shingles
     sent, its buckets are compared in its place, those with the same members
     once; no pair of a bucket is left out either way. A pair of tiles returns
-    the edges that connect its rows, not all pairs.
+    the edges that connect its rows, not all pairs. The names (k, group) that
+    another search put in one of its ``groups`` are a bucket like those of the bands.
     """
     spark = texts.sparkSession
     small_batches(spark)
@@ -277,6 +278,8 @@ def alike(texts: DataFrame, similarity: float = 0.8, bands: int = 32, rows: int
         F.min("row").alias("row"), F.first("size").alias("size"), F.first("bands").alias("bands")), "bands")
     held = banded.select("k", "size", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "k", "size")
+    if groups is not None:
+        held = held.unionByName(banded.join(groups, "k").select(F.xxhash64(F.lit("group"), "group").alias("bucket"), "k", "size"))
 
     def cut(n: str, size: str) -> Column:
         return F.greatest(F.ceil(F.col(n) / tile), F.ceil(F.col(size) / shingles)).cast("int")

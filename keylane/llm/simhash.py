@@ -11,8 +11,9 @@ A fingerprint has one 64-bit word or several. One word and three bits is the
 strict rule of :func:`op5_simhash_near_dedup`. No number of bits decides whether
 texts are alike by 0.8 in their shingles of five words: of the 256 bits of
 :data:`ALIKE` such texts differ in 39 on average, but some in more than 50, and
-texts alike by 0.6 in 59. :func:`one_of_each` therefore takes its links from
-MinHash bands and exact Jaccard similarities.
+texts alike by 0.6 in 59. :func:`one_of_each` therefore takes the components of
+the strict rule as candidates, adds those of MinHash bands, which find the
+alike texts whose bits are further apart, and verifies all by exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -261,10 +262,20 @@ def _firsts(distinct: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
     return rooted, rooted.groupBy("root").agg(F.min_by("least", F.struct(F.col("least.doc_id").isNull(), "least")).alias("first"))
 
 
+def grouped(texts: DataFrame, rule: Rule = STRICT) -> DataFrame:
+    """Rows (k, group) for the names of texts (k, text): names of one group have fingerprints that links connect."""
+    prints = stored(fingerprinted(texts.select(F.col("k").alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("k")).agg(
+        F.first("node").alias("node"), F.first("fp").alias("fp")), "simhash")
+    fps = stored(prints.groupBy("node").agg(F.first("fp").alias("fp")), "fingerprints")
+    roots = components(links(fps, rule)).select("node", "root")
+    return prints.select("k", "node").join(roots, "node", "left").select("k", F.coalesce("root", "node").alias("group"))
+
+
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The documents without near copies: of each component the row with the least id, once if rows repeat.
 
-    Links are pairs whose sets of five-word shingles, A-Z lowered, have a Jaccard
+    Candidates are the components of the fingerprints, as in :func:`near_duplicates`, and
+    the buckets of MinHash bands. Links are pairs whose sets of five-word shingles, A-Z lowered, have a Jaccard
     similarity of ``similarity`` or more, verified exactly. Texts without words
     are alike to each other only.
     """
@@ -272,7 +283,8 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     texts = named(docs.select(*row_key(), lowered.alias("text")))
     row = F.struct("doc_id", "text_key")
     distinct = stored(texts.groupBy(F.col("k").alias("node")).agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), row)).alias("least")), "texts")
-    _, first = _firsts(distinct, alike(texts.select("k", F.xxhash64("doc_id").alias("row"), "text"), similarity))
+    edges = alike(texts.select("k", F.xxhash64("doc_id").alias("row"), "text"), similarity, groups=grouped(texts))
+    _, first = _firsts(distinct, edges)
     kept = first.select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key"))
     held, names = aside(docs)
     rows = held.withColumn("text_key", F.xxhash64(names["text"]))
