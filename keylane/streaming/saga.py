@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keylane.operators.saga import Transition
 from keylane.session import ensure_state_store
+from keylane.streaming.buckets import BUCKETS, transform_in_buckets
 
 
 def state_machine_stream(
@@ -20,15 +21,14 @@ def state_machine_stream(
     by: str = "key",
     order: str = "off",
     event: str = "type",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Streaming form of the state machine: one state per key, kept for good."""
+    """Streaming form of the state machine: one state per key, kept for good, in ``buckets`` buckets of keys."""
     ensure_state_store(messages.sparkSession)
     added = [("from_state", T.StringType()), ("to_state", T.StringType()), ("applied", T.BooleanType())]
     schema = T.StructType([*messages.schema.fields, *[T.StructField(n, t) for n, t in added]])
     moves = {(state, step): target for state, step, target in transitions}
-    return messages.groupBy(by).transformWithState(
-        Steps(moves, initial, order, event, messages.columns), schema, "Append", "None"
-    )
+    return transform_in_buckets(messages, [by], Steps(moves, initial, order, event, messages.columns), schema, "None", buckets)
 
 
 class Steps(StatefulProcessor):

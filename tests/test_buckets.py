@@ -14,7 +14,7 @@ from keylane.streaming import buckets
 from keylane.streaming.buckets import Buckets, Keys
 from keylane.streaming.dedup import TtlDedup, dedup_stream
 from keylane.streaming.processor import KeyedProcessor, process_stream
-from keylane.streaming.saga import Steps
+from keylane.streaming.saga import Steps, state_machine_stream
 from tests.test_keyed_state import Clock, Expiry, Handle, State
 
 
@@ -154,3 +154,7 @@ def test_keys_that_python_compares_otherwise_are_called_one_by_one(stream):
 
 def test_ids_are_called_by_buckets(stream):
     assert buckets.BUCKET in plan_of(dedup_stream(stream))
+
+
+def test_state_machines_are_called_by_buckets(stream):
+    assert buckets.BUCKET in plan_of(state_machine_stream(stream, [("a", "x", "b")], "a", event="id"))
